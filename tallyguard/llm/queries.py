@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyguard.llm import chat, exact_dedup, mixing, urls
+from tallyguard.llm import chat, exact_dedup, langid, mixing, repetition, urls
 from tallyguard.llm.common import table
 
 
@@ -19,15 +19,23 @@ def op4_chat_format(spark, sf_dir):
     return chat.digests(chat.examples(talks))
 
 
+def op5_repetition(spark, sf_dir):
+    return repetition.repetition_rules(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
-QUERIES = {f.__name__: f for f in (op3_url_filter, op4_chat_format, op6_exact_dedup, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op3_url_filter, op4_chat_format, op5_repetition, op6_exact_dedup, op8_language_id, op9_mixing)}
 
 _OP3 = r"""
 WITH p AS (

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,3 +43,12 @@ def held_out(doc_id: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def send(spark: SparkSession, model) -> Broadcast:
+    """Broadcast an object of bounded size together with its class, so that executors need not import it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def received(sent: Broadcast):
+    return pickle.loads(sent.value)

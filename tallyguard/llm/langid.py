@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import held_out
+from tallyguard.llm.common import held_out, received, send
 from tallyguard.llm.textops import chunks
 
 FEATURES = 1 << 16
@@ -118,7 +118,7 @@ class Model:
 
 def _predictor(held):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
+        model = received(held)
         for batch in batches:
             for rows, data, offsets in chunks(batch):
                 known = has_letter(data, offsets) if model.langs else np.zeros(rows.num_rows, bool)
@@ -148,6 +148,6 @@ def train(docs: DataFrame) -> Model:
 
 def identify(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, lang_pred, score."""
-    held = docs.sparkSession.sparkContext.broadcast(train(docs))
+    held = send(docs.sparkSession, train(docs))
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
     return rows.mapInArrow(_predictor(held), "doc_id long, held_out boolean, lang_pred string, score double")

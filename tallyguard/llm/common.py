@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: The six characters that WORD leaves out.
 SPACES = " \t\n\x0b\x0c\r"
-#: Rows of a few numbers that a broadcast may hold: about 32 MB.
-BROADCAST_ROWS = 1_000_000
+#: Rows of a few numbers that a broadcast may hold: under 16 MB.
+BROADCAST_ROWS = 200_000
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

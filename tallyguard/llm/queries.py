@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyguard.llm import chat, exact_dedup, langid, mixing, repetition, toxicity, urls
+from tallyguard.llm import chat, exact_dedup, langid, minhash, mixing, repetition, toxicity, urls
 from tallyguard.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, threshold=85)
+
+
 def op3_url_filter(spark, sf_dir):
     return urls.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -39,7 +43,7 @@ def op9_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_url_filter, op4_chat_format, op5_repetition, op6_exact_dedup, op8_language_id, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_minhash, op3_url_filter, op4_chat_format, op5_repetition, op6_exact_dedup, op8_language_id, op9_mixing)}
 
 _OP3 = r"""
 WITH p AS (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyguard.llm import chat, exact_dedup, langid, minhash, mixing, repetition, toxicity, urls
+from tallyguard.llm import chat, exact_dedup, langid, minhash, mixing, repetition, sentencepiece, toxicity, urls
 from tallyguard.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece(spark, sf_dir):
+    return sentencepiece.encode(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op9_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_minhash, op3_url_filter, op4_chat_format, op5_repetition, op6_exact_dedup, op8_language_id, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_minhash, op3_url_filter, op4_chat_format, op5_repetition, op6_exact_dedup, op7_sentencepiece, op8_language_id, op9_mixing)}
 
 _OP3 = r"""
 WITH p AS (

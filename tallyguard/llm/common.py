@@ -5,6 +5,7 @@ from __future__ import annotations
 import pickle
 import tempfile
 
+import numpy as np
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +53,24 @@ def send(spark: SparkSession, model) -> Broadcast:
 
 def received(sent: Broadcast):
     return pickle.loads(sent.value)
+
+
+#: A bit filter has 2 to this power bits: 4 MB, whatever the corpus. A fuller one lets more pass, and joins stay exact.
+FILTER_BITS = 25
+
+
+def bit_filter(values: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of fixed size over a column of well-spread longs, for in_filter()."""
+    slot = F.col(column).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1  # the bitmap functions count from 1
+    parts = values.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    table = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for row in parts.collect():  # at most 2**FILTER_BITS bits in all
+        at = (int(row["bucket"]) - 1) * 4096
+        table[at : at + 4096] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return table
+
+
+def in_filter(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """True for every value that the filter was built over, and for few others."""
+    at = np.asarray(values).astype(np.int64) & ((1 << FILTER_BITS) - 1)
+    return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1

@@ -21,14 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import SPACES, checkpoint, maybe_broadcast
+from tallyguard.llm.common import SPACES, bit_filter, checkpoint, in_filter, maybe_broadcast
 
 #: Bits of a fingerprint. More senders mean smaller gaps; a chance collision costs one text comparison.
 FINGERPRINT_BITS = 48
 #: Rows whose fingerprints one owner merges, at most about 16 MB.
 ROWS_PER_OWNER = 1_000_000
-#: The suspect filter has 2 to this power bits: 4 MB, whatever the corpus.
-FILTER_BITS = 25
 
 
 def normalised(text: Column) -> Column:
@@ -117,22 +115,15 @@ def _marker(owners: int):
 
 
 def _filter(suspects: DataFrame):
-    """A bitmap of fixed size over the suspect fingerprints, as a column function."""
-    slot = F.col("fp") % F.lit(1 << FILTER_BITS) + 1  # the bitmap functions count from 1
-    parts = suspects.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-    held = {int(r["bucket"]): bytes(r["bits"]) for r in parts.toLocalIterator()}  # at most 2**FILTER_BITS bits in all
-    if not held:
+    """A column function that is true for suspect fingerprints and few others, or None without suspects."""
+    table = bit_filter(suspects, "fp")
+    if not table.any():
         return None
-    flags = np.zeros(1 << FILTER_BITS, np.uint8)
-    for bucket, bits in held.items():
-        flags[(bucket - 1) * 32768 + np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little"))] = 1
-    bits = suspects.sparkSession.sparkContext.broadcast(np.packbits(flags).tobytes())
+    bits = suspects.sparkSession.sparkContext.broadcast(table.tobytes())
 
     @F.pandas_udf("boolean")
     def passes(fp: pd.Series) -> pd.Series:
-        at = fp.to_numpy() % (1 << FILTER_BITS)
-        table = np.frombuffer(bits.value, np.uint8)
-        return pd.Series((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+        return pd.Series(in_filter(np.frombuffer(bits.value, np.uint8), fp.to_numpy()))
 
     return passes
 

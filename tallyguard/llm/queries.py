@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyguard.llm import chat, exact_dedup, langid, minhash, mixing, repetition, sentencepiece, toxicity, urls
+from tallyguard.llm import chat, exact_dedup, langid, minhash, mixing, repetition, rindex, sentencepiece, toxicity, urls
 from tallyguard.llm.common import table
 
 
@@ -47,7 +47,11 @@ def op9_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_minhash, op3_url_filter, op4_chat_format, op5_repetition, op6_exact_dedup, op7_sentencepiece, op8_language_id, op9_mixing)}
+def op10_run_length_index(spark, sf_dir):
+    return rindex.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_minhash, op3_url_filter, op4_chat_format, op5_repetition, op6_exact_dedup, op7_sentencepiece, op8_language_id, op9_mixing, op10_run_length_index)}
 
 _OP3 = r"""
 WITH p AS (

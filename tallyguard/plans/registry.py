@@ -1,8 +1,378 @@
-"""Queries by name, and the SQL that each is held against."""
+"""Registered queries: each applies one operator to the transactions that the adapter derives from ``events``.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+Results are flattened for comparison: decimals as doubles, times as epoch seconds, dates and lists as text.
+"""
+
+from __future__ import annotations
+
+import datetime
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallyguard.config import QualityContract, RulesConfig
+from tallyguard.operators import evaluate, features, gold, history, monitoring, quality, rules, serving, silver
+from tallyguard.operators.models import dataset_signature, time_cutoff, time_split
+from tallyguard.plans import oracles
+from tallyguard.sources import adapter, decode, readers
+from tallyguard.store import missing_tokens
+
+
+def flat(df: DataFrame) -> DataFrame:
+    def plain(f: T.StructField):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DecimalType):
+            c = c.cast("double")
+        elif isinstance(f.dataType, T.TimestampType):
+            c = F.unix_seconds(c)
+        elif isinstance(f.dataType, T.DateType):
+            c = c.cast("string")
+        elif isinstance(f.dataType, T.ArrayType):
+            c = F.array_join(c, ",")
+        elif isinstance(f.dataType, (T.IntegerType, T.ShortType)):
+            c = c.cast("long")
+        return c.alias(f.name)
+
+    return df.select(*map(plain, df.schema.fields))
+
+
+def rounded(df: DataFrame, **places: int) -> DataFrame:
+    return df.withColumns({c: F.round(c, n) for c, n in places.items()})
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared place that the cluster names, or of this machine where none is named."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-scratch-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def raw(spark, sf_dir):
+    return adapter.raw_transactions(spark, sf_dir)
+
+
+def silver_of(spark, sf_dir):
+    return silver.to_silver(silver.split_valid_invalid(raw(spark, sf_dir))[0])
+
+
+def featured(spark, sf_dir):
+    return features.add_features(silver_of(spark, sf_dir))
+
+
+def ruled(spark, sf_dir):
+    return rules.apply_rules(featured(spark, sf_dir))
+
+
+def decided(spark, sf_dir):
+    """Rules and the ensemble's policy over given member probabilities."""
+    offset = F.col("transaction_id") - 100001
+    members = ruled(spark, sf_dir).withColumn("m0", F.when(offset % 13 != 0, offset % 101 / F.lit(100.0))).withColumn("m1", offset % 37 / F.lit(100.0))
+    return rules.apply_policy(members, ["m0", "m1"])
+
+
+def labelled(spark, sf_dir):
+    return evaluate.joined(ruled(spark, sf_dir), adapter.fraud_labels(spark, sf_dir))
 
 
 def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count()
+    """Transactions, mean risk and amount by decision."""
+    out = ruled(spark, sf_dir).groupBy("decision").agg(F.count("*").alias("transactions"), F.round(F.avg("risk_score"), 4).alias("mean_risk"), F.sum("amount_usd").alias("total_amount_usd"))
+    return flat(out)
+
+
+def a2_confluent_metadata(spark, sf_dir):
+    lined = decode.extract_confluent_metadata(adapter.broker_records(spark, sf_dir))
+    return flat(lined.select((F.col("offset") + 100001).alias("transaction_id"), "kafka_confluent_magic", "kafka_schema_id"))
+
+
+def a3_strip_header(spark, sf_dir):
+    bare = decode.strip_confluent_header(adapter.broker_records(spark, sf_dir))
+    text = F.col("value").cast("string")
+    return flat(bare.select(F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"), F.get_json_object(text, "$.Trans_id").cast("long").alias("transaction_id"), F.get_json_object(text, "$.Currency").alias("currency")))
+
+
+def a4_decode(spark, sf_dir):
+    names = "Trans_id, Clt_id, Card_id, Dev_id, Trans_amount, Trans_date, Trans_type, Trans_status, Currency, Country_Src, kafka_partition, kafka_offset, kafka_timestamp, kafka_confluent_magic, kafka_schema_id"
+    return flat(decode.decode_transactions(adapter.broker_records(spark, sf_dir)).select(*names.split(", ")))
+
+
+def a5_layer_scan(spark, sf_dir):
+    return readers.read_layer(spark, f"{sf_dir}/events.parquet").where("user_id < 100").select("event_id", "event_type")
+
+
+def a6_table_scan(spark, sf_dir):
+    silver_of(spark, sf_dir).createOrReplaceTempView("silver_transactions")
+    return readers.read_table(spark, "silver_transactions").groupBy("currency").agg(F.count("*").alias("n"))
+
+
+def a8_labels_csv(spark, sf_dir):
+    path = scratch(spark, "labels")
+    adapter.fraud_labels(spark, sf_dir).write.option("header", True).csv(path)
+    return flat(readers.read_labels(spark, path))
+
+
+def a9_replay(spark, sf_dir):
+    path = scratch(spark, "replay")
+    fixed = raw(spark, sf_dir).where("Clt_id is not null").select(*(c for c in raw(spark, sf_dir).columns if not c.startswith("kafka_")))
+    lines = fixed.select(F.to_json(F.struct(*fixed.columns)).alias("value"))
+    lines.union(lines.limit(1).select(F.lit("").alias("value"))).union(lines.limit(1).select(F.lit("{broken").alias("value"))).write.text(path)
+    return flat(readers.read_replay(spark, path)[0].select("key", "Trans_id", "Trans_amount"))
+
+
+def a14_upsert_state(spark, sf_dir):
+    """The newer half first, then the older half: no client's state goes back in time."""
+    state = serving.client_state(decided(spark, sf_dir))
+    early = serving.client_state(decided(spark, sf_dir).where("transaction_id % 2 = 0"))
+    return flat(serving.upsert_state(state, early).drop("updated_at"))
+
+
+def a16_alert_dedup(spark, sf_dir):
+    alerts = serving.build_alerts(decided(spark, sf_dir), "tok")
+    stored = decided(spark, sf_dir).where("transaction_id % 2 = 0").select(F.concat_ws(":", F.lit("tok"), "transaction_id").alias("alert_id"))
+    return flat(serving.new_alerts(alerts.union(alerts), stored).select("alert_id", "client_id", "decision"))
+
+
+def a17_state_lookup(spark, sf_dir):
+    return flat(serving.lookup(serving.client_state(decided(spark, sf_dir)), 7).select("client_id", "last_transaction_id", "last_decision"))
+
+
+def a22_commit_markers(spark, sf_dir):
+    tokens = raw(spark, sf_dir).select(F.concat(F.lit("p"), F.col("kafka_partition")).alias("batch_token"))
+    return missing_tokens(tokens, tokens.where("batch_token = 'p1'"))
+
+
+def a24_dead_letters(spark, sf_dir):
+    r = raw(spark, sf_dir)
+    good = F.to_json(F.struct(*(c for c in r.columns if not c.startswith("kafka_"))))
+    lines = r.select(F.when(F.col("Trans_id") % 10 == 0, F.concat(F.lit("{broken "), F.col("Trans_id"))).otherwise(good).alias("value"))
+    return decode.dead_letters(lines).select("reason", F.get_json_object("envelope", "$.record").alias("record"))
+
+
+def a25_null_probability(spark, sf_dir):
+    return rules.without_model(ruled(spark, sf_dir)).select("transaction_id", "decision", "ml_probability")
+
+
+def b1_dq_errors(spark, sf_dir):
+    return flat(silver.add_dq_errors(raw(spark, sf_dir)).select("Trans_id", "dq_errors"))
+
+
+def b2_split(spark, sf_dir):
+    valid, invalid = silver.split_valid_invalid(raw(spark, sf_dir))
+    both = valid.select(F.lit("valid").alias("part"), "Trans_id").union(invalid.select(F.lit("invalid"), "Trans_id"))
+    return both.groupBy("part").agg(F.count("*").alias("n"), F.sum("Trans_id").alias("ids"))
+
+
+def b3_silver(spark, sf_dir):
+    return flat(silver_of(spark, sf_dir).select("transaction_id", "client_id", "card_id", "device_id", "fx_rate", "amount_usd", "currency", "txn_type", "status", "country_src", "event_time", "event_date"))
+
+
+def b4_fx_rate(spark, sf_dir):
+    return flat(raw(spark, sf_dir).select("Trans_id", silver.fx_rate(F.col("Currency")).alias("fx_rate")))
+
+
+def b5_amount_usd(spark, sf_dir):
+    return flat(raw(spark, sf_dir).select("Trans_id", silver.to_usd(F.col("Trans_amount"), silver.fx_rate(F.col("Currency"))).alias("amount_usd")))
+
+
+def b6_high_amount(spark, sf_dir):
+    return silver_of(spark, sf_dir).where(rules.rule_flags(RulesConfig())["HIGH_AMOUNT"]).select("transaction_id")
+
+
+def b7_non_pass(spark, sf_dir):
+    return decided(spark, sf_dir).where("decision <> 'PASS'").select("transaction_id", "decision")
+
+
+def b8_one_day(spark, sf_dir):
+    return flat(decided(spark, sf_dir).where(F.col("event_date") == F.lit(datetime.date(2026, 9, 2))).select("transaction_id", "risk_score"))
+
+
+def b9_history_bound(spark, sf_dir):
+    s = silver_of(spark, sf_dir)
+    return history.touched_history(s.where("transaction_id % 3 = 0"), s.where("transaction_id % 3 <> 0"), hours=24).select("transaction_id")
+
+
+def b11_ranges(spark, sf_dir):
+    return silver_of(spark, sf_dir).where(F.col("amount_usd").between(8000, 9999) | F.col("country_src").isin("USA", "Jordan")).select("transaction_id")
+
+
+def b12_transaction_risk_view(spark, sf_dir):
+    return flat(gold.fraud_transaction_risk(decided(spark, sf_dir).withColumn("batch_token", F.concat(F.lit("p"), F.col("card_id")))))
+
+
+def c1_drop_committed(spark, sf_dir):
+    s = silver_of(spark, sf_dir)
+    stored = s.where("transaction_id % 4 = 0").withColumn("batch_token", F.when(F.col("card_id") == 2, "own").otherwise("other"))
+    return history.drop_committed(s, stored, "own").select("transaction_id")
+
+
+def c2_touched_history(spark, sf_dir):
+    s = silver_of(spark, sf_dir)
+    return history.touched_history(s.where("transaction_id % 50 = 1"), s).select("transaction_id")
+
+
+def c3_batch_of_history(spark, sf_dir):
+    s = silver_of(spark, sf_dir)
+    both = history.with_history(s.where("transaction_id % 3 = 0"), s.where("transaction_id % 3 <> 0"))
+    return flat(history.only_batch(rules.apply_rules(both)).select("transaction_id", "matched_rules", "risk_score", "decision"))
+
+
+def c5_labelled_decisions(spark, sf_dir):
+    return flat(labelled(spark, sf_dir).select("transaction_id", "decision", "is_fraud", "pattern"))
+
+
+def d1_customer_daily_risk(spark, sf_dir):
+    return flat(gold.customer_daily_risk(decided(spark, sf_dir)))
+
+
+def d2_daily_kpis(spark, sf_dir):
+    return flat(gold.daily_kpis(decided(spark, sf_dir), gold.calendar(spark, datetime.date(2026, 9, 6), 7)))
+
+
+def d4_daily_kpis_view(spark, sf_dir):
+    return flat(gold.daily_fraud_kpis(decided(spark, sf_dir)))
+
+
+def d5_client_risk_view(spark, sf_dir):
+    return flat(gold.client_risk_summary(decided(spark, sf_dir)))
+
+
+def d6_feature_monitoring_view(spark, sf_dir):
+    return rounded(flat(gold.fraud_feature_monitoring(featured(spark, sf_dir))), avg_txn_count_5m=6, avg_amount_sum_1h=4, avg_amount_to_prior_avg=4, new_device_rate=6, country_change_rate=6)
+
+
+def d7_model_monitoring_view(spark, sf_dir):
+    return rounded(flat(gold.model_decision_monitoring(decided(spark, sf_dir), exact=True)), avg_ml_probability=6, p50_ml_probability=6, p95_ml_probability=6)
+
+
+def d8_decision_counts(spark, sf_dir):
+    return decided(spark, sf_dir).groupBy("decision").agg(F.count("*").alias("n"), F.round(F.avg("ml_probability"), 6).alias("mean_probability"))
+
+
+def d10_offset_summary(spark, sf_dir):
+    return flat(history.offset_summary(adapter.raw_transactions(spark, sf_dir, duplicates=True)))
+
+
+def d11_batch_token(spark, sf_dir):
+    return history.token_frame(adapter.raw_transactions(spark, sf_dir, duplicates=True))
+
+
+def d12_distinct_clients(spark, sf_dir):
+    return silver_of(spark, sf_dir).select("client_id").distinct()
+
+
+def d13_deduplicate(spark, sf_dir):
+    return flat(silver.deduplicate(adapter.raw_transactions(spark, sf_dir, duplicates=True)).select("Trans_id", "kafka_partition", "kafka_offset"))
+
+
+def d14_dataset_signature(spark, sf_dir):
+    return dataset_signature(silver_of(spark, sf_dir).withColumn("label", (F.col("device_id") >= 900000).cast("double")))
+
+
+def d15_class_counts(spark, sf_dir):
+    return adapter.fraud_labels(spark, sf_dir).agg(F.count_if(F.col("is_fraud") == 1).alias("positives"), F.count_if(F.col("is_fraud") == 0).alias("negatives"))
+
+
+def d16_time_cutoff(spark, sf_dir):
+    return flat(time_cutoff(silver_of(spark, sf_dir), exact=True))
+
+
+def d17_min_event_time(spark, sf_dir):
+    return flat(silver_of(spark, sf_dir).agg(F.min("event_time").alias("first_event")))
+
+
+def e1_features(spark, sf_dir):
+    f = featured(spark, sf_dir).select("transaction_id", "txn_count_5m", "amount_sum_1h", "avg_amount_prior_30", "stddev_amount_prior_30", "seconds_since_prev_txn", "device_new_30d", "country_changed", "amount_to_prior_avg")
+    return rounded(f, stddev_amount_prior_30=3)
+
+
+def _flag(rule: str, name: str):
+    def query(spark, sf_dir):
+        s = silver_of(spark, sf_dir)
+        return s.select("transaction_id", F.coalesce(rules.rule_flags(RulesConfig())[rule], F.lit(False)).alias(name))
+
+    return query
+
+
+def e15_latest_per_client(spark, sf_dir):
+    return serving.latest_per_client(decided(spark, sf_dir)).select("client_id", "transaction_id")
+
+
+def r1_apply_rules(spark, sf_dir):
+    return flat(rules.apply_rules(silver_of(spark, sf_dir)).select("transaction_id", "matched_rules", "risk_score", "decision"))
+
+
+def r5_ensemble_policy(spark, sf_dir):
+    return flat(decided(spark, sf_dir).select("transaction_id", "ml_probability", "risk_score", "decision"))
+
+
+def j1_alerts(spark, sf_dir):
+    made = serving.build_alerts(decided(spark, sf_dir), "tok")
+    parsed = made.select("key", F.from_json("value", serving.ALERT_SCHEMA).alias("a"))
+    return flat(parsed.select("key", *(f"a.{c}" for c in ("transaction_id", "client_id", "amount_usd", "currency", "decision", "risk_score", "matched_rules", "event_time"))))
+
+
+def u1_history_union(spark, sf_dir):
+    s = silver_of(spark, sf_dir)
+    both = history.with_history(s.where("transaction_id % 3 = 0"), s.where("transaction_id % 2 = 0").withColumn("batch_token", F.lit("old")))
+    return both.select("transaction_id", F.col("_in_batch").alias("in_batch"))
+
+
+def q4_quality_report(spark, sf_dir):
+    return quality.validation_report(silver_of(spark, sf_dir))
+
+
+def q2_raw_quality(spark, sf_dir):
+    return quality.validation_report(raw(spark, sf_dir), QualityContract(("Clt_id",), (("Trans_amount", 0, True),)))
+
+
+def q7_recovery_check(spark, sf_dir):
+    return quality.recovery_check(silver_of(spark, sf_dir), (100001, 100500), (100501, 200000))
+
+
+def v1_confusion(spark, sf_dir):
+    return evaluate.precision_recall(evaluate.confusion(labelled(spark, sf_dir)))
+
+
+def v3_recall_by_pattern(spark, sf_dir):
+    return evaluate.recall_by_pattern(labelled(spark, sf_dir))
+
+
+def v4_precision_by_rule(spark, sf_dir):
+    return evaluate.precision_by_rule(labelled(spark, sf_dir))
+
+
+def m3_time_split(spark, sf_dir):
+    train, check = time_split(silver_of(spark, sf_dir), exact=True)
+    return train.agg(F.count("*").alias("training_rows")).crossJoin(check.agg(F.count("*").alias("validation_rows")))  # one row each
+
+
+def batches_of(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return e.select(F.col("ts").cast("timestamp").alias("ts"), (F.col("event_id") % 7).alias("decisions"), (F.col("event_id") % 3).alias("alerts"), (F.col("event_id") % 97 == 96).cast("int").alias("quarantined"), (F.col("event_id") % 5).alias("feature_rows"), F.col("value").alias("duration_seconds"))
+
+
+def mt2_rolling_rates(spark, sf_dir):
+    rates = flat(monitoring.rolling_rates(batches_of(spark, sf_dir), exact=True))
+    return rounded(rates, decisions_rate=6, alerts_rate=6, quarantined_rate=6, feature_rows_rate=6, p95_duration=6)
+
+
+def mt3_conditions(spark, sf_dir):
+    return flat(monitoring.conditions(monitoring.rolling_rates(batches_of(spark, sf_dir), exact=True)))
+
+
+_FLAGS = {"e9_mule": ("MULE", "mule"), "e11_velocity": ("VELOCITY", "velocity"), "e12_structuring": ("STRUCTURING", "structuring"), "e13_impossible_travel": ("IMPOSSIBLE_TRAVEL", "impossible_travel"), "e14_new_device": ("NEW_DEVICE_HIGH_VALUE", "new_device")}
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        a2_confluent_metadata, a3_strip_header, a4_decode, a5_layer_scan, a6_table_scan, a8_labels_csv, a9_replay, a14_upsert_state, a16_alert_dedup, a17_state_lookup, a22_commit_markers, a24_dead_letters, a25_null_probability,
+        b1_dq_errors, b2_split, b3_silver, b4_fx_rate, b5_amount_usd, b6_high_amount, b7_non_pass, b8_one_day, b9_history_bound, b11_ranges, b12_transaction_risk_view,
+        c1_drop_committed, c2_touched_history, c3_batch_of_history, c5_labelled_decisions,
+        d1_customer_daily_risk, d2_daily_kpis, d4_daily_kpis_view, d5_client_risk_view, d6_feature_monitoring_view, d7_model_monitoring_view, d8_decision_counts, d10_offset_summary, d11_batch_token, d12_distinct_clients, d13_deduplicate, d14_dataset_signature, d15_class_counts, d16_time_cutoff, d17_min_event_time,
+        e1_features, e15_latest_per_client, r1_apply_rules, r5_ensemble_policy, j1_alerts, u1_history_union, q4_quality_report, q2_raw_quality, q7_recovery_check, v1_confusion, v3_recall_by_pattern, v4_precision_by_rule, m3_time_split, mt2_rolling_rates, mt3_conditions,
+    )
+}
+QUERIES |= {name: _flag(*x) for name, x in _FLAGS.items()} | {"k1_flagship": flagship}
+ORACLES = {name: oracles.ORACLES[name] for name in QUERIES if name in oracles.ORACLES}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyguard.schemas import LABELS, RAW
 
@@ -48,8 +48,7 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 
 def read_replay(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Corrected dead letters, one JSON object a line: (records with key ``Clt_id``, lines that still don't parse)."""
-    schema = StructType(list(RAW.fields)).add("_corrupt_record", StringType())
-    lines = spark.read.schema(schema).json(path)
+    schema = StructType([*RAW.fields, StructField("_corrupt_record", StringType())])
+    lines = spark.read.text(path).where(F.trim("value") != "").select(F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("r")).select("r.*")
     good = lines.where("_corrupt_record is null").select(F.col("Clt_id").cast("string").alias("key"), *RAW.fieldNames())
-    bad = lines.where("_corrupt_record is not null").select(F.col("_corrupt_record").alias("line"))
-    return good, bad
+    return good, lines.where("_corrupt_record is not null").select(F.col("_corrupt_record").alias("line"))

@@ -64,6 +64,14 @@ class TableStore:
         tagged = rows.withColumn("batch_token", F.lit(token)).withColumn("batch_part", F.lit(token))
         tagged.write.mode("append").partitionBy("batch_part", date).parquet(self.path(name))
 
+    def stage(self, rows: DataFrame, name: str) -> DataFrame:
+        """Rows written aside and read back: later writes to the tables that they came from don't touch them."""
+        rows.write.mode("overwrite").parquet(f"{self.base}/_staging/{name}")
+        return self.spark.read.schema(rows.schema).parquet(f"{self.base}/_staging/{name}")
+
+    def unstage(self, name: str) -> None:
+        delete_path(self.spark, f"{self.base}/_staging/{name}")
+
     def overwrite_days(self, name: str, rows: DataFrame, date: str = "event_date") -> None:
         """Replace the days that ``rows`` holds, and no other."""
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(self.path(name))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyguard.config import EnsembleConfig, RulesConfig
@@ -51,15 +51,13 @@ class BatchProcessor:
             store.clear(token)
             store.write_batch("bronze", batch.withColumn("ingest_date", F.to_date("kafka_timestamp")), token)
             valid, invalid = silver.split_valid_invalid(silver.deduplicate(batch))
-            seen = Observation(f"quarantine-{token}")
-            store.write_batch("quarantine", invalid.withColumn("quarantine_date", F.to_date("quarantined_at")).observe(seen, F.count(F.lit(1)).alias("n")), token)
-            counts = {"quarantined": seen.get["n"]}
-            fresh = history.drop_committed(silver.to_silver(valid), store.read("silver"), token).persist()
-            try:
-                if not fresh.isEmpty():
-                    counts |= self._decide(fresh, token)
-            finally:
-                fresh.unpersist()
+            store.write_batch("quarantine", invalid.withColumn("quarantine_date", F.to_date("quarantined_at")), token)
+            counts = {"quarantined": store.read("quarantine").where(F.col("batch_token") == token).count()}
+            fresh = store.stage(history.drop_committed(silver.to_silver(valid), store.read("silver"), token), f"fresh-{token}")
+            if not fresh.isEmpty():
+                counts |= self._decide(fresh, token)
+            store.unstage(f"fresh-{token}")
+            store.unstage(f"scored-{token}")
             self._metrics(token, counts, time.time() - began)
             store.commit(token)
             return token
@@ -71,22 +69,18 @@ class BatchProcessor:
         past = history.touched_history(fresh, store.read("silver")).drop("batch_token")
         scored = history.only_batch(rules.apply_rules(features.add_features(history.with_history(fresh, past)), self.rules))
         scored = models.score(scored, self.models, self.ensemble) if self.models else rules.without_model(scored)
-        scored = scored.persist()
-        try:
-            seen = Observation(f"decisions-{token}")
-            by = {f"{d.lower()}_count": count_where(F.col("decision") == d) for d in ("PASS", "FLAG", "BLOCK")}
-            watched = scored.observe(seen, *(c.alias(n) for n, c in by.items()), F.avg("ml_probability").alias("avg_ml_probability"), F.count(F.lit(1)).alias("feature_rows"))
-            store.write_batch("decisions", watched, token)
-            store.write_batch("silver", scored.select(*SILVER.fieldNames()), token)
-            store.write_batch("features", scored.select(*FEATURES.fieldNames()), token)
-            store.write_state(serving.upsert_state(store.state(), serving.client_state(scored)))
-            counts = dict(seen.get)
-            counts["alerts"] = counts["flag_count"] + counts["block_count"]
-            if counts["alerts"]:
-                self._alert(serving.build_alerts(scored, token), token)
-            return counts
-        finally:
-            scored.unpersist()
+        by = {f"{d.lower()}_count": count_where(F.col("decision") == d) for d in ("PASS", "FLAG", "BLOCK")}
+        scored = store.stage(scored, f"scored-{token}")
+        store.write_batch("decisions", scored, token)
+        store.write_batch("silver", scored.select(*SILVER.fieldNames()), token)
+        store.write_batch("features", scored.select(*FEATURES.fieldNames()), token)
+        store.write_state(serving.upsert_state(store.state(), serving.client_state(scored)))
+        # One aggregate over the staged rows' few columns. (An Observation in a session breaks MLlib's evaluators there.)
+        counts = scored.agg(*(c.alias(n) for n, c in by.items()), F.avg("ml_probability").alias("avg_ml_probability"), F.count(F.lit(1)).alias("feature_rows")).first().asDict()
+        counts["alerts"] = counts["flag_count"] + counts["block_count"]
+        if counts["alerts"]:
+            self._alert(serving.build_alerts(scored, token), token)
+        return counts
 
     def _alert(self, alerts: DataFrame, token: str) -> None:
         if self.alert_options:

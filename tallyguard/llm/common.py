@@ -9,6 +9,7 @@ import numpy as np
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Java and DuckDB form of a word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -16,6 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 #: Rows of a few numbers that a broadcast may hold: under 16 MB.
 BROADCAST_ROWS = 200_000
+#: Rows of a checkpoint that one task should read at least.
+ROWS_PER_PARTITION = 50_000
+TEXTS_PER_BATCH = 1000
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -28,7 +32,20 @@ def checkpoint(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         shared = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint()
+    held = df.checkpoint()
+    # Few rows in many partitions would make as many files of every later shuffle.
+    parts = held.rdd.getNumPartitions()
+    if parts > context.defaultParallelism:
+        held = held.coalesce(max(context.defaultParallelism, min(parts, held.count() // ROWS_PER_PARTITION + 1)))
+    return held
+
+
+def map_texts(df: DataFrame, run, schema: str | StructType) -> DataFrame:
+    """mapInArrow() over rows with whole texts: batches of fewer rows than the default, unless the session says otherwise."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(name) == "10000":
+        df.sparkSession.conf.set(name, str(TEXTS_PER_BATCH))
+    return df.mapInArrow(run, schema)
 
 
 def maybe_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:

@@ -15,14 +15,21 @@ from tallyguard.llm.common import checkpoint
 MAX_ROUNDS = 60
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Hook the larger (or the smaller) neighbours of each node onto the least node around it."""
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = both.join(least, "u")
-    if large:
-        return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+def _least(edges: DataFrame) -> DataFrame:
+    """(u, m): the least node among u and its neighbours."""
+    return edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Hook every larger neighbour of a node onto the least node around it."""
+    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    return both.join(_least(both), "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Hook every smaller neighbour of a node, and the node, onto the least of them."""
+    least = _least(edges)
+    return edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.where("u <> m").select("u", F.col("m").alias("v")))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -32,13 +39,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     a null are ignored. Nodes without an edge to another node don't come back.
     """
     a, b = edges.columns[:2]
-    now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct()
-    now = checkpoint(now)
+    now = checkpoint(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct())
     mark = None
     for _ in range(MAX_ROUNDS):
         if mark is None and now.isEmpty():
             break
-        now = checkpoint(_star(_star(now, True), False))
+        parts = now.rdd.getNumPartitions()
+        now = checkpoint(_small_star(_large_star(now).coalesce(2 * parts)).coalesce(2 * parts).distinct())
         # Stars don't change any more: equal row counts and equal order-free sums of the rows' hashes.
         new = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if new == mark:

@@ -161,9 +161,9 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """
     verdicts = checkpoint(exact_duplicates(docs.select("doc_id", "text")))
     gone = verdicts.where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
-    keyed = docs.withColumn("__key", F.sha2(normalised(F.col("text")), 256))
-    stays = keyed.join(maybe_broadcast(gone), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__sha")), "left_anti")
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.sha2(normalised(F.col("text")), 256).alias("sha"))
+    stays = keyed.join(maybe_broadcast(gone), F.col("row.doc_id").eqNullSafe(F.col("__id")) & (F.col("sha") == F.col("__sha")), "left_anti")
     if not verdicts.where("kept").groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty():
-        order = Window.partitionBy("doc_id", "__key").orderBy(F.length("text").desc_nulls_last(), "text")
-        stays = stays.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
-    return stays.drop("__key")
+        order = Window.partitionBy("row.doc_id", "sha").orderBy(F.length("row.text").desc_nulls_last(), "row.text")
+        stays = stays.withColumn("first", F.row_number().over(order)).where("first = 1")
+    return stays.select("row.*")

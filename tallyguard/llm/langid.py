@@ -2,8 +2,8 @@
 
 Two texts' kernel is the number of byte n-grams (one to three, ASCII letters lower-cased, other ASCII read as a space)
 that both hold, over the root of the product of their own numbers: a blended-spectrum presence kernel, with n-grams
-hashed into FEATURES cells. Training texts are a bounded sample of labelled rows, the same number for each language:
-PER_LANGUAGE at most, TRAINED in all; LANDMARKS of them span the Nystroem features. Scoring a batch of texts
+hashed into FEATURES cells. Training texts are a bounded sample of labelled rows, about the same number for each language:
+PER_LANGUAGE on average, TRAINED in all at most; LANDMARKS of them span the Nystroem features. Scoring a batch of texts
 is two matrix products. Whole texts are read; a text's n-grams take one bit each, however long it is.
 
 A text without a letter (null, empty) is ``und`` with score 0, and so is everything if nothing can be learned. The score is
@@ -16,10 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import held_out, received, send
+from tallyguard.llm.common import checkpoint, held_out, map_texts, maybe_broadcast, received, send
 from tallyguard.llm.textops import chunks
 
 FEATURES = 1 << 16
@@ -78,10 +78,12 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_sample(docs: DataFrame) -> DataFrame:
-    """(doc_id, draw) of the rows to learn from: the first of each language by a hash of the id."""
+    """(doc_id, draw) of the rows to learn from: of each language those whose id's hash is small, PER_LANGUAGE on average."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", F.xxhash64("doc_id").alias("draw"))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
-    return usable.withColumn("n", first).where(F.col("n") <= PER_LANGUAGE).orderBy("n", "lang").limit(TRAINED).select("doc_id", "draw")
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    share = F.shiftrightunsigned("draw", 11) / F.lit(float(1 << 53)) * F.col("n")
+    drawn = usable.join(maybe_broadcast(checkpoint(counts)), "lang").withColumn("turn", share).where(F.col("turn") < PER_LANGUAGE)
+    return drawn.orderBy("turn", "doc_id").limit(TRAINED).select("doc_id", "draw")
 
 
 class Model:
@@ -140,7 +142,7 @@ def _predictor(held):
 
 def train(docs: DataFrame) -> Model:
     chosen = training_sample(docs)
-    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").select("text", "lang", "draw").mapInArrow(_bits, "lang string, draw long, bits binary")
+    rows = map_texts(docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").select("text", "lang", "draw"), _bits, "lang string, draw long, bits binary")
     held = sorted(((r["draw"], r["lang"], bytes(r["bits"])) for r in rows.limit(TRAINED).collect()))  # TRAINED rows of 8 KB at most
     bits = np.array([np.unpackbits(np.frombuffer(x[2], np.uint8)).astype(bool) for x in held]).reshape(len(held), FEATURES)
     return Model([x[1] for x in held], bits)
@@ -150,4 +152,4 @@ def identify(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, lang_pred, score."""
     held = send(docs.sparkSession, train(docs))
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return rows.mapInArrow(_predictor(held), "doc_id long, held_out boolean, lang_pred string, score double")
+    return map_texts(rows, _predictor(held), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import checkpoint, maybe_broadcast
+from tallyguard.llm.common import checkpoint, map_texts, maybe_broadcast
 from tallyguard.llm.components import connected_components
 from tallyguard.llm.textops import LOWER, chunks, mix, prefix_hash, shingles, span_hash, words
 
@@ -219,7 +219,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     Two documents are linked if 100 * (shared shingles of ``k`` words) >= ``threshold`` * (shingles of either).
     """
     texts = docs.select("doc_id", "text")
-    rows = checkpoint(texts.mapInArrow(_sketcher(k), "doc_id long, n long, s1 long, s2 long, keys array<long>"))
+    rows = checkpoint(map_texts(texts, _sketcher(k), "doc_id long, n long, s1 long, s2 long, keys array<long>"))
     classes = checkpoint(rows.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")))
     # Buckets with more than one class, and their members.
     bands = classes.where("rep is not null").select("rep", "n", F.explode("keys").alias("key"))
@@ -227,11 +227,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     members = checkpoint(bands.join(maybe_broadcast(shared), "key"))
     # The sets of every document that shares a bucket.
     wanted = checkpoint(members.select(F.col("rep").alias("doc_id")).distinct())
-    sets = checkpoint(texts.join(maybe_broadcast(wanted), "doc_id", "left_semi").mapInArrow(_setter(k), "doc_id long, set binary").withColumnRenamed("doc_id", "doc"))
+    sets = checkpoint(map_texts(texts.join(maybe_broadcast(wanted), "doc_id", "left_semi"), _setter(k), "doc_id long, set binary").withColumnRenamed("doc_id", "doc"))
     fit = 100 * F.least("n", "pivot_n") >= threshold * F.greatest("n", "pivot_n")
     pairs = checkpoint(members.where(F.col("rep") != F.col("pivot")).where(fit).select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
-    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"))
-    right = pairs.join(salts, "a").select("a", F.expr("cast(pmod(hash(b), salts) as int)").alias("salt"), F.lit(1).alias("side"), F.col("b").alias("doc"))
+    salts = checkpoint(pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts")))
+    right = pairs.join(maybe_broadcast(salts), "a").select("a", F.expr("cast(pmod(hash(b), salts) as int)").alias("salt"), F.lit(1).alias("side"), F.col("b").alias("doc"))
     left = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("side"), F.col("a").alias("doc"))
     star = right.union(left).join(sets, "doc").select("a", "salt", "side", "doc", "set")
     links = checkpoint(_by(star, "a", "salt").mapInArrow(_star(threshold), "a long, b long"))

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tallyguard.llm.common import map_texts
 from tallyguard.llm.textops import IS_SPACE, chunks, prefix_hash, span_hash, words
 
 MIN_REPEAT = 8
@@ -165,4 +166,4 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repetition_rules(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` with the counts and the verdict; see the module's text."""
-    return docs.select("doc_id", "text").mapInArrow(_judge, SCHEMA)
+    return map_texts(docs.select("doc_id", "text"), _judge, SCHEMA)

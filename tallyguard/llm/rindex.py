@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import bit_filter, checkpoint, in_filter, maybe_broadcast, received, send
+from tallyguard.llm.common import bit_filter, checkpoint, in_filter, map_texts, maybe_broadcast, received, send
 from tallyguard.llm.minhash import _runs
 from tallyguard.llm.textops import chunks, mix, prefix_hash, span_hash
 
@@ -358,9 +358,9 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """(key, first, last): byte spans that repeated strings of ``length`` bytes cover; see Chunk for the key."""
     spark, texts = docs.sparkSession, docs.select("doc_id", "text")
-    counted = texts.mapInArrow(_fingerprints(length), "fp long").groupBy("fp").count().where("count > 1").select("fp")
+    counted = map_texts(texts, _fingerprints(length), "fp long").groupBy("fp").count().where("count > 1").select("fp")
     repeated = checkpoint(counted)
-    near = texts.mapInArrow(_anchors(length, send(spark, bit_filter(repeated, "fp"))), ANCHOR)
+    near = map_texts(texts, _anchors(length, send(spark, bit_filter(repeated, "fp"))), ANCHOR)
     anchors = checkpoint(near.join(maybe_broadcast(repeated), "fp", "left_semi").select("key", "off", "fp", "ctx", "first", "last"))
     # Contexts: those that occur again are marked as they are; one copy of each stands for all.
     copies = checkpoint(anchors.groupBy("fp", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("key", "off", "first", "last")).alias("c")).select("fp", "ctx", "n", "c.*"))
@@ -371,7 +371,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     chosen = checkpoint(open_.join(maybe_broadcast(several), "fp").select("fp", "key", "off", "first", "contexts"))
     if not chosen.isEmpty():
         place = chosen.mapInArrow(_places, "place long")
-        around = texts.mapInArrow(_contexts(length, send(spark, bit_filter(place, "place"))), "key long, off long, bytes binary")
+        around = map_texts(texts, _contexts(length, send(spark, bit_filter(place, "place"))), "key long, off long, bytes binary")
         held = checkpoint(around.join(maybe_broadcast(chosen), ["key", "off"]).select("fp", "key", "first", "bytes", "contexts"))
         usual = held.where(F.col("contexts") <= hot).select("fp", "key", "first", "bytes").repartition("fp").sortWithinPartitions("fp")
         marks = marks.union(usual.mapInArrow(_indexer(length), "key long, first long, last long"))
@@ -394,7 +394,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     spark, texts = docs.sparkSession, docs.select("doc_id", "text")
     marks = checkpoint(repeated_spans(docs, length, hot).groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("marks")))
     held = send(spark, bit_filter(marks, "key"))
-    clean = texts.mapInArrow(_keyed(length, held, False), OUT)
-    touched = texts.mapInArrow(_keyed(length, held, True), "doc_id long, key long, bytes binary")
-    cut = touched.join(marks, "key", "left").select("doc_id", "bytes", "marks").mapInArrow(_cutter, OUT)
+    clean = map_texts(texts, _keyed(length, held, False), OUT)
+    touched = map_texts(texts, _keyed(length, held, True), "doc_id long, key long, bytes binary")
+    cut = map_texts(touched.join(marks, "key", "left").select("doc_id", "bytes", "marks"), _cutter, OUT)
     return clean.union(cut)

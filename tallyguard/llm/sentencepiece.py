@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import received, send
+from tallyguard.llm.common import map_texts, received, send
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -174,7 +174,7 @@ def _encoder(held):
 def encode(docs: DataFrame, path: str = MODEL) -> DataFrame:
     """One row per row of ``docs``: doc_id, ids, n_tokens, and round_trip: whether decoding gives the text again."""
     held = send(docs.sparkSession, Pieces(path))
-    return docs.select("doc_id", "text").mapInArrow(_encoder(held), "doc_id long, ids array<int>, n_tokens long, round_trip boolean")
+    return map_texts(docs.select("doc_id", "text"), _encoder(held), "doc_id long, ids array<int>, n_tokens long, round_trip boolean")
 
 
 def decode_table(encoded: DataFrame, path: str = MODEL) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Terms are strings of WINDOW bytes (ASCII letters lower-cased, other ASCII read as a space, so that a word's beginning and
 end belong to its terms); those that tell the labels apart are chosen by a chi-squared test. Examples are a bounded, documented sample of the
-labelled rows: EXAMPLES of each label at most. The index keeps a posting list for each term, cut into blocks of
+labelled rows: EXAMPLES of each label on average. The index keeps a posting list for each term, cut into blocks of
 BLOCK examples, and the largest weight of each block; a query reads blocks by falling upper bound and stops when no
 further block can hold one of its NEIGHBOURS nearest, so the neighbours are those of a full scan. Their votes, weighted by
 similarity, pass through an isotonic calibration fitted on the examples themselves, each left out of its own vote
@@ -10,7 +10,7 @@ and weighted so that both labels count as in the labelled rows.
 
 Whole texts are read. A text without any chosen term (a null or empty one too) has no neighbours and gets the calibrated
 score of such examples. Ties in similarity go to the smaller example id. Without labelled rows of both
-labels every score is the share of label 1 (0 if there are none). Rows are scored one by one, repeated or not; further
+labels, or a term that tells them apart, nothing is learned and every score is 0. Rows are scored one by one, repeated or not; further
 columns are ignored. Where a document is labelled more than once the larger label holds.
 """
 
@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import held_out, received, send
+from tallyguard.llm.common import checkpoint, held_out, map_texts, received, send
 from tallyguard.llm.langid import FOLD
 from tallyguard.llm.textops import chunks
 
@@ -39,26 +39,24 @@ PRIOR_WEIGHT = 0.25
 
 
 def codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, code) of every window of WINDOW bytes that lies in one text; texts count as enclosed in spaces."""
+    """(code of the WINDOW bytes from each place on, where each text begins and the last ends). Texts stand with
+    WINDOW - 1 spaces before, between and behind them, so that a window holds bytes of one text only."""
+    gap = WINDOW - 1
     n = len(offsets) - 1
-    padded = np.full(len(data) + 2 * n, 32, np.uint8)
-    doc = np.repeat(np.arange(n), np.diff(offsets))
-    padded[np.arange(len(data)) + 2 * doc + 1] = FOLD[data]
-    if len(padded) < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    code = np.zeros(len(padded) - WINDOW + 1, np.uint64)
+    padded = np.insert(FOLD[data], np.repeat(offsets, gap), np.uint8(32))
+    code = np.zeros(max(0, len(padded) - WINDOW + 1), np.uint64)
     for i in range(WINDOW):
         code = (code << np.uint64(8)) | padded[i : len(code) + i]
-    owner = np.repeat(np.arange(n), np.diff(offsets) + 2)
-    whole = owner[: len(code)] == owner[WINDOW - 1 :]
-    return owner[: len(code)][whole], code[whole]
+    return code, offsets + gap * np.arange(n + 1)
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(code, texts with label 1, texts with label 0), once for each code of a chunk."""
     for batch in batches:
         for rows, data, offsets in chunks(batch, size=1 << 19):
-            doc, code = codes(data, offsets)
+            code, begin = codes(data, offsets)
+            doc = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+            code = code[: len(doc)]
             order = np.lexsort((code, doc))
             doc, code = doc[order], code[order]
             new = np.ones(len(code), bool)
@@ -88,9 +86,9 @@ class Terms:
         out = [empty] * n
         if not len(self.codes):
             return out
-        doc, code = codes(data, offsets)
-        maybe = self.low[self._slot(code)]
-        doc, code = doc[maybe], code[maybe]
+        code, begin = codes(data, offsets)
+        place = np.flatnonzero(self.low[self._slot(code)])
+        code, doc = code[place], np.clip(np.searchsorted(begin, place, "right") - 1, 0, n - 1)
         term = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
         hit = self.codes[term] == code
         both, count = np.unique(doc[hit] * len(self.codes) + term[hit], return_counts=True)
@@ -117,12 +115,13 @@ class Index:
         term = np.concatenate([vectors[i][0] for i in order]) if n else np.zeros(0, np.int64)
         at = np.repeat(np.arange(n), [len(vectors[i][0]) for i in order])
         weight = np.concatenate([weighed[i] for i in order]) if n else np.zeros(0)
-        by_term = np.lexsort((at, term))
-        self.term, self.at, self.weight = term[by_term], at[by_term], weight[by_term]
-        #: Where the postings of each term and block begin, and the largest weight among them.
-        self.begin = np.searchsorted(self.term * (self.blocks + 1) + self.at // BLOCK, np.arange(terms)[:, None] * (self.blocks + 1) + np.arange(self.blocks + 1))
+        laid = np.lexsort((at, term, at // BLOCK))
+        #: Postings (term, example, weight), block by block and in each block term by term; where each block's begin.
+        self.term, self.at, self.weight = term[laid], at[laid] % BLOCK, weight[laid]
+        self.begin = np.searchsorted(at[laid] // BLOCK, np.arange(self.blocks + 1))
+        #: The largest weight of each term in each block.
         self.most = np.zeros((terms, self.blocks))
-        np.maximum.at(self.most, (self.term, self.at // BLOCK), self.weight)
+        np.maximum.at(self.most, (term, at // BLOCK), weight)
 
     def weigh(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         weight = (1 + np.log(np.maximum(counts, 1))) * self.idf[terms]
@@ -131,15 +130,15 @@ class Index:
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(example positions, cosines) of the k nearest with a cosine over 0, best first, ties by id."""
         query = self.weigh(terms, counts)
+        full = np.zeros(len(self.idf))
+        full[terms] = query
         bound = query @ self.most[terms] if len(terms) else np.zeros(self.blocks)
         found, scores, least = np.zeros(0, np.int64), np.zeros(0), 0.0
         for block in np.argsort(-bound, kind="stable"):
             if bound[block] <= 0 or (len(found) >= k and bound[block] < least - 1e-12):
                 break
-            sums = np.zeros(BLOCK)
-            for t, w in zip(terms, query, strict=True):
-                a, b = self.begin[t, block], self.begin[t, block + 1]
-                sums[self.at[a:b] - block * BLOCK] += w * self.weight[a:b]
+            a, b = self.begin[block], self.begin[block + 1]
+            sums = np.bincount(self.at[a:b], weights=full[self.term[a:b]] * self.weight[a:b], minlength=BLOCK)
             near = np.flatnonzero(sums > 0)
             at = near + block * BLOCK
             if without is not None:
@@ -197,14 +196,17 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = known.join(docs.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi")
     shares = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     total = sum(shares.values())
-    none = Model(Terms(np.zeros(0)), Index([], 0, np.zeros(0, np.int64), np.zeros(0)), np.ones(2), shares.get(1, 0) / max(1, total))
+    none = Model(Terms(np.zeros(0)), Index([], 0, np.zeros(0, np.int64), np.zeros(0)), np.ones(2), 0.0)
     if len(shares) < 2:
         return none
-    first = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    sample = known.withColumn("n", first).where(F.col("n") <= EXAMPLES).select("doc_id", "toxic")  # 2 * EXAMPLES rows at most
+    # Of each label the rows whose id's hash is small: EXAMPLES on average, twice as many in all at most.
+    turn = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53)) * F.when(F.col("toxic") == 1, shares[1]).otherwise(shares[0])
+    sample = checkpoint(known.withColumn("turn", turn).where(F.col("turn") < EXAMPLES).orderBy("turn", "doc_id").limit(2 * EXAMPLES).select("doc_id", "toxic"))
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "toxic")
-    held = {k: min(EXAMPLES, v) for k, v in shares.items()}
-    counted = texts.mapInArrow(_document_counts, "code long, ones long, zeros long").groupBy("code").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
+    held = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    if len(held) < 2:
+        return none
+    counted = map_texts(texts, _document_counts, "code long, ones long, zeros long").groupBy("code").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     rate1, rate0 = F.col("ones") / held[1], F.col("zeros") / held[0]
     pooled = (F.col("ones") + F.col("zeros")) / (held[0] + held[1])
     chi = (rate1 - rate0) ** 2 / (pooled * (1 - pooled) * (1 / held[0] + 1 / held[1]) + 1e-12)
@@ -218,7 +220,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                 found = terms.counts(data, offsets)
                 yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array([x[0] for x in found], pa.list_(pa.int64())), pa.array([x[1] for x in found], pa.list_(pa.int64()))], names=["doc_id", "toxic", "terms", "counts"])
 
-    got = texts.mapInArrow(vectors, "doc_id long, toxic int, terms array<long>, counts array<long>").dropDuplicates(["doc_id"]).collect()  # as many as the sample has ids, TERMS numbers each
+    got = map_texts(texts, vectors, "doc_id long, toxic int, terms array<long>, counts array<long>").dropDuplicates(["doc_id"]).collect()  # as many as the sample has ids, TERMS numbers each
     got.sort(key=lambda r: r["doc_id"])
     ids, toxic = np.array([r["doc_id"] for r in got], np.int64), np.array([r["toxic"] for r in got], np.int64)
     held_vectors = [(np.array(r["terms"], np.int64), np.array(r["counts"], np.int64)) for r in got]
@@ -266,7 +268,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, learn_from: DataFrame | N
     model = train(docs if learn_from is None else learn_from, labels)
     held = send(docs.sparkSession, model)
     rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return rows.mapInArrow(_scorer(held), "doc_id long, held_out boolean, score double, predicted int, evidence array<long>")
+    return map_texts(rows, _scorer(held), "doc_id long, held_out boolean, score double, predicted int, evidence array<long>")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -280,4 +282,4 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
             for rows, data, offsets in chunks(batch):
                 yield rows.filter(pa.array([x[0] < 0.5 for x in _scored(own, seen, data, offsets)], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_texts(docs, keep, docs.schema)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import bit_filter, checkpoint, in_filter, map_texts, maybe_broadcast, received, send
+from tallyguard.llm.common import bit_filter, checkpoint, in_filter, map_texts, received, send
 from tallyguard.llm.minhash import _runs
 from tallyguard.llm.textops import chunks, mix, prefix_hash, span_hash
 
@@ -87,10 +87,11 @@ class Chunk:
         a, b, at = self.begin[keep], self.end[keep], self.at[keep]
         base = self.offsets[self.doc[keep]]
         context = mix(span_hash(self.sums, a, b) + (at - a).astype(np.uint64)).view(np.int64)
-        return {"key": self.keys[self.doc[keep]], "off": at - base, "fp": self.fp[keep], "ctx": context, "first": a - base, "last": b - base}
+        return {"key": self.keys[self.doc[keep]], "fp": self.fp[keep], "ctx": context, "place": self.place()[keep], "first": a - base, "last": b - base}
 
 
-ANCHOR = "key long, off long, fp long, ctx long, first long, last long"
+ANCHOR = "key long, fp long, ctx long, place long, first long, last long"
+CONTEXT = "fp long, key long, first long, bytes binary"
 
 
 def _batch(columns: dict) -> pa.RecordBatch:
@@ -118,7 +119,8 @@ def _anchors(length: int, held):
 
 
 def _contexts(length: int, held):
-    """The bytes around the anchors at chosen places."""
+    """The bytes around the anchors at chosen places. The filter lets a few other places pass: their contexts are as true
+    as any, and a match with them is a match."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = received(held)
@@ -128,8 +130,7 @@ def _contexts(length: int, held):
                 keep = np.flatnonzero(in_filter(table, found.place()))
                 blob = data.tobytes()
                 texts = [blob[a:b] for a, b in zip(found.begin[keep], found.end[keep], strict=True)]
-                base = offsets[found.doc[keep]]
-                yield _batch({"key": found.keys[found.doc[keep]], "off": found.at[keep] - base, "bytes": pa.array(texts, pa.binary())})
+                yield _batch({"fp": found.fp[keep], "key": found.keys[found.doc[keep]], "first": found.begin[keep] - offsets[found.doc[keep]], "bytes": pa.array(texts, pa.binary())})
 
     return run
 
@@ -289,11 +290,11 @@ def _strings(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                part = np.frombuffer(batch.column(2)[i].as_py(), np.uint8)
+                part = np.frombuffer(batch.column(3)[i].as_py(), np.uint8)
                 starts = np.arange(len(part) - length + 1)
                 if len(starts):
                     h = span_hash(prefix_hash(part), starts, starts + length).view(np.int64)
-                    yield _batch({"h": h, "key": np.full(len(h), batch.column(0)[i].as_py()), "first": starts + batch.column(1)[i].as_py()})
+                    yield _batch({"h": h, "key": np.full(len(h), batch.column(1)[i].as_py()), "first": starts + batch.column(2)[i].as_py()})
 
     return run
 
@@ -361,34 +362,25 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     counted = map_texts(texts, _fingerprints(length), "fp long").groupBy("fp").count().where("count > 1").select("fp")
     repeated = checkpoint(counted)
     near = map_texts(texts, _anchors(length, send(spark, bit_filter(repeated, "fp"))), ANCHOR)
-    anchors = checkpoint(near.join(maybe_broadcast(repeated), "fp", "left_semi").select("key", "off", "fp", "ctx", "first", "last"))
+    anchors = checkpoint(near.join(repeated, "fp", "left_semi").select("key", "fp", "ctx", "place", "first", "last"))
     # Contexts: those that occur again are marked as they are; one copy of each stands for all.
-    copies = checkpoint(anchors.groupBy("fp", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("key", "off", "first", "last")).alias("c")).select("fp", "ctx", "n", "c.*"))
+    whole = F.col("last") - F.col("first")
+    copies = checkpoint(anchors.where(whole >= length).groupBy("fp", "ctx").agg(F.count("*").alias("n"), F.min("place").alias("place")))
     again = copies.where("n > 1").select("fp", "ctx")
-    marks = anchors.join(maybe_broadcast(checkpoint(again)), ["fp", "ctx"], "left_semi").where(F.col("last") - F.col("first") >= length).select("key", "first", "last")
-    open_ = copies.where(F.col("last") - F.col("first") >= length)
-    several = checkpoint(open_.groupBy("fp").agg(F.count("*").alias("contexts"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("single")).where("contexts > 1 and single > 0").select("fp", "contexts"))
-    chosen = checkpoint(open_.join(maybe_broadcast(several), "fp").select("fp", "key", "off", "first", "contexts"))
-    if not chosen.isEmpty():
-        place = chosen.mapInArrow(_places, "place long")
-        around = map_texts(texts, _contexts(length, send(spark, bit_filter(place, "place"))), "key long, off long, bytes binary")
-        held = checkpoint(around.join(maybe_broadcast(chosen), ["key", "off"]).select("fp", "key", "first", "bytes", "contexts"))
-        usual = held.where(F.col("contexts") <= hot).select("fp", "key", "first", "bytes").repartition("fp").sortWithinPartitions("fp")
-        marks = marks.union(usual.mapInArrow(_indexer(length), "key long, first long, last long"))
-        crowded = held.where(F.col("contexts") > hot).select("key", "first", "bytes")
-        if not crowded.isEmpty():
-            strings = crowded.mapInArrow(_strings(length), "h long, key long, first long").distinct()
-            twice = strings.groupBy("h").count().where("count > 1").select("h")
-            marks = marks.union(strings.join(twice, "h", "left_semi").select("key", "first", (F.col("first") + length).alias("last")))
+    marks = anchors.where(whole >= length).join(again, ["fp", "ctx"], "left_semi").select("key", "first", "last")
+    several = copies.groupBy("fp").agg(F.count("*").alias("contexts"), F.min("n").alias("fewest")).where("contexts > 1 and fewest = 1").select("fp", "contexts")
+    chosen = checkpoint(copies.join(several, "fp").select("place", "contexts"))
+    few, many = chosen.where(F.col("contexts") <= hot), chosen.where(F.col("contexts") > hot)
+    around = lambda places: map_texts(texts, _contexts(length, send(spark, bit_filter(places, "place"))), CONTEXT)
+    if not few.isEmpty():
+        marks = marks.union(around(few).repartition("fp").sortWithinPartitions("fp").mapInArrow(_indexer(length), "key long, first long, last long"))
+    if not many.isEmpty():
+        strings = checkpoint(around(many).mapInArrow(_strings(length), "h long, key long, first long").distinct())
+        twice = strings.groupBy("h").count().where("count > 1").select("h")
+        marks = marks.union(strings.join(twice, "h", "left_semi").select("key", "first", (F.col("first") + length).alias("last")))
     return marks
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        key, off = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy().astype(np.uint64)
-        yield _batch({"place": mix(key + mix(off)).view(np.int64)})
-
-
 def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     spark, texts = docs.sparkSession, docs.select("doc_id", "text")

@@ -66,23 +66,18 @@ def golomb_decode(blob: bytes) -> np.ndarray:
 
 
 def _sender(owners: int):
-    """Of each partition: one row per owner with the coded distinct fingerprints that fall to it."""
+    """Of each sender: one row per owner with the coded distinct fingerprints that fall to it."""
     width = np.uint64(-(-(1 << FINGERPRINT_BITS) // owners))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sender, parts = None, []
-        for batch in batches:
-            if batch.num_rows:
-                sender = batch.column(0)[0].as_py()
-                parts.append(np.unique(batch.column(1).to_numpy().astype(np.uint64)))
-        if not parts:
-            return
-        own = np.unique(np.concatenate(parts))
-        to = (own // width).astype(np.int64)
-        targets, at = np.unique(to, return_index=True)
-        bounds = np.append(at, len(own))
-        blobs = [golomb_encode(own[bounds[i] : bounds[i + 1]]) for i in range(len(targets))]
-        yield pa.RecordBatch.from_arrays([pa.array(targets, pa.int64()), pa.array(np.full(len(targets), sender), pa.int64()), pa.array(blobs, pa.binary())], names=["owner", "sender", "codes"])
+        held = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches if b.num_rows]
+        senders, fps = np.concatenate(held, axis=1) if held else np.zeros((2, 0), np.int64)
+        for sender in np.unique(senders):  # one, or a few whole ones where partitions were joined
+            own = np.unique(fps[senders == sender].astype(np.uint64))
+            targets, at = np.unique((own // width).astype(np.int64), return_index=True)
+            bounds = np.append(at, len(own))
+            blobs = [golomb_encode(own[bounds[i] : bounds[i + 1]]) for i in range(len(targets))]
+            yield pa.RecordBatch.from_arrays([pa.array(targets, pa.int64()), pa.array(np.full(len(targets), sender), pa.int64()), pa.array(blobs, pa.binary())], names=["owner", "sender", "codes"])
 
     return send
 

@@ -55,6 +55,13 @@ def test_exact_duplicates(spark):
     assert [r["text"] for r in exact_dedup.drop_exact_duplicates(twice).collect()] == ["sa me"]
 
 
+def test_exact_duplicates_across_many_senders(spark):
+    rows = [(i, f"text {i % 400}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(23)
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.exact_duplicates(df).collect()}
+    assert got == {i: (i % 400, 3 if i % 400 < 200 else 2) for i in range(1000)}
+
+
 def test_golomb_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 2, 50, 3000):

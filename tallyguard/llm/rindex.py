@@ -7,15 +7,15 @@ Matches are therefore measured at run ends only, kept there as samples, and stre
 its matching statistics against everything else in the index. Where they reach LENGTH, bytes are marked.
 
 Distribution. Each text is winnowed: of every LENGTH - WINDOW + 1 windows of WINDOW bytes in a row the one with the least
-hash is an anchor, so equal strings of LENGTH bytes hold an equal anchor at the same place, and an anchor's context, what a
-string of LENGTH bytes around it can reach, decides about all strings that hold it. Then
+hash is an anchor, so equal strings of LENGTH bytes have an equal anchor at the same place, and an anchor's context, the
+union of the strings that have it, decides about them. Then
 
-1. anchors whose window occurs once in the corpus are dropped,
+1. anchors are dropped unless their window, with half a window before or behind it, occurs twice in the corpus,
 2. contexts that occur twice or more are repeated as a whole and marked without further work,
 3. one copy of each remaining context goes to the index of its anchor. An index takes whole anchors, about INDEX_BYTES
    of contexts at a time; contexts of one text that overlap are joined, so that no byte is matched with itself,
 4. anchors with more than HOT contexts (a passage in very many different surroundings) are split by the strings
-   themselves: each of their LENGTH-byte strings is hashed and counted,
+   themselves: their LENGTH-byte strings are hashed and counted, those without a repeated piece left out first,
 5. marks meet their texts by a key of id and text. Only texts with marks are shuffled, once.
 
 Bytes are UTF-8 bytes; matches never cross texts. A null text is empty. Texts under LENGTH bytes keep all bytes but count
@@ -32,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import bit_filter, checkpoint, in_filter, map_texts, received, send
+from tallyguard.llm.common import BROADCAST_ROWS, bit_filter, checkpoint, in_filter, map_texts, received, send
 from tallyguard.llm.minhash import _runs
-from tallyguard.llm.textops import chunks, mix, prefix_hash, span_hash
+from tallyguard.llm.textops import chunks, mix, powers, prefix_hash, span_hash
 
 LENGTH = 400
 INDEX_BYTES = 1_000_000
@@ -45,7 +45,7 @@ def _sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
     """The least (or largest) of every ``width`` values in a row: one result for each full window."""
     step = np.minimum if least else np.maximum
     n = len(values)
-    padded = np.full(-(-n // width) * width, np.uint64(2**64 - 1) if least else np.uint64(0), np.uint64)
+    padded = np.full(-(-n // width) * width, np.iinfo(values.dtype).max if least else 0, values.dtype)
     padded[:n] = values
     table = padded.reshape(-1, width)
     ahead = step.accumulate(table, axis=1).ravel()
@@ -54,44 +54,80 @@ def _sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
 
 
 class Chunk:
-    """The anchors of the texts of a chunk."""
+    """The anchors of the texts of a chunk, and of each the strings that it decides about.
 
-    def __init__(self, ids: pa.Array, data: np.ndarray, offsets: np.ndarray, length: int):
-        self.data, self.offsets = data, offsets
+    A string of ``length`` bytes holds length - window + 1 windows; the one with the least hash is its anchor, so the strings of
+    an anchor begin at successive places ``low`` to ``high``, and its context reaches from low to high + length. Of equal
+    windows in one string the last counts, so that each string belongs to one anchor.
+    """
+
+    def __init__(self, ids: pa.Array, data: np.ndarray, offsets: np.ndarray, length: int, anchors: bool = True):
+        self.data, self.offsets, self.length, self.window = data, offsets, length, length // 2
         self.sums = prefix_hash(data)
         whole = span_hash(self.sums, offsets[:-1], offsets[1:])
         known = ids.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
         self.keys = mix(whole + mix(known * np.uint64(2) + ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint64))).view(np.int64)
-        self.at = np.zeros(0, np.int64)
-        window = length // 2
+        self.at = self.low = self.high = self.doc = np.zeros(0, np.int64)
+        if anchors and len(data) >= length:
+            self._winnow()
+        self.fp = span_hash(self.sums, self.at, self.at + self.window).view(np.int64)
+
+    def _winnow(self) -> None:
+        length, window, n = self.length, self.window, len(self.data)
         span = length - window + 1
-        if len(data) >= length:
-            starts = np.arange(len(data) - window + 1)
-            doc_end = np.repeat(offsets[1:], np.diff(offsets))
-            hashes = span_hash(self.sums, starts, starts + window) | np.uint64(1)
-            hashes[starts + window > doc_end[: len(starts)]] = np.uint64(2**64 - 1)
-            least = _sliding(hashes, span, True)
-            least[np.arange(len(least)) + length > doc_end[: len(least)]] = 0  # no string of that length begins here
-            edges = np.zeros(span - 1, np.uint64)
-            self.at = np.flatnonzero(_sliding(np.concatenate([edges, least, edges]), span, False) == hashes)
-        self.doc = np.searchsorted(offsets, self.at, "right") - 1
-        self.begin = np.maximum(offsets[self.doc], self.at - (length - window))
-        self.end = np.minimum(offsets[self.doc + 1], self.at + length)
-        self.fp = span_hash(self.sums, self.at, self.at + window).view(np.int64)
+        value = (self.sums[window:] - self.sums[:-window]) * powers(n + 1)[1][: n - window + 1]
+        keys = ((value * np.uint64(0xD1B54A32D192ED03)) >> np.uint64(33)).astype(np.uint32) + np.uint32(1)
+        none, ends = np.iinfo(np.uint32).max, self.offsets[1:].tolist()
+        for end in ends:  # windows that would cross into the next text
+            keys[max(0, end - window + 1) : end] = none
+        least = _sliding(keys, span, True)
+        for end in ends:  # no string of that length begins here
+            least[max(0, end - length + 1) : end] = 0
+        edges = np.zeros(span - 1, np.uint32)
+        at = np.flatnonzero(_sliding(np.concatenate([edges, least, edges]), span, False) == keys)
+        # Runs of strings with one least key; each belongs to the anchors with that key in its reach.
+        begin = np.concatenate([[0], np.flatnonzero(np.diff(least)) + 1])
+        end = np.append(begin[1:], len(least))
+        run = np.searchsorted(begin, np.maximum(0, at - span + 1), "right") - 1
+        low, high, own, live = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), np.ones(len(at), bool)
+        while live.any():  # the run that holds an anchor's key is at most a few runs on
+            r = np.minimum(run, len(begin) - 1)
+            hit = live & (least[begin[r]] == keys[at])
+            low[hit] = np.maximum(begin[r[hit]], at[hit] - span + 1)
+            high[hit] = np.minimum(end[r[hit]] - 1, at[hit])
+            own[hit] = r[hit]
+            live &= ~hit
+            run[live] += 1
+        tied = own[:-1] == own[1:]
+        high[:-1][tied] = np.minimum(high[:-1][tied], at[1:][tied] - span)
+        keep = low <= high
+        self.at, self.low, self.high = at[keep], low[keep], high[keep]
+        self.doc = np.searchsorted(self.offsets, self.at, "right") - 1
 
     def place(self) -> np.ndarray:
         """A hash of each anchor's text and place."""
         return mix(self.keys[self.doc].view(np.uint64) + mix((self.at - self.offsets[self.doc]).astype(np.uint64))).view(np.int64)
 
+    def sides(self) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the anchor's window with half a window before, or behind it: every string of the anchor holds one of the
+        two. 0 where the anchor has no string that needs it."""
+        half = self.window // 2
+        before, behind = self.at - self.low >= half, self.at - self.high <= self.length - self.window - half
+        a = np.where(before, self.at - half, self.at)
+        b = np.where(behind, self.at + self.window + half, self.at)
+        return np.where(before, span_hash(self.sums, a, self.at + self.window) | np.uint64(1), 0).view(np.int64), np.where(behind, (span_hash(self.sums, self.at, b) | np.uint64(3)) ^ np.uint64(1), 0).view(np.int64)
+
     def rows(self, keep: np.ndarray) -> dict[str, np.ndarray]:
-        a, b, at = self.begin[keep], self.end[keep], self.at[keep]
+        a, b, at = self.low[keep], self.high[keep] + self.length, self.at[keep]
         base = self.offsets[self.doc[keep]]
         context = mix(span_hash(self.sums, a, b) + (at - a).astype(np.uint64)).view(np.int64)
         return {"key": self.keys[self.doc[keep]], "fp": self.fp[keep], "ctx": context, "place": self.place()[keep], "first": a - base, "last": b - base}
 
 
 ANCHOR = "key long, fp long, ctx long, place long, first long, last long"
-CONTEXT = "fp long, key long, first long, bytes binary"
+CONTEXT = "fp long, key long, first long, at long, bytes binary"
+#: Text that is winnowed at once: its arrays stay near the processor.
+PART_BYTES = 1 << 18
 
 
 def _batch(columns: dict) -> pa.RecordBatch:
@@ -101,8 +137,9 @@ def _batch(columns: dict) -> pa.RecordBatch:
 def _fingerprints(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in chunks(batch):
-                yield _batch({"fp": Chunk(rows.column(0), data, offsets, length).fp})
+            for rows, data, offsets in chunks(batch, size=PART_BYTES):
+                sides = np.concatenate(Chunk(rows.column(0), data, offsets, length).sides())
+                yield _batch({"h": sides[sides != 0]})
 
     return run
 
@@ -111,9 +148,10 @@ def _anchors(length: int, held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = received(held)
         for batch in batches:
-            for rows, data, offsets in chunks(batch):
+            for rows, data, offsets in chunks(batch, size=PART_BYTES):
                 found = Chunk(rows.column(0), data, offsets, length)
-                yield _batch(found.rows(in_filter(table, found.fp)))
+                before, behind = found.sides()
+                yield _batch(found.rows(np.flatnonzero(((before != 0) & in_filter(table, before)) | ((behind != 0) & in_filter(table, behind)))))
 
     return run
 
@@ -125,12 +163,12 @@ def _contexts(length: int, held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = received(held)
         for batch in batches:
-            for rows, data, offsets in chunks(batch):
+            for rows, data, offsets in chunks(batch, size=PART_BYTES):
                 found = Chunk(rows.column(0), data, offsets, length)
                 keep = np.flatnonzero(in_filter(table, found.place()))
-                blob = data.tobytes()
-                texts = [blob[a:b] for a, b in zip(found.begin[keep], found.end[keep], strict=True)]
-                yield _batch({"fp": found.fp[keep], "key": found.keys[found.doc[keep]], "first": found.begin[keep] - offsets[found.doc[keep]], "bytes": pa.array(texts, pa.binary())})
+                blob, low = data.tobytes(), found.low[keep]
+                texts = [blob[a:b] for a, b in zip(low.tolist(), (found.high[keep] + length).tolist(), strict=True)]
+                yield _batch({"fp": found.fp[keep], "key": found.keys[found.doc[keep]], "first": low - offsets[found.doc[keep]], "at": found.at[keep] - low, "bytes": pa.array(texts, pa.binary())})
 
     return run
 
@@ -284,21 +322,65 @@ def _indexer(length: int):
     return run
 
 
-def _strings(length: int):
-    """Every string of ``length`` bytes of a context, as (hash, key, first)."""
+def _grid(length: int):
+    """Of each context the strings of nine tenths of ``length`` at every tenth before the anchor: (hash)."""
+    step = max(1, length // 10)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, text in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                part = np.frombuffer(text, np.uint8)
+                starts = np.arange(at % step, min(at, len(part) - length + step) + 1, step)
+                yield _batch({"h": span_hash(prefix_hash(part), starts, starts + length - step).view(np.int64)})
+
+    return run
+
+
+def _strings(length: int, held, marks: bool):
+    """The strings of ``length`` bytes of a context whose piece on the grid is among the sorted numbers ``held`` (None: all strings):
+    (hash, key, first). With ``marks``, ``held`` has the repeated strings themselves, and what they cover comes out:
+    (key, first, last)."""
+    step = max(1, length // 10)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = received(held)
         for batch in batches:
-            for i in range(batch.num_rows):
-                part = np.frombuffer(batch.column(3)[i].as_py(), np.uint8)
-                starts = np.arange(len(part) - length + 1)
-                if len(starts):
-                    h = span_hash(prefix_hash(part), starts, starts + length).view(np.int64)
-                    yield _batch({"h": h, "key": np.full(len(h), batch.column(1)[i].as_py()), "first": starts + batch.column(2)[i].as_py()})
+            for key, first, at, text in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4)), strict=True):
+                part = np.frombuffer(text, np.uint8)
+                sums, starts = prefix_hash(part), np.arange(len(part) - length + 1)
+                if marks:
+                    near = starts[np.isin(span_hash(sums, starts, starts + length).view(np.int64), known)]
+                    cut = _union(np.stack([near, near + length], axis=1))
+                    yield _batch({"key": np.full(len(cut), key), "first": cut[:, 0] + first, "last": cut[:, 1] + first})
+                else:
+                    piece = starts + (at - starts) % step  # the first place of the grid from the string's start on
+                    near = starts if known is None else starts[np.isin(span_hash(sums, piece, piece + length - step).view(np.int64), known)]
+                    yield _batch({"h": span_hash(sums, near, near + length).view(np.int64), "key": np.full(len(near), key), "first": near + first})
 
     return run
 
 
+def _small(values: DataFrame) -> np.ndarray | None:
+    """The numbers of a column, sorted, if they are counted to be few enough to send to every task."""
+    return np.sort(np.array([r[0] for r in values.collect()], np.int64)) if values.count() <= BROADCAST_ROWS else None
+
+
+def _crowded(contexts: DataFrame, length: int) -> DataFrame:
+    """Marks of anchors with very many contexts, by counting their strings, combined before the shuffle.
+
+    Most strings of a crowded anchor are unique. A string is counted only if a piece of it, nine tenths long, is repeated.
+    """
+    spark = contexts.sparkSession
+    contexts = checkpoint(contexts.dropDuplicates(["key", "first"]))
+    pieces = _small(checkpoint(contexts.mapInArrow(_grid(length), "h long").groupBy("h").count().where("count > 1").select("h")))
+    strings = contexts.mapInArrow(_strings(length, send(spark, pieces), False), "h long, key long, first long")
+    twice = checkpoint(strings.groupBy("h").count().where("count > 1").select("h"))
+    few = _small(twice)
+    if few is not None:
+        return contexts.mapInArrow(_strings(length, send(spark, few), True), "key long, first long, last long")
+    return strings.join(twice, "h", "left_semi").select("key", "first", (F.col("first") + length).alias("last"))
+
+
 def _union(spans: np.ndarray) -> np.ndarray:
     """Maximal runs of spans (first, last) that overlap or touch."""
     if not len(spans):
@@ -336,7 +418,7 @@ def _keyed(length: int, held, marked: bool):
         table = received(held)
         for batch in batches:
             for rows, data, offsets in chunks(batch):
-                found = Chunk(rows.column(0), data, offsets, len(data) + 1)  # keys only
+                found = Chunk(rows.column(0), data, offsets, length, anchors=False)
                 keep = np.flatnonzero(in_filter(table, found.keys) == marked)
                 blob = data.tobytes()
                 texts = [blob[offsets[i] : offsets[i + 1]] for i in keep]
@@ -359,15 +441,13 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """(key, first, last): byte spans that repeated strings of ``length`` bytes cover; see Chunk for the key."""
     spark, texts = docs.sparkSession, docs.select("doc_id", "text")
-    counted = map_texts(texts, _fingerprints(length), "fp long").groupBy("fp").count().where("count > 1").select("fp")
-    repeated = checkpoint(counted)
-    near = map_texts(texts, _anchors(length, send(spark, bit_filter(repeated, "fp"))), ANCHOR)
-    anchors = checkpoint(near.join(repeated, "fp", "left_semi").select("key", "fp", "ctx", "place", "first", "last"))
+    sides = map_texts(texts, _fingerprints(length), "h long").groupBy("h").count().where("count > 1").select("h")
+    table = bit_filter(checkpoint(sides), "h")
+    anchors = checkpoint(map_texts(texts, _anchors(length, send(spark, table)), ANCHOR))
     # Contexts: those that occur again are marked as they are; one copy of each stands for all.
-    whole = F.col("last") - F.col("first")
-    copies = checkpoint(anchors.where(whole >= length).groupBy("fp", "ctx").agg(F.count("*").alias("n"), F.min("place").alias("place")))
+    copies = checkpoint(anchors.groupBy("fp", "ctx").agg(F.count("*").alias("n"), F.min("place").alias("place")))
     again = copies.where("n > 1").select("fp", "ctx")
-    marks = anchors.where(whole >= length).join(again, ["fp", "ctx"], "left_semi").select("key", "first", "last")
+    marks = anchors.join(again, ["fp", "ctx"], "left_semi").select("key", "first", "last")
     several = copies.groupBy("fp").agg(F.count("*").alias("contexts"), F.min("n").alias("fewest")).where("contexts > 1 and fewest = 1").select("fp", "contexts")
     chosen = checkpoint(copies.join(several, "fp").select("place", "contexts"))
     few, many = chosen.where(F.col("contexts") <= hot), chosen.where(F.col("contexts") > hot)
@@ -375,9 +455,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     if not few.isEmpty():
         marks = marks.union(around(few).repartition("fp").sortWithinPartitions("fp").mapInArrow(_indexer(length), "key long, first long, last long"))
     if not many.isEmpty():
-        strings = checkpoint(around(many).mapInArrow(_strings(length), "h long, key long, first long").distinct())
-        twice = strings.groupBy("h").count().where("count > 1").select("h")
-        marks = marks.union(strings.join(twice, "h", "left_semi").select("key", "first", (F.col("first") + length).alias("last")))
+        marks = marks.union(_crowded(around(many), length))
     return marks
 
 

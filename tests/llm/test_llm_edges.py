@@ -176,6 +176,24 @@ def test_index_against_plain_search():
     assert index.runs < index.size
 
 
+def test_each_string_has_one_anchor():
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randrange(200))) for _ in range(30)] + ["a" * 150, "ab" * 80, "", "abc" * 90]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    for length in (20, 60):
+        c = rindex.Chunk(pa.array(range(len(texts))), data, offsets, length)
+        held = [s for a, b in zip(c.low, c.high) for s in range(a, b + 1)]
+        assert sorted(held) == [s for a, b in zip(offsets, offsets[1:]) for s in range(a, b - length + 1)]
+        anchor = {}
+        for a, b, p in zip(c.low, c.high, c.at):
+            for s in range(a, b + 1):
+                text = data[s : s + length].tobytes()
+                assert s <= p <= s + length - length // 2 and anchor.setdefault(text, p - s) == p - s
+
+
 @pytest.mark.parametrize("hot", [6000, 1])
 def test_removal_of_repeats(spark, hot):
     rng = random.Random(7)

@@ -5,7 +5,7 @@ STEPS = {
     "ev": ("", "SELECT *, 1788220800 + (epoch_us(ts) - 1704067200000000) // 200000000 + 86400 * (user_id % 3) + CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN 86400 ELSE 0 END AS sec FROM events"),
     "raw": ("ev", """SELECT event_id + 100001 AS Trans_id, CASE WHEN event_id % 71 = 70 THEN NULL ELSE user_id + 1 END AS Clt_id, event_id % 3 + 1 AS Card_id,
         CASE WHEN event_id % 40 = 7 THEN 900000 + event_id % 11 ELSE user_id * 10 + event_id % 2 END AS Dev_id,
-        CASE WHEN event_id % 97 = 96 THEN -1 ELSE CAST(floor(value * 60) AS INTEGER) + 1 END AS Trans_amount,
+        CASE WHEN event_id % 97 = 96 THEN -1 ELSE CAST(floor(value * 60) AS BIGINT) + 1 END AS Trans_amount,
         CASE WHEN event_id % 73 = 72 THEN 'not-a-date' ELSE strftime(make_timestamp(sec * 1000000), '%Y-%m-%d %I:%M:%S %p') END AS Trans_date,
         CASE WHEN event_id % 83 = 82 THEN 'POS' WHEN event_type IN ('purchase', 'error') THEN 'Withdrawal' WHEN event_type = 'signup' THEN 'Deposit' ELSE 'Transfer' END AS Trans_type,
         CASE WHEN event_id % 79 = 78 THEN 'PENDING' WHEN event_id % 25 = 24 THEN 'Rejected' ELSE 'Successful' END AS Trans_status,
@@ -43,7 +43,7 @@ STEPS = {
         CASE WHEN r1 OR r2 OR r3 OR r4 THEN 'BLOCK' WHEN r5 OR r6 THEN 'FLAG' ELSE 'PASS' END AS decision FROM flags"""),
     "decided": ("ruled", """SELECT * REPLACE (greatest(risk_score, round(p * 100)::INTEGER) AS risk_score, CASE WHEN decision = 'BLOCK' THEN 'BLOCK' WHEN p >= 0.7 THEN 'FLAG' ELSE decision END AS decision), p AS ml_probability
         FROM (SELECT *, greatest(CASE WHEN kafka_offset % 13 = 0 THEN 0 ELSE (kafka_offset % 101) / 100.0::DOUBLE END, (kafka_offset % 37) / 100.0::DOUBLE) AS p FROM ruled)"""),
-    "labels_": ("raw", """SELECT Trans_id, CASE WHEN pattern = 'NORMAL' THEN 0 ELSE 1 END AS is_fraud, pattern FROM (SELECT Trans_id, CASE WHEN Trans_amount >= 10000 THEN 'HIGH_AMOUNT' WHEN Dev_id >= 900000 THEN 'NEW_DEVICE_HIGH_VALUE'
+    "labels_": ("raw", """SELECT Trans_id, CASE WHEN pattern = 'NORMAL' THEN 0 ELSE 1 END::BIGINT AS is_fraud, pattern FROM (SELECT Trans_id, CASE WHEN Trans_amount >= 10000 THEN 'HIGH_AMOUNT' WHEN Dev_id >= 900000 THEN 'NEW_DEVICE_HIGH_VALUE'
         WHEN kafka_offset % 101 = 0 THEN 'MULE' ELSE 'NORMAL' END AS pattern FROM raw)"""),
     "matched_": ("ruled labels_", "SELECT * FROM ruled JOIN labels_ ON transaction_id = Trans_id"),
     "batches": ("", "SELECT epoch_us(ts) // 1000000 AS s, event_id % 7 AS decisions, event_id % 3 AS alerts, CASE WHEN event_id % 97 = 96 THEN 1 ELSE 0 END AS quarantined, event_id % 5 AS feature_rows, value AS d FROM events"),

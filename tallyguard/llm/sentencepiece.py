@@ -1,17 +1,24 @@
-"""SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces drives a single-pass Viterbi.
+"""SentencePiece encoding and decoding: one pass of an Aho-Corasick automaton over the pieces.
 
-The automaton reports, at each position, every piece that ends there (its output links); each relaxes the best score of
-that position from the position where the piece begins. A character that no one-character piece covers falls back to its
-UTF-8 bytes at a penalty below every score. A text gets a space in front and spaces become U+2581, as the model asks; a
-U+2581 of the text itself is written as bytes, so that decoding is exact for every text.
+The automaton reports, at each position, every piece that ends there (its output links). What is kept of each prefix is
+the last piece of its encoding.
+
+* A model trained by merges: the piece that ends a prefix is the one output link that fits the last piece of the prefix it
+  extends: the text of the two, merged in the model's order, must give back those two. A sequence is what merging gives
+  exactly if all its neighbours fit (a merge across a border would already be the next one in the text of the two alone),
+  so exactly one link fits, and the ids are those of the model. How each piece comes about alone is worked out once;
+  whether two pieces fit follows from these two histories and is remembered.
+* A unigram model: each link relaxes the best score of its position (Viterbi).
+
+A character that no one-character piece covers falls back to its UTF-8 bytes (unigram: at a penalty below every score). A text
+gets a space in front and spaces become U+2581, as the model asks; a U+2581 of the text itself is written as bytes, so
+that decoding is exact for every text (the public library makes it a space).
 
 Pieces hold U+2581 only at their start and no line break, so a segmentation can't cross the beginning of a run of spaces
-or a line break: the best segmentation of a text is that of its segments, each worked out once and remembered
-(up to CACHE segments in a task). A model for which this is not so is rejected.
+or a line break: the segmentation of a text is that of its segments, each worked out once and remembered
+(up to CACHE segments in a task). A model for which this is not so is rejected, and so is a merge-trained one with unused pieces.
 
-Ids are those of the highest total score, which is what a unigram model means. A model trained by merges has ranks for scores;
-they are read as Zipf log probabilities, and the ids are a valid encoding of the same text, though not always the
-one that merging in order gives. The model is a parameter and is never trained.
+The model is a parameter and is never trained.
 A null or empty text has no ids. Rows are encoded one by one; further columns are ignored.
 """
 
@@ -29,6 +36,8 @@ from tallyguard.llm.common import map_texts, received, send
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 CACHE = 200_000
+#: Pairs of pieces that are remembered.
+PAIRS = 1_000_000
 #: Bytes of text that one output batch stands for.
 BATCH_BYTES = 1 << 21
 
@@ -36,6 +45,10 @@ BATCH_BYTES = 1 << 21
 class Pieces:
     """A model's pieces and scores, read by the public library; plain data that can be sent to tasks."""
 
+    #: Score by piece, and the histories of the pieces that merging can give; only of a model trained by merges.
+    ranks: dict[str, float] | None = None
+    histories: dict[int, tuple[list, list]] = {}
+
     def __init__(self, path: str = MODEL):
         import sentencepiece
 
@@ -43,16 +56,29 @@ class Pieces:
         size = model.get_piece_size()
         self.bytes = {int(model.id_to_piece(i)[3:5], 16): i for i in range(size) if model.is_byte(i)}
         self.text = {i: model.id_to_piece(i) for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))}
-        self.score = self.log_scores({i: model.get_score(i) for i in self.text})
+        self.score = {i: model.get_score(i) for i in self.text}
         self.size, self.unknown = size, model.unk_id()
         self.check()
-
-    @staticmethod
-    def log_scores(scores: dict[int, float]) -> dict[int, float]:
-        """Scores that add up like log probabilities. A model trained by merges holds the negative ranks of its merges
-        instead; a rank's log probability is then taken as that of Zipf's law, minus the logarithm of the rank."""
-        ranks = len(set(scores.values())) > 2 and all(x <= 0 and x == int(x) for x in scores.values())
-        return {i: -float(np.log(2.0 - x)) if ranks else x for i, x in scores.items()}
+        # A model trained by merges holds the negative ranks of its merges.
+        if len(set(self.score.values())) > 2 and all(x <= 0 and x == int(x) for x in self.score.values()):
+            if any(model.is_unused(i) for i in range(size)):
+                raise ValueError("a model trained by merges has unused pieces")
+            self.ranks = {p: self.score[i] for i, p in self.text.items()}
+            self.histories = {i: h for i, p in self.text.items() if (h := self.history(p))}
+
+    def history(self, piece: str) -> tuple[list, list] | None:
+        """How a piece comes about by merging its characters, best score first, leftmost of equals: after each number of merges
+        the score of the next one (the last: none) and the part at the left end, and the same for the right end.
+        None if merging doesn't give the piece."""
+        parts, left, right = list(piece), [], []
+        while len(parts) > 1:
+            score, at = max((self.ranks.get(parts[i] + parts[i + 1], -np.inf), -i) for i in range(len(parts) - 1))
+            if score == -np.inf:
+                return None
+            left.append((score, parts[0]))
+            right.append((score, parts[-1]))
+            parts[-at : 2 - at] = [parts[-at] + parts[1 - at]]
+        return [*left, (-np.inf, piece)], [*right, (-np.inf, piece)]
 
     def check(self) -> None:
         if any(SPACE in p.lstrip(SPACE) or "\n" in p for p in self.text.values()):
@@ -77,14 +103,64 @@ class Encoder:
         import ahocorasick
 
         self.automaton = ahocorasick.Automaton()
+        self.ranks, self.histories = pieces.ranks, pieces.histories
         for i, p in pieces.text.items():
-            self.automaton.add_word(p, (len(p), pieces.score[i], i))
+            if self.ranks is None or i in self.histories:
+                self.automaton.add_word(p, (len(p), pieces.score[i], i))
         self.automaton.make_automaton()
         self.single = frozenset(p for p in pieces.text.values() if len(p) == 1)
         self.fallback = min(pieces.score.values()) - 10.0
         self.bytes = pieces.bytes
         self.cuts = re.compile(r" +[^ \n]*|[^ \n]+|\n")
         self.seen: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[tuple[int, int], bool] = {}
+        self.best = self.viterbi if self.ranks is None else self.merged
+
+    def fits(self, left: int, right: int) -> bool:
+        """Whether two neighbours stay apart when their text is merged in the model's order. Up to a merge across the border
+        each side goes through its own history, the better score next, the left of equals."""
+        known = self.pairs.get((left, right))
+        if known is None:
+            a = self.histories[left][1] if left >= 0 else [(-np.inf, chr(-1 - left))]
+            b = self.histories[right][0] if right >= 0 else [(-np.inf, chr(-1 - right))]
+            i = j = 0
+            while True:
+                (x, end), (y, begin) = a[i], b[j]
+                across = self.ranks.get(end + begin, -np.inf)
+                if across > x and across >= y:
+                    known = False
+                elif x == y == -np.inf:
+                    known = True
+                else:
+                    i, j = (i + 1, j) if x >= y else (i, j + 1)
+                    continue
+                break
+            if len(self.pairs) >= PAIRS:
+                self.pairs.clear()
+            self.pairs[left, right] = known
+        return known
+
+    def merged(self, segment: str) -> tuple[int, ...]:
+        """Ids that merging a segment, whose spaces are U+2581, in the model's order gives. Other characters than pieces have
+        negative numbers until they are written as bytes."""
+        n = len(segment)
+        last: list[int | None] = [None] * (n + 1)
+        start, fits = [0] * (n + 1), self.fits
+        links = self.automaton.iter(segment)
+        if not self.single.issuperset(segment):
+            alone = [(end, (1, 0.0, -1 - ord(c))) for end, c in enumerate(segment) if c not in self.single]
+            links = sorted([*links, *alone], key=lambda link: link[0])
+        for end, (length, _, i) in links:
+            at = end + 1 - length
+            if last[end + 1] is None and (not at or fits(last[at], i)):
+                last[end + 1], start[end + 1] = i, at
+        ids: list[int] = []
+        at = n
+        while at:
+            i = last[at]
+            ids += [i] if i >= 0 else [self.bytes[b] for b in reversed(chr(-1 - i).encode())]
+            at = start[at]
+        return tuple(reversed(ids))
 
     def viterbi(self, segment: str) -> tuple[int, ...]:
         """Ids of the best segmentation of a segment whose spaces are U+2581; of equal scores the longest last piece wins."""
@@ -118,12 +194,12 @@ class Encoder:
 
     def segment(self, segment: str) -> tuple[int, ...]:
         if SPACE not in segment:
-            return self.viterbi(segment.replace(" ", SPACE))
-        # The text's own U+2581: bytes, with the best segmentations of what stands between.
+            return self.best(segment.replace(" ", SPACE))
+        # The text's own U+2581: bytes, with the segmentations of what stands between.
         own = tuple(self.bytes[b] for b in SPACE.encode())
         ids: tuple[int, ...] = ()
         for k, part in enumerate(segment.split(SPACE)):
-            ids += (own if k else ()) + (self.viterbi(part.replace(" ", SPACE)) if part else ())
+            ids += (own if k else ()) + (self.best(part.replace(" ", SPACE)) if part else ())
         return ids
 
     def encode(self, text: str) -> list[int]:

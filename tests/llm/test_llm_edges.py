@@ -239,6 +239,25 @@ def test_sentencepiece_pieces():
         small.check()
 
 
+def test_ids_are_those_of_the_public_library(spark, sf_dir):
+    import sentencepiece as public
+
+    model = public.SentencePieceProcessor(model_file=sentencepiece.MODEL)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    got = {r["doc_id"]: r["ids"] for r in sentencepiece.encode(docs).collect()}
+    assert got == {i: model.encode(t) for i, t in texts.items()}
+    encoder = sentencepiece.Encoder(sentencepiece.Pieces())
+    assert [model.id_to_piece(i) for i in encoder.encode("The cat sat on the mat")] == ["▁The", "▁cat", "▁sat", "▁on", "▁the", "▁mat"]
+    rng = random.Random(12)
+    for alphabet in ("ab ", "aabbcc  \n", "etaoin shrdlu  ", "日本語の中執x ", "\x00é😀𝒳 \tz\r\n", "abcdefghijklmnopqrstuvwxyzABC 019.,-_()=\"'/"):
+        for _ in range(500):
+            text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(40)))
+            assert encoder.encode(text) == model.encode(text), text
+    for text in (" " * 500, "x" * 3000 + "ab" * 3000):
+        assert encoder.encode(text) == model.encode(text)
+
+
 def test_decoded_table(spark):
     d = frame(spark, clash=False)
     back = sentencepiece.decode_table(sentencepiece.encode(d)).collect()

@@ -89,5 +89,5 @@ def bit_filter(values: DataFrame, column: str) -> np.ndarray:
 
 def in_filter(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     """True for every value that the filter was built over, and for few others."""
-    at = np.asarray(values).astype(np.int64) & ((1 << FILTER_BITS) - 1)
+    at = np.asarray(values).astype(np.int64) & (8 * len(table) - 1)
     return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1

@@ -12,7 +12,7 @@ union of the strings that have it, decides about them. Then
 
 1. anchors are dropped unless their window, with half a window before or behind it, occurs twice in the corpus,
 2. contexts that occur twice or more are repeated as a whole and marked without further work,
-3. one copy of each remaining context goes to the index of its anchor. An index takes whole anchors, about INDEX_BYTES
+3. one copy of each remaining context, and no other bytes, goes to the index of its anchor. An index takes whole anchors, about INDEX_BYTES
    of contexts at a time; contexts of one text that overlap are joined, so that no byte is matched with itself,
 4. anchors with more than HOT contexts (a passage in very many different surroundings) are split by the strings
    themselves: their LENGTH-byte strings are hashed and counted, those without a repeated piece left out first,
@@ -39,6 +39,8 @@ from tallyguard.llm.textops import chunks, mix, powers, prefix_hash, span_hash
 LENGTH = 400
 INDEX_BYTES = 1_000_000
 HOT = 6_000
+#: Bit filters of one cascade at most.
+LEVELS = 8
 
 
 def _sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
@@ -125,7 +127,7 @@ class Chunk:
 
 
 ANCHOR = "key long, fp long, ctx long, place long, first long, last long"
-CONTEXT = "fp long, key long, first long, at long, bytes binary"
+CONTEXT = "fp long, key long, first long, at long, bytes binary, place long"
 #: Text that is winnowed at once: its arrays stay near the processor.
 PART_BYTES = 1 << 18
 
@@ -144,35 +146,122 @@ def _fingerprints(length: int):
     return run
 
 
+def _repeated(found: Chunk, table: np.ndarray) -> np.ndarray:
+    """Which anchors' windows occur twice with half a window more, by a bit filter over sides()."""
+    before, behind = found.sides()
+    return ((before != 0) & in_filter(table, before)) | ((behind != 0) & in_filter(table, behind))
+
+
 def _anchors(length: int, held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = received(held)
         for batch in batches:
             for rows, data, offsets in chunks(batch, size=PART_BYTES):
                 found = Chunk(rows.column(0), data, offsets, length)
-                before, behind = found.sides()
-                yield _batch(found.rows(np.flatnonzero(((before != 0) & in_filter(table, before)) | ((behind != 0) & in_filter(table, behind)))))
+                yield _batch(found.rows(np.flatnonzero(_repeated(found, table))))
 
     return run
 
 
-def _contexts(length: int, held):
-    """The bytes around the anchors at chosen places. The filter lets a few other places pass: their contexts are as true
-    as any, and a match with them is a match."""
+def _slots(places: np.ndarray, level: int) -> np.ndarray:
+    """The hash of places that the filter of a level is about."""
+    return mix(places.view(np.uint64) + np.uint64(level * 0x9E3779B97F4A7C15 % (1 << 64))).view(np.int64)
+
+
+def _hashed(level: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _batch({"h": _slots(batch.column(0).to_numpy(), level)})
 
+    return run
+
+
+def _passing(level: int, held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = received(held)
+        for batch in batches:
+            places = batch.column(0).to_numpy()
+            yield _batch({"place": places[in_filter(table, _slots(places, level))]})
+
+    return run
+
+
+def cascade(chosen: DataFrame, known: DataFrame) -> tuple[list[np.ndarray], bool]:
+    """Bit filters that together tell which of the ``known`` places are ``chosen``, and whether they do so for all.
+
+    The first is over the chosen places, the second over the others that pass the first, the third over the chosen ones that
+    pass the second, and so on until none passes, or LEVELS filters are full.
+    """
+    spark, tables = chosen.sparkSession, []
+    inside, outside = chosen, known
+    while len(tables) < LEVELS:
+        level = len(tables)
+        tables.append(bit_filter(inside.mapInArrow(_hashed(level), "h long"), "h"))
+        passed = outside.mapInArrow(_passing(level, send(spark, tables[-1])), "place long")
+        passed = checkpoint(passed if level else passed.distinct().join(chosen, "place", "left_anti"))
+        if passed.isEmpty():
+            return tables, True
+        inside, outside = passed, inside
+    return tables, False
+
+
+def in_cascade(tables: list[np.ndarray], exact: bool, places: np.ndarray) -> np.ndarray:
+    """Which places are chosen; those that pass all filters of a cascade that isn't exact are taken too."""
+    live, out = np.arange(len(places)), np.zeros(len(places), bool)
+    for level, table in enumerate(tables):
+        passed = in_filter(table, _slots(places[live], level))
+        out[live[~passed]] = level % 2 == 1
+        live = live[passed]
+    out[live] = len(tables) % 2 == 1 or not exact
+    return out
+
+
+def _contexts(length: int, held):
+    """The bytes around the anchors at chosen places, each place once in a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, tables, exact = received(held)
+        sent: set[int] = set()
         for batch in batches:
             for rows, data, offsets in chunks(batch, size=PART_BYTES):
                 found = Chunk(rows.column(0), data, offsets, length)
-                keep = np.flatnonzero(in_filter(table, found.place()))
+                keep = np.flatnonzero(_repeated(found, table))
+                places = found.place()[keep]
+                chosen = in_cascade(tables, exact, places)
+                new = []
+                for i, place in zip(keep[chosen].tolist(), places[chosen].tolist(), strict=True):
+                    if place not in sent:  # rows with one id and one text have the same places
+                        sent.add(place)
+                        new.append(i)
+                keep = np.array(new, np.int64)
                 blob, low = data.tobytes(), found.low[keep]
                 texts = [blob[a:b] for a, b in zip(low.tolist(), (found.high[keep] + length).tolist(), strict=True)]
-                yield _batch({"fp": found.fp[keep], "key": found.keys[found.doc[keep]], "first": low - offsets[found.doc[keep]], "at": found.at[keep] - low, "bytes": pa.array(texts, pa.binary())})
+                yield _batch({"fp": found.fp[keep], "key": found.keys[found.doc[keep]], "first": low - offsets[found.doc[keep]], "at": found.at[keep] - low, "bytes": pa.array(texts, pa.binary()), "place": found.place()[keep]})
 
     return run
 
 
+def chosen_contexts(texts: DataFrame, places: DataFrame, anchors: DataFrame, table: np.ndarray, length: int) -> DataFrame:
+    """CONTEXT rows of the chosen ``places`` (fp, place) among ``anchors``; a place may come once from each task."""
+    spark = texts.sparkSession
+    tables, exact = cascade(places.select("place"), anchors.select("place"))
+    found = map_texts(texts, _contexts(length, send(spark, (table, tables, exact))), CONTEXT)
+    return found if exact else found.join(places.select("fp", "place"), ["fp", "place"], "left_semi").select(*found.columns)
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts sorted by fp and place, without those of the place before."""
+    last = None
+    for batch in batches:
+        if batch.num_rows:
+            fp, place = batch.column(0).to_numpy(), batch.column(5).to_numpy()
+            new = np.ones(len(fp), bool)
+            new[1:] = (fp[1:] != fp[:-1]) | (place[1:] != place[:-1])
+            new[0] = last != (fp[0], place[0])
+            last = fp[-1], place[-1]
+            yield batch if new.all() else batch.filter(pa.array(new))
+
+
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """The suffix array of a sequence of numbers under 2 to the 16: four symbols at once, then prefix doubling of what ties."""
     n = len(symbols)
@@ -287,7 +376,7 @@ def long_matches(segments: list[np.ndarray], length: int) -> list[list[tuple[int
 
 
 def _indexer(length: int):
-    """Of contexts (fp, key, first, bytes) sorted by fp: marked spans (key, first, last)."""
+    """Of contexts sorted by fp and place: marked spans (key, first, last)."""
 
     def spans(keys: np.ndarray, firsts: np.ndarray, texts: list[bytes]) -> pa.RecordBatch:
         order = np.lexsort((firsts, keys))
@@ -308,7 +397,7 @@ def _indexer(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, firsts, texts, held = [], [], [], 0
-        for group in _runs(batches, 1):
+        for group in _runs(_once(batches), 1):
             keys.append(group["key"].to_numpy())
             firsts.append(group["first"].to_numpy())
             texts += [x.as_py() for x in group["bytes"]]
@@ -449,11 +538,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     again = copies.where("n > 1").select("fp", "ctx")
     marks = anchors.join(again, ["fp", "ctx"], "left_semi").select("key", "first", "last")
     several = copies.groupBy("fp").agg(F.count("*").alias("contexts"), F.min("n").alias("fewest")).where("contexts > 1 and fewest = 1").select("fp", "contexts")
-    chosen = checkpoint(copies.join(several, "fp").select("place", "contexts"))
+    chosen = checkpoint(copies.join(several, "fp").select("fp", "place", "contexts"))
     few, many = chosen.where(F.col("contexts") <= hot), chosen.where(F.col("contexts") > hot)
-    around = lambda places: map_texts(texts, _contexts(length, send(spark, bit_filter(places, "place"))), CONTEXT)
+    around = lambda places: chosen_contexts(texts, places, anchors, table, length)
     if not few.isEmpty():
-        marks = marks.union(around(few).repartition("fp").sortWithinPartitions("fp").mapInArrow(_indexer(length), "key long, first long, last long"))
+        marks = marks.union(around(few).repartition("fp").sortWithinPartitions("fp", "place").mapInArrow(_indexer(length), "key long, first long, last long"))
     if not many.isEmpty():
         marks = marks.union(_crowded(around(many), length))
     return marks

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyguard.llm import chat, components, exact_dedup, langid, minhash, mixing, repetition, rindex, sentencepiece, textops, toxicity, urls
+from tallyguard.llm import chat, common, components, exact_dedup, langid, minhash, mixing, repetition, rindex, sentencepiece, textops, toxicity, urls
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -211,6 +211,28 @@ def test_removal_of_repeats(spark, hot):
     assert {r["n_removed"] for r in rindex.remove_repeats(again, 60, hot).where("doc_id = 5").collect()} == {len(texts[5].encode()) if len(texts[5]) >= 60 else 0}
 
 
+@pytest.mark.parametrize("levels", [8, 2, 1])
+def test_only_chosen_contexts_are_shipped(spark, monkeypatch, levels):
+    """Hundreds of exact copies meet a small filter: contexts that weren't chosen stay where they are."""
+    monkeypatch.setattr(common, "FILTER_BITS", 15)
+    monkeypatch.setattr(rindex, "LEVELS", levels)
+    shipped, made = [], rindex.chosen_contexts
+    monkeypatch.setattr(rindex, "chosen_contexts", lambda texts, places, *more: shipped.append((places, made(texts, places, *more))) or shipped[-1][1])
+    rng = random.Random(13)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randrange(2, 7)))
+    passages = [" ".join(word() for _ in range(25)) for _ in range(20)]
+    texts = [word() + " ".join(word() for _ in range(9)) + rng.choice(passages) + word() for _ in range(300)]
+    long = " ".join(word() for _ in range(300))
+    rows = list(enumerate(texts + [long] * 300)) + [(-1, texts[0])] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = rindex.remove_repeats(df, 60, 6000).collect()
+    assert sorted((r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in got) == sorted((i, n, sha) for (i, _), (_, n, _, sha) in zip(rows, brute.removed([t for _, t in rows], 60)))
+    ((places, contexts),) = shipped
+    want = {(r["fp"], r["place"]) for r in places.collect()}
+    rows = [(r["fp"], r["place"]) for r in contexts.collect()]
+    assert len(want) > 300 and set(rows) == want and len(rows) <= 3 * len(want)
+
+
 def test_sentencepiece_pieces():
     pieces = sentencepiece.Pieces()
     encoder, table = sentencepiece.Encoder(pieces), pieces.decoded()

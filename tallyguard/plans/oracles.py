@@ -123,6 +123,19 @@ SELECTS = {
     "k1_flagship": ("ruled", "SELECT decision, count(*) AS transactions, round(avg(risk_score), 4) AS mean_risk, sum(amount_usd)::DOUBLE AS total_amount_usd FROM ruled GROUP BY 1"),
 }
 
+#: The same over whole tables: batch and history are split by event_date and together hold all rows.
+LATE = "event_date >= '2026-09-03'"
+SELECTS |= {
+    "a5_whole_layer": ("", "SELECT event_id, event_type FROM events"),
+    "a14_whole_state": SELECTS["a14_upsert_state"],
+    "a16_whole_alerts": ("decided", f"SELECT 'tok:' || transaction_id AS alert_id, decision <> 'PASS' AND {LATE} AS new FROM decided"),
+    "b9_whole_bound": ("silver", f"SELECT transaction_id, t >= (SELECT min(t) FROM silver WHERE {LATE}) - 3600 * 24 AND client_id IN (SELECT client_id FROM silver WHERE {LATE}) AND NOT ({LATE}) AS taken FROM silver"),
+    "c1_whole_commit": ("silver", f"SELECT transaction_id, {LATE} OR card_id = 2 AS kept FROM silver"),
+    "c2_whole_history": ("silver", f"SELECT transaction_id, client_id IN (SELECT client_id FROM silver WHERE {LATE}) AND t >= (SELECT min(t) FROM silver WHERE {LATE}) - 3600 * 720 AS taken FROM silver"),
+    "c3_whole_decisions": ("ruled", f"SELECT {RULE_OUT} FROM ruled"),
+    "u1_whole_union": ("silver", f"SELECT transaction_id, {LATE} AS in_batch FROM silver"),
+}
+
 
 def sql(name: str) -> str:
     needs, select = SELECTS[name]

@@ -7,7 +7,9 @@ combined before its shuffle. A source's documents are then rounded to whole copi
 once a common threshold of its source passes c - rate - u, with u drawn from the id's hash, and the threshold is
 read off two levels of histograms, so that the copies' tokens land within about a document of the target.
 
-Everything after the histogram has a row for each source; documents themselves are never shuffled. Sources are
+Everything after the histogram has a row for each source; documents themselves are never shuffled. All
+sources' rows (a few numbers each) pass through one task when targets() ranks them and finds the level: their number must
+fit one task's sort, which spills to that machine's disk, and its time grows with it. Sources are
 ranked by code point, a null source last; its weight and share follow the same rule as any other's. A null text has
 size 0, and a document of size 0 is taken once: it costs nothing. An empty table gives an empty mix. Rows that
 repeat count and are taken one by one. Columns whose names clash with the operator's own are kept apart.

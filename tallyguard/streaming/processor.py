@@ -8,10 +8,12 @@ are stored before duplicates go, so a batch of nothing but duplicates is still a
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tallyguard.config import EnsembleConfig, RulesConfig
 from tallyguard.functions.aggregates import count_where
@@ -88,11 +90,11 @@ class BatchProcessor:
         else:
             alerts.write.mode("overwrite").json(f"{self.store.path('alerts')}/batch_part={token}")
 
-    def _metrics(self, token: str, counts: dict, seconds: float) -> None:
+    def _metrics(self, token: str, counts: dict, seconds: float | None) -> None:
         value = lambda k: F.lit(counts.get(k) or 0).cast("long").alias(k)
         row = self.store.spark.range(1).select(
             F.current_timestamp().alias("ts"), F.lit(token).alias("batch_token"), *map(value, ("pass_count", "flag_count", "block_count", "alerts", "quarantined", "feature_rows")),
-            F.lit(counts.get("avg_ml_probability")).cast("double").alias("avg_ml_probability"), F.lit(seconds).alias("duration_seconds"), F.lit(0).cast("long").alias("late_dropped"),
+            F.lit(counts.get("avg_ml_probability")).cast("double").alias("avg_ml_probability"), F.lit(seconds).cast("double").alias("duration_seconds"), value("late_dropped"),
         )
         row.coalesce(1).write.mode("overwrite").parquet(f"{self.store.path('metrics')}/batch_part={token}")
 
@@ -102,10 +104,35 @@ def late_rows(progress) -> int:
     return sum(int(o["numRowsDroppedByWatermark"]) for o in progress["stateOperators"])
 
 
+class LateRows(StreamingQueryListener):
+    """Adds a row to the metrics for each batch of a query that dropped late rows. Their number is known only once a batch
+    has ended, so it can't stand in the batch's own row."""
+
+    def __init__(self, processor: BatchProcessor, name: str):
+        self.processor, self.name, self.run = processor, name, None
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            self.run = event.runId
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.name == self.name and (dropped := late_rows(event.progress)):
+            self.processor._metrics(f"late-{event.progress.id}-{event.progress.batchId}", {"late_dropped": dropped}, None)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.runId == self.run:
+            self.processor.store.spark.streams.removeListener(self)
+
+
 def run_stream(stream: DataFrame, processor: BatchProcessor, checkpoint: str, interval: str | None = "10 seconds"):
     """Start the query; with ``interval`` None it takes what is there and ends."""
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
-    return deduplicated(stream).writeStream.foreachBatch(lambda df, i: processor(df, i)).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    name = f"decisions-{uuid.uuid4().hex}"
+    processor.store.spark.streams.addListener(LateRows(processor, name))
+    return deduplicated(stream).writeStream.queryName(name).foreachBatch(lambda df, i: processor(df, i)).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def alert_stream(alerts: DataFrame, target: str, checkpoint: str, watermark: str = "1 day"):

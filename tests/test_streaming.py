@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +113,21 @@ def test_stream_drops_repeats_and_late_rows(spark, store, tmp_path):
     assert {r["transaction_id"] for r in store.read("decisions").collect()} == {1, 2, 3, 4} and dropped == 1
 
 
+def test_late_rows_reach_the_metrics(spark, store, tmp_path):
+    folder = tmp_path / "landing"
+    late = {"Trans_id": 9, "kafka_timestamp": T0 - datetime.timedelta(hours=5)}
+    for k, rows in enumerate([[{"Trans_id": 1}], [{"Trans_id": 3, "kafka_timestamp": T0 + datetime.timedelta(hours=1)}], [late, {"Trans_id": 4}]]):
+        raw_frame(spark, rows, first_offset=10 * k).coalesce(1).write.mode("append").parquet(str(folder))
+        stream = readers.read_stream(spark, str(folder), schema=raw_frame(spark, [{}]).schema, per_trigger=1)
+        run_stream(stream, BatchProcessor(store), str(tmp_path / "cp"), interval=None).awaitTermination(120)
+    for _ in range(40):  # progress is reported a little later
+        told = spark.read.parquet(store.path("metrics")).agg({"late_dropped": "sum"}).first()[0]
+        if told:
+            break
+        time.sleep(0.5)
+    assert told == 1
+
+
 def test_alert_stream(spark, store, tmp_path):
     BatchProcessor(store)(raw_frame(spark, [{"Trans_amount": 15000}]), 0)
     alerts = spark.read.json(store.path("alerts")).select("key", "value")

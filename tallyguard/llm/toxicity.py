@@ -1,17 +1,19 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Terms are strings of WINDOW bytes (ASCII letters lower-cased, other ASCII read as a space, so that a word's beginning and
-end belong to its terms); those that tell the labels apart are chosen by a chi-squared test. Examples are a bounded, documented sample of the
-labelled rows: EXAMPLES of each label on average. The index keeps a posting list for each term, cut into blocks of
-BLOCK examples, and the largest weight of each block; a query reads blocks by falling upper bound and stops when no
-further block can hold one of its NEIGHBOURS nearest, so the neighbours are those of a full scan. Their votes, weighted by
+end belong to its terms). The vocabulary is every term of LEAST_TEXTS examples or more whose rates under the two labels differ, either
+way, at the level that CHI_SQUARED stands for and by an EFFECT that doesn't depend on how many examples there are; there is no cap on it. Examples are a bounded, documented sample of the
+labelled rows: EXAMPLES of each label on average. Postings lie by term and block of BLOCK examples, each with the largest weight of
+the term in the block. A query reads its FIRST most promising blocks, and then only those blocks that may still hold one of its
+NEIGHBOURS nearest, so the neighbours are those of a full scan. Their votes, weighted by
 similarity, pass through an isotonic calibration fitted on the examples themselves, each left out of its own vote
 and weighted so that both labels count as in the labelled rows.
 
-Whole texts are read. A text without any chosen term (a null or empty one too) has no neighbours and gets the calibrated
+Whole texts are read. A text without any term of the vocabulary (a null or empty one too) has no neighbours and gets the calibrated
 score of such examples. Ties in similarity go to the smaller example id. Without labelled rows of both
 labels, or a term that tells them apart, nothing is learned and every score is 0. Rows are scored one by one, repeated or not; further
-columns are ignored. Where a document is labelled more than once the larger label holds.
+columns are ignored. Where a document is labelled more than once the larger label holds; where a labelled id stands on several
+texts, each counts for the terms, and the one with the least vector is the example.
 """
 
 from __future__ import annotations
@@ -28,14 +30,17 @@ from tallyguard.llm.langid import FOLD
 from tallyguard.llm.textops import chunks
 
 EXAMPLES = 4000
-TERMS = 1024
 WINDOW = 5
-#: A term must occur in so many examples, and so many times as often (by share of texts) under label 1.
-LEAST_TEXTS, LIFT, CHI_SQUARED = 5, 3.0, 30.0
-BLOCK = 64
-NEIGHBOURS = 15
-#: Similarity that the prior vote weighs.
-PRIOR_WEIGHT = 0.25
+#: A term must occur in so many examples, its rates under the labels must differ at the level of one in twenty, and the squared
+#: difference must be so large a part of the variance of its presence.
+LEAST_TEXTS, CHI_SQUARED, EFFECT = 5, 3.84, 0.02
+BLOCK = 256
+#: Blocks that a query reads before any is left out.
+FIRST = 4
+NEIGHBOURS = 31
+#: A neighbour's vote is its cosine to this power; the prior's weighs as much as one with a cosine of a third.
+SHARPNESS = 4
+PRIOR_WEIGHT = 0.01
 
 
 def codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,16 +73,17 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 class Terms:
-    """The chosen terms, and how often each text of a chunk holds each."""
+    """The vocabulary, and how often each text of a chunk holds each of its terms."""
+
+    SLOTS = 20
 
     def __init__(self, chosen: np.ndarray):
         self.codes = np.sort(np.asarray(chosen, np.uint64))
-        self.low = np.zeros(1 << 16, bool)
+        self.low = np.zeros(1 << self.SLOTS, bool)
         self.low[self._slot(self.codes)] = True
 
-    @staticmethod
-    def _slot(code: np.ndarray) -> np.ndarray:
-        return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.int64)
+    def _slot(self, code: np.ndarray) -> np.ndarray:
+        return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.SLOTS)).astype(np.int64)
 
     def counts(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """(terms, counts) of each text."""
@@ -115,41 +121,62 @@ class Index:
         term = np.concatenate([vectors[i][0] for i in order]) if n else np.zeros(0, np.int64)
         at = np.repeat(np.arange(n), [len(vectors[i][0]) for i in order])
         weight = np.concatenate([weighed[i] for i in order]) if n else np.zeros(0)
-        laid = np.lexsort((at, term, at // BLOCK))
-        #: Postings (term, example, weight), block by block and in each block term by term; where each block's begin.
-        self.term, self.at, self.weight = term[laid], at[laid] % BLOCK, weight[laid]
-        self.begin = np.searchsorted(at[laid] // BLOCK, np.arange(self.blocks + 1))
-        #: The largest weight of each term in each block.
-        self.most = np.zeros((terms, self.blocks))
-        np.maximum.at(self.most, (term, at // BLOCK), weight)
+        list_ = term * self.blocks + at // BLOCK
+        laid = np.lexsort((at, list_))
+        #: Postings (example, weight), term by term and in each term block by block; where each such list begins.
+        self.at, self.weight = at[laid].astype(np.int32), weight[laid]
+        self.begin = np.searchsorted(list_[laid], np.arange(terms * self.blocks + 1)).astype(np.int32)
+        #: The largest weight of each term in each block, rounded up.
+        most = np.zeros((terms, self.blocks))
+        np.maximum.at(most, (term, at // BLOCK), weight)
+        self.most = np.nextafter(most.astype(np.float32), np.float32(2)) * (most > 0)
 
     def weigh(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         weight = (1 + np.log(np.maximum(counts, 1))) * self.idf[terms]
         return weight / np.sqrt((weight**2).sum()) if len(weight) else weight
 
+    def _cosines(self, terms: np.ndarray, query: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(example positions, cosines) of the examples of ``blocks`` that share a term."""
+        lists = (terms[:, None] * self.blocks + blocks[None, :]).ravel()
+        first, size = self.begin[lists], self.begin[lists + 1] - self.begin[lists]
+        held = np.flatnonzero(size)
+        first, size = first[held], size[held]
+        ends = np.cumsum(size)
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
+        found = self.at[place]
+        cosine = np.bincount(found, weights=self.weight[place] * np.repeat(query[held // len(blocks)], size), minlength=len(self.ids))
+        near = np.flatnonzero(cosine > 0)
+        return near, cosine[near]
+
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(example positions, cosines) of the k nearest with a cosine over 0, best first, ties by id."""
+        if not len(terms) or not self.blocks:
+            return np.zeros(0, np.int64), np.zeros(0)
         query = self.weigh(terms, counts)
-        full = np.zeros(len(self.idf))
-        full[terms] = query
-        bound = query @ self.most[terms] if len(terms) else np.zeros(self.blocks)
-        found, scores, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or (len(found) >= k and bound[block] < least - 1e-12):
-                break
-            a, b = self.begin[block], self.begin[block + 1]
-            sums = np.bincount(self.at[a:b], weights=full[self.term[a:b]] * self.weight[a:b], minlength=BLOCK)
-            near = np.flatnonzero(sums > 0)
-            at = near + block * BLOCK
+        bound = query @ self.most[terms]
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+
+        def best(at: np.ndarray, cosine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            if len(at) > k:  # all that tie with the k-th stay for the order by id
+                tie = np.partition(cosine, len(at) - k)[len(at) - k] - 1e-11
+                at, cosine = at[cosine >= tie], cosine[cosine >= tie]
+            first = np.lexsort((self.ids[at], -np.round(cosine, 12)))[:k]
+            return at[first], cosine[first]
+
+        at, cosine = self._cosines(terms, query, order[:FIRST])
+        if without is not None:
+            at, cosine = at[at != without], cosine[at != without]
+        at, cosine = best(at, cosine)
+        rest = order[FIRST:]
+        if len(at) >= k:
+            rest = rest[bound[rest] >= cosine[-1] - 1e-6]
+        if len(rest):
+            more, close = self._cosines(terms, query, rest)
             if without is not None:
-                near, at = near[at != without], at[at != without]
-            found, scores = np.concatenate([found, at]), np.concatenate([scores, sums[near]])
-            if len(found) > k:
-                best = np.lexsort((self.ids[found], -np.round(scores, 12)))[:k]
-                found, scores = found[best], scores[best]
-                least = scores.min()
-        best = np.lexsort((self.ids[found], -np.round(scores, 12)))[:k]
-        return found[best], scores[best]
+                more, close = more[more != without], close[more != without]
+            at, cosine = best(np.concatenate([at, more]), np.concatenate([cosine, close]))
+        return at, cosine
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,7 +202,7 @@ class Model:
 
     def vote(self, terms: np.ndarray, counts: np.ndarray, without: int | None = None) -> tuple[float, np.ndarray]:
         at, near = self.index.nearest(terms, counts, NEIGHBOURS, without)
-        heavy = near**2 * self.class_weights[self.index.labels[at].astype(int)]
+        heavy = near**SHARPNESS * self.class_weights[self.index.labels[at].astype(int)]
         return float((heavy @ self.index.labels[at] + PRIOR_WEIGHT * self.prior) / (heavy.sum() + PRIOR_WEIGHT)), self.index.ids[at]
 
     def calibrate(self, vectors: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, labels: np.ndarray) -> None:
@@ -209,21 +236,23 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     counted = map_texts(texts, _document_counts, "code long, ones long, zeros long").groupBy("code").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
     rate1, rate0 = F.col("ones") / held[1], F.col("zeros") / held[0]
     pooled = (F.col("ones") + F.col("zeros")) / (held[0] + held[1])
-    chi = (rate1 - rate0) ** 2 / (pooled * (1 - pooled) * (1 / held[0] + 1 / held[1]) + 1e-12)
-    wanted = counted.where((F.col("ones") + F.col("zeros") >= LEAST_TEXTS) & (rate1 > LIFT * rate0)).select("code", chi.alias("chi")).where(F.col("chi") >= CHI_SQUARED).orderBy(F.desc("chi"), "code").limit(TERMS)
-    terms = Terms(np.array([r["code"] for r in wanted.collect()], np.uint64))
+    effect = (rate1 - rate0) ** 2 / (pooled * (1 - pooled) + 1e-12)
+    least = max(EFFECT, CHI_SQUARED * (1 / held[0] + 1 / held[1]))
+    wanted = counted.where((F.col("ones") + F.col("zeros") >= LEAST_TEXTS) & (effect >= least)).select("code")
+    terms = Terms(wanted.toArrow()["code"].to_numpy().astype(np.uint64))  # terms of LEAST_TEXTS of the sample's texts or more
     width = len(terms.codes)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, data, offsets in chunks(batch):
                 found = terms.counts(data, offsets)
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array([x[0] for x in found], pa.list_(pa.int64())), pa.array([x[1] for x in found], pa.list_(pa.int64()))], names=["doc_id", "toxic", "terms", "counts"])
+                packed = [pa.array([x[i].astype(">i4").tobytes() for x in found], pa.binary()) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), *packed], names=["doc_id", "toxic", "terms", "counts"])
 
-    got = map_texts(texts, vectors, "doc_id long, toxic int, terms array<long>, counts array<long>").dropDuplicates(["doc_id"]).collect()  # as many as the sample has ids, TERMS numbers each
-    got.sort(key=lambda r: r["doc_id"])
-    ids, toxic = np.array([r["doc_id"] for r in got], np.int64), np.array([r["toxic"] for r in got], np.int64)
-    held_vectors = [(np.array(r["terms"], np.int64), np.array(r["counts"], np.int64)) for r in got]
+    got = map_texts(texts, vectors, "doc_id long, toxic int, terms binary, counts binary")
+    got = got.groupBy("doc_id").agg(F.min(F.struct("terms", "counts", "toxic")).alias("v")).orderBy("doc_id").collect()  # a row for each id of the sample
+    ids, toxic = np.array([r["doc_id"] for r in got], np.int64), np.array([r["v"]["toxic"] for r in got], np.int64)
+    held_vectors = [tuple(np.frombuffer(r["v"][c], ">i4").astype(np.int64) for c in ("terms", "counts")) for r in got]
     if not width or not len(ids):
         return none
     weights = np.array([shares[c] / total / max(1, (toxic == c).sum()) for c in (0, 1)]) * len(ids)
@@ -236,9 +265,9 @@ def _scored(model: Model, seen: dict, data: np.ndarray, offsets: np.ndarray) ->
     """(score, evidence) of each text of a chunk; ``seen`` holds what equal term counts have got before."""
     out = []
     for terms, counts in model.terms.counts(data, offsets):
-        known = terms.tobytes() + counts.tobytes()
+        known = terms.astype(np.int32).tobytes() + counts.astype(np.int32).tobytes()
         if known not in seen:
-            if len(seen) > 50_000:
+            if len(seen) > 10_000:
                 seen.clear()
             seen[known] = model.score(terms, counts)
         out.append(seen[known])

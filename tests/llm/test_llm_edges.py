@@ -286,7 +286,10 @@ def test_decoded_table(spark):
     assert sorted(r["text"] for r in back) == sorted((r[1] or "") for r in ROWS)
 
 
-def test_nearest_examples_are_those_of_a_full_scan():
+@pytest.mark.parametrize("first", [1, 4, 100])
+def test_nearest_examples_are_those_of_a_full_scan(monkeypatch, first):
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    monkeypatch.setattr(toxicity, "FIRST", first)
     rng = np.random.default_rng(9)
     vectors = [(np.sort(rng.choice(60, rng.integers(0, 6), replace=False)), None) for _ in range(700)]
     vectors = [(t, rng.integers(1, 5, len(t))) for t, _ in vectors]
@@ -303,6 +306,8 @@ def test_nearest_examples_are_those_of_a_full_scan():
         at, near = index.nearest(t, c, 15)
         assert [place[int(x)] for x in index.ids[at]] == at.tolist() and (index.ids[at] // 3).tolist() == want
         assert np.allclose(near, cosine[want])
+        without = place[want[0] * 3] if want else None
+        assert (index.ids[index.nearest(t, c, 14, without)[0]] // 3).tolist() == want[1:]
 
 
 def test_toxicity_learns_and_calibrates(spark):

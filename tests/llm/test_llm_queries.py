@@ -22,11 +22,14 @@ def test_oracles(spark, sf_dir, name):
 def test_op1_toxicity(spark, sf_dir, docs):
     out = queries.op1_toxicity(spark, sf_dir).toPandas()
     assert sorted(out.doc_id) == sorted(docs.doc_id) and out.score.between(0, 1).all() and (out.predicted == (out.score >= 0.5)).all()
+    marks = spark.read.parquet(f"{sf_dir}/labels.parquet").toPandas()
+    want = brute.toxicity(dict(zip(docs.doc_id, docs.text)), list(zip(marks.doc_id, marks.toxic)))
+    assert dict(zip(out.doc_id, out.score)) == pytest.approx(want, abs=1e-9) and len(set(want.values())) > 2
     larger = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{larger}/labels.parquet").toPandas()
     scored = queries.op1_toxicity(spark, larger).toPandas().merge(labels, on="doc_id")
     said = scored[scored.predicted == 1]
-    assert (said.toxic == 1).mean() > 0.9 and len(said) > 0.5 * (scored.toxic == 1).sum()
+    assert (said.toxic == 1).mean() > 0.9 and len(said) > 0.5 * (scored.toxic == 1).sum() and (scored.evidence.map(len) > 0).mean() > 0.95
 
 
 def test_op2_minhash(spark, sf_dir, docs):

@@ -4,12 +4,13 @@ Among all document rates between 0 and MOST that meet every source's token targe
 everything once" (in relative entropy) has the form min(MOST, exp(lambda * size)), with one dual variable for each
 source. Newton steps on the convex dual find it; each step is one aggregation over the (source, size) histogram,
 combined before its shuffle. A source's documents are then rounded to whole copies: a document takes its c-th copy
-once a common threshold of its source passes c - rate - u, with u drawn from the id's hash, and the threshold is
-read off two levels of histograms, so that the copies' tokens land within about a document of the target.
+once a common threshold of its source passes c - rate - u, with u drawn from the id's hash. The threshold is
+read off two levels of histograms: the first copies, in that order, that stay under the target. Of the copies behind it (about NEXT
+of each source) every one that still fits is taken, in the same order, so that a large document at the threshold doesn't keep
+smaller ones out.
 
-Everything after the histogram has a row for each source; documents themselves are never shuffled. All
-sources' rows (a few numbers each) pass through one task when targets() ranks them and finds the level: their number must
-fit one task's sort, which spills to that machine's disk, and its time grows with it. Sources are
+Everything after the histogram has a row for each source; documents themselves are never shuffled, and no task holds all
+sources: they are ranked by ranges, and the level of the targets is found by a few sums. Sources are
 ranked by code point, a null source last; its weight and share follow the same rule as any other's. A null text has
 size 0, and a document of size 0 is taken once: it costs nothing. An empty table gives an empty mix. Rows that
 repeat count and are taken one by one. Columns whose names clash with the operator's own are kept apart.
@@ -29,6 +30,8 @@ MAX_STEPS = 60
 TOLERANCE = 1e-9
 #: Cells of one level of the rounding histogram, over thresholds from -2 to 2.
 CELLS = 4096
+#: Documents of a source, on average, that are looked at behind its threshold.
+NEXT = 1000
 
 
 def words_in(text: Column) -> Column:
@@ -39,18 +42,29 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     """(source, source_size, target, mean) from (source, size): weighted shares of ``share`` of all sizes, filled up to
     ``most`` times each source.
 
-    Sources in order of cap over weight are capped one after the other until the level of the rest is under
-    their caps; that is where sharing the excess again and again ends.
+    The level starts where it shares everything; sources over their caps leave with them, the rest shares again, until none is
+    over. Each round is one sum over the sources.
     """
     by = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    by = by.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int"))).withColumn("cap", most * F.col("source_size"))
-    order = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    everything = Window.partitionBy(F.lit(0))
-    before, rest = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    level = (share * F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(rest)
-    by = by.withColumn("level", level).withColumn("level", F.max(F.when(F.col("level") * F.col("weight") <= F.col("cap") * (1 + 1e-12), F.col("level"))).over(everything))
-    return by.select("source", "source_size", F.least("cap", F.col("weight") * F.col("level")).alias("target"), (F.greatest("source_size", F.lit(1)) / F.col("rows")).alias("mean"))
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
+    by = checkpoint(ranked(by, F.col("source").asc_nulls_last()).withColumn("weight", weight).withColumn("cap", most * F.col("source_size")).drop("rank"))
+    level = None
+    while True:
+        over = F.lit(False) if level is None else F.col("weight") * level > F.col("cap") * (1 + 1e-12)
+        row = by.agg(F.sum("source_size").alias("all"), F.coalesce(F.sum(F.when(over, F.col("cap"))), F.lit(0.0)).alias("full"), F.sum(F.when(~over, F.col("weight"))).alias("weight"), F.count_if(over).alias("n")).first()
+        if row["weight"] is None or (level is not None and row["n"] == capped):
+            break
+        level, capped = (share * row["all"] - row["full"]) / row["weight"], row["n"]
+    return by.select("source", "source_size", F.least("cap", F.col("weight") * F.lit(level)).alias("target"), (F.greatest("source_size", F.lit(1)) / F.col("rows")).alias("mean"))
+
+
+def ranked(rows: DataFrame, order: Column) -> DataFrame:
+    """``rows`` with their ``rank`` from 0 on: ranges are sorted one by one and begin where the ranges before them end."""
+    dealt = checkpoint(rows.repartitionByRange(order).withColumn("__part", F.spark_partition_id()))
+    starts = dealt.groupBy("__part").agg(F.count("*").alias("__n"))  # a row for each partition
+    starts = starts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__start"))
+    within = F.row_number().over(Window.partitionBy("__part").orderBy(order))
+    return dealt.withColumn("__at", within).join(F.broadcast(starts), "__part").withColumn("rank", F.col("__start") + F.col("__at") - 1).drop("__part", "__at", "__start")
 
 
 def _rate(size: Column) -> Column:
@@ -87,43 +101,54 @@ def _dual(histogram: DataFrame, by: DataFrame) -> DataFrame:
     return state.select(*by.columns, F.round("dual", 7).alias("dual"))
 
 
+def _points(size: Column, u: Column) -> list[Column]:
+    """Where each copy of a document stands in its source's order."""
+    return [F.round(c - _rate(size) - u, 9) for c in range(1, int(MOST) + 1)]
+
+
 def _thresholds(docs: DataFrame, by: DataFrame) -> DataFrame:
-    """``by`` with the threshold of each source: two histogram levels of the copies' breakpoints."""
+    """``by`` with the threshold of each source, from two histogram levels of its copies' points, and the points behind it
+    whose copies still fit."""
     limited = by.select("*", F.lit(-2.0).alias("start"), F.lit(0).cast("long").alias("taken"), F.lit(4.0).alias("width"))
-    for level in range(2):
+    spread = lambda state: docs.join(maybe_broadcast(state), docs["source"].eqNullSafe(state["source"])).drop(docs["source"]).withColumn("point", F.explode(F.array(*_points(F.col("size"), F.col("u")))))
+    for _ in range(2):
         limited = checkpoint(limited)
-        joined = docs.join(maybe_broadcast(limited), docs["source"].eqNullSafe(limited["source"])).drop(docs["source"])
-        points = joined.select("*", F.explode(F.array(*(F.round(c - _rate(F.col("size")) - F.col("u"), 9) for c in range(1, int(MOST) + 1)))).alias("point"))
         cell = F.floor((F.col("point") - F.col("start")) / (F.col("width") / CELLS))
-        cells = points.where(cell.between(0, CELLS - 1)).groupBy("source", cell.alias("cell")).agg(F.sum("size").alias("cell_size"))
+        cells = spread(limited).where(cell.between(0, CELLS - 1)).groupBy("source", cell.alias("cell")).agg(F.sum("size").alias("cell_size"))
         run = cells.withColumn("upto", F.sum("cell_size").over(Window.partitionBy("source").orderBy("cell")))
         run = run.join(maybe_broadcast(limited.select("source", "taken", "target")).alias("l"), run["source"].eqNullSafe(F.col("l.source"))).drop(F.col("l.source"))
-        # Whole cells up to the target; at the last level a cell that passes it by less than it would miss counts too.
-        slack = F.col("cell_size") / 2 if level else F.lit(0.0)
-        whole = run.where(F.col("taken") + F.col("upto") <= F.col("target") + slack + 1e-6).groupBy("source").agg(F.max("cell").alias("cell"), F.max("upto").alias("upto"))
+        whole = run.where(F.col("taken") + F.col("upto") <= F.col("target") + 1e-6).groupBy("source").agg(F.max("cell").alias("cell"), F.max("upto").alias("upto"))
         moved = limited.alias("a").join(maybe_broadcast(whole).alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")), "left").select("a.*", "b.cell", "b.upto")
         step = F.col("width") / CELLS
         limited = moved.select(*by.columns, (F.col("start") + (F.coalesce("cell", F.lit(-1)) + 1) * step).alias("start"), (F.col("taken") + F.coalesce("upto", F.lit(0))).alias("taken"), step.alias("width"))
-    return limited.select(*by.columns, F.col("start").alias("threshold"))
+    limited = checkpoint(limited.select(*by.columns, F.col("start").alias("threshold"), (F.col("target") - F.col("taken")).alias("left")))
+    # Points are uniform for documents of one size, so a source has about NEXT documents in this stretch. Equal points go together.
+    behind = spread(limited).where((F.col("size") > 0) & (F.col("size") <= F.col("left")) & (F.col("point") >= F.col("threshold")) & (F.col("point") < F.col("threshold") + NEXT / F.col("rows")))
+    behind = behind.groupBy("source", "left", "point").agg(F.sum("size").alias("size")).where(F.col("size") <= F.col("left"))
+    order = behind.groupBy("source").agg(F.first("left").alias("left"), F.array_sort(F.collect_list(F.struct("point", "size"))).alias("next"))
+    start = F.struct(F.col("left").alias("left"), F.expr("array()").cast("array<double>").alias("points"))
+    fitting = F.aggregate("next", start, lambda s, x: F.when(x["size"] <= s["left"], F.struct((s["left"] - x["size"]).alias("left"), F.concat(s["points"], F.array(x["point"])).alias("points"))).otherwise(s))
+    filled = checkpoint(order.select(F.col("source").alias("s"), fitting["points"].alias("fill")))
+    joined = limited.join(maybe_broadcast(filled), F.col("source").eqNullSafe(F.col("s")), "left")
+    return joined.select(*by.columns, "threshold", F.coalesce("fill", F.expr("array()").cast("array<double>")).alias("fill"))
 
 
 def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE) -> tuple[DataFrame, DataFrame]:
-    """(each document's id, source, size and draw; each source's size, target, dual variable and threshold)."""
+    """(each document's id, source, size and draw; each source's size, target, dual variable, threshold and fill)."""
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", "size"), 11) / F.lit(float(1 << 53))
     sizes = docs.select("doc_id", "source", words_in(F.col("text")).alias("size"))
     sizes = checkpoint(sizes.select("doc_id", "source", "size", draw.alias("u")))
     histogram = checkpoint(sizes.groupBy("source", "size").agg(F.count("*").alias("n")))
     by = checkpoint(targets(histogram.select("source", F.expr("size * n").alias("size")), weights, share).drop("mean"))
     rows = histogram.groupBy(F.col("source").alias("s")).agg(F.sum("n").alias("rows"))
-    by = by.join(maybe_broadcast(rows), F.col("source").eqNullSafe(F.col("s"))).select("source", "source_size", "target", (F.greatest("source_size", F.lit(1)) / F.col("rows")).alias("mean"))
+    by = by.join(maybe_broadcast(rows), F.col("source").eqNullSafe(F.col("s"))).select("source", "source_size", "target", "rows", (F.greatest("source_size", F.lit(1)) / F.col("rows")).alias("mean"))
     by = checkpoint(_thresholds(sizes, checkpoint(_dual(histogram, checkpoint(by)))))
     return sizes, by
 
 
 def _copies(size: Column, u: Column) -> Column:
-    """Breakpoints under the source's threshold; a source at its cap takes all."""
-    points = [F.round(c - _rate(size) - u, 9) for c in range(1, int(MOST) + 1)]
-    under = sum((F.when(p < F.col("threshold"), 1).otherwise(0) for p in points), F.lit(0))
+    """Points under the source's threshold, or among those that fit behind it; a source at its cap takes all."""
+    under = sum((F.when((p < F.col("threshold")) | F.array_contains("fill", p), 1).otherwise(0) for p in _points(size, u)), F.lit(0))
     full = F.col("target") >= MOST * F.col("source_size")
     return F.when(size == 0, 1).when(full, int(MOST)).otherwise(under).cast("int")
 
@@ -142,7 +167,7 @@ def take(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = S
     Only the sources' few numbers are joined to the documents, so their texts stay where they are.
     """
     _, by = plan(docs, weights, share)
-    by = by.select(F.col("source").alias("__source"), "source_size", "target", "mean", "dual", "threshold")
+    by = by.select(F.col("source").alias("__source"), "source_size", "target", "mean", "dual", "threshold", "fill")
     inner = docs.select(F.struct(*docs.columns).alias("__row"), F.col("source").alias("__own"), F.col("doc_id"), words_in(F.col("text")).alias("size"))
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", "size"), 11) / F.lit(float(1 << 53))
     joined = inner.withColumn("u", draw).join(maybe_broadcast(by), F.col("__own").eqNullSafe(F.col("__source")))

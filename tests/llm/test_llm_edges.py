@@ -393,3 +393,19 @@ def test_chat(spark):
     assert chat.digests(chat.examples(df.limit(0))).count() == 0
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_targets_and_ranks(spark, monkeypatch):
+    rng = random.Random(14)
+    names = [f"s{i:03d}" for i in range(200)] + [None]
+    sizes = [(s, rng.choice([0, 1, 5, 40, 900])) for s in names for _ in range(rng.randrange(1, 4))]
+    df = spark.createDataFrame(sizes, "source string, size long")
+    got = {r["source"]: r["target"] for r in mixing.targets(df).collect()}
+    total = {s: sum(n for x, n in sizes if x == s) for s in names}
+    weight = {s: (5.0, 2.0, 1.0)[i % 3] for i, s in enumerate(names)}
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (low, level) if sum(min(2 * total[s], weight[s] * level) for s in names) > 1.5 * sum(total.values()) else (level, high)
+    assert got == pytest.approx({s: min(2.0 * total[s], weight[s] * low) for s in names}, abs=1e-6)
+    assert mixing.targets(df.where("size = 0")).where("target <> 0").count() == 0

@@ -9,22 +9,28 @@ Banding: BANDS keys of BINS / BANDS coordinates; a pair of similarity 0.85 share
 
 Verification is on the full shingle sets (64-bit hashes of the words' hashes), never on estimates:
 
-1. Texts with equal sets are one class; its least id stands for it from here on.
+1. Texts with equal sets (by a SHA-256 digest of the whole set) are one class; its least id stands for it from here on.
 2. In every bucket of a key each member is compared with the least member. Verified links are joined into components.
-3. Buckets whose members are still in several components are compared in full, in blocks of BLOCK members: one matrix
-   product gives a block pair's intersections, and only a spanning forest of its links leaves the task. Buckets with
-   the same members count once; buckets over BLOCK members that overlap are merged first.
-4. The components of all links are the classes.
+3. Buckets of up to BLOCK members that are still in several components are compared in full: one matrix
+   product gives all intersections, and only a spanning forest of the links leaves the task. Buckets with
+   the same members count once.
+4. Larger ones that overlap are merged, and split by an exact prefix filter: of two sets that a link joins, each has a value in common
+   with the other among its rarest ones, as many as it may lack of the other and one more. Rare is what few members of the group hold (by
+   a table of bounded size; any order would be exact), so texts that merely share a passage don't meet again, and their sets
+   aren't moved. Those that do meet are compared as in 3, over BLOCK members in block pairs.
+5. The components of all links are the classes.
 
 No group meets in one task: buckets are counted by combined aggregation, hot pivots are salted, large buckets split
-into block pairs. Texts stay where they are; only the sets of documents in shared buckets are shuffled.
+by rare values and into block pairs. Texts stay where they are; only the sets of documents in shared buckets are shuffled.
 
 A text without words has an empty set and no links; with fewer words than a shingle, its whole sequence is the one shingle.
-Null texts are empty. Rows that repeat an id are one document. A row without an id is never kept over one that has an id.
+Null texts are empty. Rows that repeat an id are one document; where their texts differ, what the id links to is decided by the
+one with the least set (compared as bytes), and each row has the size of its own. A row without an id is never kept over one that has an id.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import checkpoint, map_texts, maybe_broadcast
+from tallyguard.llm.common import checkpoint, map_texts, maybe_broadcast, received, send
 from tallyguard.llm.components import connected_components
 from tallyguard.llm.textops import LOWER, chunks, mix, prefix_hash, shingles, span_hash, words
 
@@ -41,6 +47,8 @@ BANDS = 32
 BLOCK = 256
 #: Columns of a presence matrix that are held at once.
 COLUMNS = 4096
+#: The table of how many members hold a value has 2 to this power cells: 8 MB, whatever the corpus.
+RARE_BITS = 20
 _NONE = np.uint64(2**64 - 1)
 
 
@@ -91,13 +99,11 @@ def _sketcher(k: int):
         for batch in batches:
             for rows, data, offsets in chunks(batch):
                 values, bounds = shingle_sets(data, offsets, k)
-                sums = np.zeros((2, len(values) + 1), np.uint64)
-                np.cumsum(mix(values), out=sums[0, 1:])
-                np.cumsum(mix(values ^ np.uint64(0xABCDEF)), out=sums[1, 1:])
-                first, second = (s[bounds[1:]] - s[bounds[:-1]] for s in sums)
+                blob = memoryview(values.tobytes())
+                digests = [hashlib.sha256(blob[8 * a : 8 * b]).digest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 keys = band_keys(sketch(values, bounds)).astype(np.int64)
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(bounds)), pa.array(first.astype(np.int64)), pa.array(second.astype(np.int64)), flat], names=["doc_id", "n", "s1", "s2", "keys"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(bounds)), pa.array(digests, pa.binary()), flat], names=["doc_id", "n", "digest", "keys"])
 
     return run
 
@@ -213,14 +219,72 @@ def _blocks(threshold: int):
     return run
 
 
+def _cells(gid: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Cells of the table of rare values for values of groups."""
+    return (mix(values ^ mix(gid.view(np.uint64))) >> np.uint64(64 - RARE_BITS)).astype(np.int64)
+
+
+def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (gid, doc, part, set): how many sets of a batch have a value in each cell."""
+    for batch in batches:
+        sets = _sets(batch.column(3))
+        gid = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])
+        cell, count = np.unique(_cells(gid, np.concatenate(sets) if sets else np.zeros(0, np.uint64)), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(count)], names=["cell", "n"])
+
+
+def _prefixes(threshold: int, held):
+    """Of (gid, doc, part, set): the rarest values of each set, one more than it may lack of a set that it links to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = received(held)
+        for batch in batches:
+            out = [[], [], [], []]
+            for gid, doc, part, own in zip(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(), _sets(batch.column(3)), strict=True):
+                size = len(own) - -(-threshold * len(own) // 100) + 1
+                rare = own[np.lexsort((own, table[_cells(np.full(len(own), gid), own)]))[:size]].view(np.int64)
+                for column, x in zip(out, (np.full(len(rare), gid), rare, np.full(len(rare), doc), np.full(len(rare), part)), strict=True):
+                    column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in out], names=["gid", "value", "doc", "part"])
+
+    return run
+
+
+def rare_buckets(members: DataFrame, threshold: int) -> DataFrame:
+    """(gid, value, doc, part): buckets of members (gid, doc, part, set) in which any two of one gid that link meet."""
+    table = np.zeros(1 << RARE_BITS, np.int64)
+    for row in members.mapInArrow(_holders, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # a row for each cell
+        table[row["cell"]] = row["n"]
+    return members.mapInArrow(_prefixes(threshold, send(members.sparkSession, table)), "gid long, value long, doc long, part long")
+
+
+def _unsettled(members: DataFrame, *keys: str) -> DataFrame:
+    """Buckets (``keys``) of (doc, part) with several parts, with their size and a hash of their members."""
+    who = F.sum(F.xxhash64("doc").cast("decimal(38,0)"))
+    return members.groupBy(*keys).agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("c"), who.alias("who"), F.min("doc").alias("least")).where("low <> high")
+
+
+def _once(buckets: DataFrame, *keys: str) -> DataFrame:
+    """One of the buckets with the same members."""
+    return buckets.groupBy("who", "c", "least").agg(F.min(F.struct(*keys)).alias("k")).select("k.*")
+
+
+def _compared(groups: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links between members of different parts of groups (gid, doc, part), each compared in full, in block pairs."""
+    blocks = groups.groupBy("gid").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    dealt = groups.join(maybe_broadcast(checkpoint(blocks)), "gid").withColumn("block", F.expr("cast(pmod(hash(doc), blocks) as int)")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("gid", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc", "part").join(sets, "doc").select("gid", "i", "j", "block", "doc", "part", "set")
+    return _by(dealt, "gid", "i", "j").mapInArrow(_blocks(threshold), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
     Two documents are linked if 100 * (shared shingles of ``k`` words) >= ``threshold`` * (shingles of either).
     """
     texts = docs.select("doc_id", "text")
-    rows = checkpoint(map_texts(texts, _sketcher(k), "doc_id long, n long, s1 long, s2 long, keys array<long>"))
-    classes = checkpoint(rows.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")))
+    rows = checkpoint(map_texts(texts, _sketcher(k), "doc_id long, n long, digest binary, keys array<long>"))
+    classes = checkpoint(rows.where("n > 0").groupBy("digest", "n").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")))
     # Buckets with more than one class, and their members.
     bands = classes.where("rep is not null").select("rep", "n", F.explode("keys").alias("key"))
     shared = checkpoint(bands.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("rep", "n")).alias("p")).where("c > 1").select("key", "c", F.col("p.rep").alias("pivot"), F.col("p.n").alias("pivot_n")))
@@ -228,6 +292,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     # The sets of every document that shares a bucket.
     wanted = checkpoint(members.select(F.col("rep").alias("doc_id")).distinct())
     sets = checkpoint(map_texts(texts.join(maybe_broadcast(wanted), "doc_id", "left_semi"), _setter(k), "doc_id long, set binary").withColumnRenamed("doc_id", "doc"))
+    if sets.count() > sets.select("doc").distinct().count():
+        sets = checkpoint(sets.groupBy("doc").agg(F.min("set").alias("set")))
     fit = 100 * F.least("n", "pivot_n") >= threshold * F.greatest("n", "pivot_n")
     pairs = checkpoint(members.where(F.col("rep") != F.col("pivot")).where(fit).select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
     salts = checkpoint(pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts")))
@@ -239,24 +305,27 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     # Buckets that one component does not cover: compare their members in full.
     parted = members.select("key", "c", "rep").join(maybe_broadcast(found.select(F.col("node").alias("rep"), "component")), "rep", "left").select("key", "c", F.col("rep").alias("doc"), F.coalesce("component", "rep").alias("part"))
     parted = checkpoint(parted)
-    unsettled = parted.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("c"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("who"), F.min("doc").alias("least")).where("low <> high and c > 2")
-    small = unsettled.where(F.col("c") <= BLOCK).groupBy("who", "c", "least").agg(F.min("key").alias("key")).select("key")
+    unsettled = checkpoint(_unsettled(parted, "key").where("c > 2"))
+    small = _once(unsettled.where(F.col("c") <= BLOCK), "key")
+    groups = checkpoint(parted.join(maybe_broadcast(checkpoint(small)), "key", "left_semi").select(F.col("key").alias("gid"), "doc", "part"))
+    more = [] if groups.isEmpty() else [_compared(groups, sets, threshold)]
     large = unsettled.where(F.col("c") > BLOCK).select("key", "least")
-    groups = parted.join(maybe_broadcast(checkpoint(small)), "key", "left_semi").select(F.col("key").alias("gid"), "doc", "part")
     spread = checkpoint(parted.join(maybe_broadcast(checkpoint(large)), "key").select("doc", "part", "least"))
     if not spread.isEmpty():
         merged = connected_components(spread.select("doc", "least"))
-        groups = groups.union(spread.select("doc", "part").distinct().join(merged, F.col("doc") == F.col("node")).select(F.col("component").alias("gid"), "doc", "part"))
-    groups = checkpoint(groups)
-    if not groups.isEmpty():
-        blocks = groups.groupBy("gid").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        dealt = groups.join(maybe_broadcast(checkpoint(blocks)), "gid").withColumn("block", F.expr("cast(pmod(hash(doc), blocks) as int)")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        dealt = dealt.select("gid", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc", "part").join(sets, "doc").select("gid", "i", "j", "block", "doc", "part", "set")
-        more = _by(dealt, "gid", "i", "j").mapInArrow(_blocks(threshold), "a long, b long")
-        links = checkpoint(links.union(more))
+        members = spread.select("doc", "part").distinct().join(merged, F.col("doc") == F.col("node")).select(F.col("component").alias("gid"), "doc", "part")
+        rare = checkpoint(rare_buckets(checkpoint(members.join(sets, "doc").select("gid", "doc", "part", "set")), threshold))
+        meet = checkpoint(_once(_unsettled(rare, "gid", "value"), "gid", "value"))
+        groups = checkpoint(rare.join(maybe_broadcast(meet), ["gid", "value"], "left_semi").select(F.xxhash64("gid", "value").alias("gid"), "doc", "part"))
+        if not groups.isEmpty():
+            more.append(_compared(groups, sets, threshold))
+    if more:
+        for found_links in more:
+            links = links.union(found_links)
+        links = checkpoint(links)
         found = connected_components(links)
-    classes = classes.select("s1", "s2", "n", "rep").join(maybe_broadcast(found.select(F.col("node").alias("rep"), "component")), "rep", "left").select("s1", "s2", "n", F.coalesce("component", "rep").alias("class"))
-    out = rows.select("doc_id", "s1", "s2", "n").join(maybe_broadcast(checkpoint(classes)), ["s1", "s2", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class", "doc_id").alias("component_id"))
+    classes = classes.select("digest", "n", "rep").join(maybe_broadcast(found.select(F.col("node").alias("rep"), "component")), "rep", "left").select("digest", "n", F.coalesce("component", "rep").alias("class"))
+    out = rows.select("doc_id", "digest", "n").join(maybe_broadcast(checkpoint(classes)), ["digest", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("class", "doc_id").alias("component_id"))
     return out.select("*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
 
 

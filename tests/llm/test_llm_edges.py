@@ -98,6 +98,28 @@ def test_near_duplicates_in_crowded_buckets(spark, monkeypatch):
     assert got == want and len(set(want.values())) > 3
 
 
+def test_texts_that_share_a_passage_are_not_compared_in_pairs(spark, monkeypatch):
+    """A large bucket of texts with half their words in common: few of their sets are moved again."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    asked, made = [], minhash._compared
+    monkeypatch.setattr(minhash, "_compared", lambda groups, *more: asked.append(groups.count()) or made(groups, *more))
+    rng = random.Random(15)
+    passage = " ".join(f"p{i}" for i in range(80))
+    texts = {i: f"{passage} " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for i in range(300)}
+    texts |= {300 + i: texts[7 * i] + f" z{i}" for i in range(20)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, k=3, threshold=85).collect()}
+    assert got == brute.components(texts, 3, 85) and len(set(got.values())) == 300
+    assert sum(asked) <= 2 * len(texts)
+
+
+def test_one_id_on_two_texts(spark):
+    rows = [(1, "a b c d e f g"), (1, "h i j k l m n"), (2, "h i j k l m n"), (3, "a b c d e f g"), (4, "a b c d e f g h")]
+    df = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    runs = [sorted(map(tuple, minhash.near_duplicates(df.repartition(n), k=3, threshold=80).collect())) for n in (1, 4)]
+    assert runs[0] == runs[1] and {(r[0], r[2]) for r in runs[0]} >= {(1, 1), (2, 1), (3, 1)}
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(2)
     for n, shared in ((1, 1), (3, 2), (40, 30), (500, 400), (5000, 4500)):

@@ -72,22 +72,41 @@ def received(sent: Broadcast):
     return pickle.loads(sent.value)
 
 
-#: A bit filter has 2 to this power bits: 4 MB, whatever the corpus. A fuller one lets more pass, and joins stay exact.
-FILTER_BITS = 25
+#: A bit filter has BITS_PER_ENTRY bits for each entry, rounded up to a power of two, and 2 to the FILTER_BITS (64 MB) at most. Beyond
+#: that it lets more pass; joins behind it stay exact.
+FILTER_BITS, BITS_PER_ENTRY = 29, 16
+#: A key that holds more than one in so many rows is one of fewer than so many keys.
+HEAVY = 1000
 
 
 def bit_filter(values: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of fixed size over a column of well-spread longs, for in_filter()."""
-    slot = F.col(column).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1  # the bitmap functions count from 1
+    """A bitmap over a column of well-spread longs, for in_filter(), as large as their number asks for."""
+    bits = int(np.clip(np.ceil(np.log2(BITS_PER_ENTRY * values.count() + 1)), 15, max(15, FILTER_BITS)))
+    slot = F.col(column).bitwiseAND(F.lit((1 << bits) - 1)) + 1  # the bitmap functions count from 1
     parts = values.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-    table = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    table = np.zeros((1 << bits) // 8, np.uint8)
     for row in parts.collect():  # at most 2**FILTER_BITS bits in all
         at = (int(row["bucket"]) - 1) * 4096
         table[at : at + 4096] = np.frombuffer(bytes(row["bits"]), np.uint8)
     return table
 
 
+def crowded(table: np.ndarray) -> bool:
+    """Whether a filter lets more than a quarter of all values pass."""
+    return int(np.bitwise_count(table).sum()) > 2 * len(table)
+
+
 def in_filter(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     """True for every value that the filter was built over, and for few others."""
     at = np.asarray(values).astype(np.int64) & (8 * len(table) - 1)
     return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def semi_join(rows: DataFrame, keys: DataFrame, on: list[str], total: int) -> DataFrame:
+    """Rows whose key is in ``keys``: distinct keys with ``n``, the number of rows that each has of ``total``.
+
+    Keys with more than one in HEAVY of the rows are fewer than HEAVY, so they are broadcast and their rows stay where they are.
+    """
+    heavy = F.broadcast(keys.where(F.col("n") * HEAVY > total).select(*on))
+    light = keys.where(F.col("n") * HEAVY <= total).select(*on)
+    return rows.join(heavy, on, "left_semi").union(rows.join(heavy, on, "left_anti").join(light, on, "left_semi"))

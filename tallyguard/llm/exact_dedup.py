@@ -1,10 +1,12 @@
 """Exact de-duplication by an exchange of Golomb-coded fingerprints.
 
-1. Each partition fingerprints its normalised texts, sorts the distinct fingerprints and sends them, as Golomb
-   codes of their gaps, to the owners of the fingerprint ranges. No text moves.
+1. Each sender, a partition or several of ROWS_PER_SENDER rows, fingerprints its normalised texts, sorts the distinct fingerprints
+   and sends them, as Golomb codes of their gaps, to the owners of the fingerprint ranges. No text moves. Both sides grow with the rows of
+   all, so that a message holds many codes however many partitions there are.
 2. An owner merges what it got and answers every sender with a bitmap: which of your fingerprints exist elsewhere.
 3. A sender marks its rows by the bitmaps and by repeats of its own. Only the texts of such suspects are shuffled
-   (a bitmap filter of fixed size lets nearly no other text pass) and compared byte for byte.
+   (a bit filter sized by their number lets nearly no other text pass; where its largest size is too small, a semi-join
+   by fingerprint takes its place) and compared byte for byte.
 
 Texts are equal when they are identical without ASCII white space. Of equal texts the one with the most code
 points stays, then the smallest doc_id (a null id comes last). A null text counts as empty. Rows that repeat an id and
@@ -21,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import SPACES, bit_filter, checkpoint, in_filter, maybe_broadcast
+from tallyguard.llm.common import SPACES, bit_filter, checkpoint, crowded, in_filter, maybe_broadcast, semi_join
 
 #: Bits of a fingerprint. More senders mean smaller gaps; a chance collision costs one text comparison.
 FINGERPRINT_BITS = 48
-#: Rows whose fingerprints one owner merges, at most about 16 MB.
-ROWS_PER_OWNER = 1_000_000
+#: Rows whose fingerprints one owner merges, and of one sender: about 32 MB.
+ROWS_PER_OWNER = ROWS_PER_SENDER = 4_000_000
 
 
 def normalised(text: Column) -> Column:
@@ -72,7 +74,7 @@ def _sender(owners: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()]) for b in batches if b.num_rows]
         senders, fps = np.concatenate(held, axis=1) if held else np.zeros((2, 0), np.int64)
-        for sender in np.unique(senders):  # one, or a few whole ones where partitions were joined
+        for sender in np.unique(senders):  # one, a few, or part of one
             own = np.unique(fps[senders == sender].astype(np.uint64))
             targets, at = np.unique((own // width).astype(np.int64), return_index=True)
             bounds = np.append(at, len(own))
@@ -83,12 +85,14 @@ def _sender(owners: int):
 
 
 def _answer(codes: pd.DataFrame) -> pd.DataFrame:
-    """An owner's answer to each sender: a bit for every fingerprint, set if another sender has it too."""
+    """An owner's answer to each sender: a bit for every fingerprint, set if there is more than one message with it."""
     decoded = [golomb_decode(x) for x in codes["codes"]]
     values, counts = np.unique(np.concatenate(decoded), return_counts=True)
-    shared = values[counts > 1]
-    bitmaps = [np.packbits(np.isin(x, shared)).tobytes() for x in decoded]
-    return pd.DataFrame({"owner": codes["owner"], "sender": codes["sender"], "bitmap": bitmaps})
+    shared, out = values[counts > 1], []
+    for sender, at in codes.groupby("sender").indices.items():
+        own = np.unique(np.concatenate([decoded[i] for i in at]))
+        out.append((codes["owner"].iloc[0], sender, np.packbits(np.isin(own, shared)).tobytes()))
+    return pd.DataFrame(out, columns=["owner", "sender", "bitmap"])
 
 
 def _marker(owners: int):
@@ -109,12 +113,9 @@ def _marker(owners: int):
     return mark
 
 
-def _filter(suspects: DataFrame):
-    """A column function that is true for suspect fingerprints and few others, or None without suspects."""
-    table = bit_filter(suspects, "fp")
-    if not table.any():
-        return None
-    bits = suspects.sparkSession.sparkContext.broadcast(table.tobytes())
+def _passing(table: np.ndarray, spark):
+    """A column function that is true for suspect fingerprints and few others."""
+    bits = spark.sparkContext.broadcast(table.tobytes())
 
     @F.pandas_udf("boolean")
     def passes(fp: pd.Series) -> pd.Series:
@@ -123,24 +124,34 @@ def _filter(suspects: DataFrame):
     return passes
 
 
+def suspect_texts(docs: DataFrame, rows: DataFrame, suspects: DataFrame, total: int) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, fp) that have a suspect fingerprint, and few others."""
+    table = bit_filter(suspects, "fp")
+    if not crowded(table):
+        return docs.where(_passing(table, docs.sparkSession)(F.col("fp")))
+    counted = rows.groupBy("fp").agg(F.count("*").alias("n")).join(suspects, "fp", "left_semi")
+    return semi_join(docs, checkpoint(counted), ["fp"], total)
+
+
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
     fingerprint = F.shiftrightunsigned(F.xxhash64(normalised(F.col("text"))), 64 - FINGERPRINT_BITS)
     rows = checkpoint(
         docs.select("doc_id", fingerprint.alias("fp"), F.length(F.coalesce("text", F.lit(""))).alias("n"), F.sha2(normalised(F.col("text")), 256).alias("sha"), F.spark_partition_id().cast("long").alias("sender"))
     )
-    owners = max(32, rows.count() // ROWS_PER_OWNER)
-    codes = rows.select("sender", "fp").mapInArrow(_sender(owners), "owner long, sender long, codes binary")
+    total, parts = rows.agg(F.count("*"), F.coalesce(F.max("sender"), F.lit(0)) + 1).first()
+    owners, senders = max(32, total // ROWS_PER_OWNER), min(parts, max(32, total // ROWS_PER_SENDER))
+    rows = rows.withColumn("sender", F.floor(F.col("sender") * F.lit(senders) / F.lit(parts)).cast("long"))
+    codes = rows.select("sender", "fp").coalesce(senders).mapInArrow(_sender(owners), "owner long, sender long, codes binary")
     bitmaps = codes.groupBy("owner").applyInPandas(_answer, "owner long, sender long, bitmap binary")
     counted = rows.groupBy("sender", "fp").agg(F.count("*").alias("times"))
     suspects = checkpoint(counted.groupBy("sender").cogroup(bitmaps.groupBy("sender")).applyInPandas(_marker(owners), "fp long").distinct())
-    passes = _filter(suspects)
-    if passes is None:
+    if suspects.isEmpty():
         return rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
     # Byte verification: suspects' texts grouped by the text itself, combined before the shuffle.
     best = F.struct((-F.length(F.coalesce("text", F.lit("")))).alias("n"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
     groups = (
-        docs.select("doc_id", "text", fingerprint.alias("fp")).where(passes(F.col("fp")))
+        suspect_texts(docs.select("doc_id", "text", fingerprint.alias("fp")), rows, suspects, total)
         .groupBy(normalised(F.col("text")).alias("body")).agg(F.min(best).alias("best"), F.count("*").alias("group_size"))
         .where("group_size > 1").select(F.sha2("body", 256).alias("sha"), F.col("best.id").alias("keep_id"), "group_size")
     )

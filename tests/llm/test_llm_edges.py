@@ -62,6 +62,22 @@ def test_exact_duplicates_across_many_senders(spark):
     assert got == {i: (i % 400, 3 if i % 400 < 200 else 2) for i in range(1000)}
 
 
+@pytest.mark.parametrize("bits, heavy", [(15, 1000), (29, 1000), (15, 3)])
+def test_suspects_by_filter_and_by_join(spark, monkeypatch, bits, heavy):
+    """A filter that is too small gives way to a join: the same result, and no more texts than have copies."""
+    monkeypatch.setattr(common, "FILTER_BITS", bits)
+    monkeypatch.setattr(common, "HEAVY", heavy)
+    monkeypatch.setattr(exact_dedup, "ROWS_PER_SENDER", 700)
+    monkeypatch.setattr(exact_dedup, "ROWS_PER_OWNER", 200)
+    taken, made = [], exact_dedup.suspect_texts
+    monkeypatch.setattr(exact_dedup, "suspect_texts", lambda *args: taken.append(made(*args)) or taken[-1])
+    texts = [f"one {i}" for i in range(2000)] + [f"two {i // 2}" for i in range(20_000)] + ["many"] * 12_000
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(40)
+    got = exact_dedup.exact_duplicates(df).groupBy("group_size").agg(F.count("*"), F.sum(F.col("kept").cast("int"))).collect()
+    assert sorted(map(tuple, got)) == [(1, 2000, 2000), (2, 20_000, 10_000), (12_000, 12_000, 1)]
+    assert taken[0].count() <= (32_000 if bits == 15 else 32_500)
+
+
 def test_golomb_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 2, 50, 3000):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+import re
 import tempfile
 
 import numpy as np
@@ -25,12 +26,14 @@ TEXTS_PER_BATCH = 1000
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the folder that spark.checkpoint.dir names.
 
-    Only where that setting is absent (a local test session) a folder of this machine is taken.
+    A session of one machine may do without that setting and gets a folder of its own; a cluster may not.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         shared = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     held = df.checkpoint()
     # Few rows in many partitions would make as many files of every later shuffle.

@@ -1,21 +1,22 @@
 """Suffix-array dedup on a run-length index: remove every byte that a repeated string of LENGTH bytes covers.
 
-The index is a run-compressed Burrows-Wheeler transform with sampled run ends. Two neighbouring suffixes whose
-preceding bytes agree stay neighbours one byte earlier, so the longest match of a position with a suffix before (or
-after) it in the suffix array is one less than that of the position before, unless it stands at the start (or end) of a run.
-Matches are therefore measured at run ends only, kept there as samples, and streamed along the text to all other positions:
-its matching statistics against everything else in the index. Where they reach LENGTH, bytes are marked.
+The index is a run-compressed Burrows-Wheeler transform (heads of runs, where they begin, where each leads to) with sampled run
+ends. Two neighbouring suffixes whose preceding bytes agree stay neighbours one byte earlier, and share one byte more; only at
+the ends of a run a new neighbour comes, and what is shared with it is the run's sample. Matching statistics are streamed by
+stepping through the runs from the end of each text backwards, from samples of rows every STEP bytes, all of them at once. The suffix
+array itself isn't kept. Where a match reaches LENGTH, bytes are marked.
 
 Distribution. Each text is winnowed: of every LENGTH - WINDOW + 1 windows of WINDOW bytes in a row the one with the least
 hash is an anchor, so equal strings of LENGTH bytes have an equal anchor at the same place, and an anchor's context, the
 union of the strings that have it, decides about them. Then
 
 1. anchors are dropped unless their window, with half a window before or behind it, occurs twice in the corpus,
-2. contexts that occur twice or more are repeated as a whole and marked without further work,
+2. contexts that are equal as a whole (128 bits of hashes) enter the index once; being repeated they are marked as they are,
 3. one copy of each remaining context, and no other bytes, goes to the index of its anchor. An index takes whole anchors, about INDEX_BYTES
    of contexts at a time; contexts of one text that overlap are joined, so that no byte is matched with itself,
-4. anchors with more than HOT contexts (a passage in very many different surroundings) are split by the strings
-   themselves: their LENGTH-byte strings are hashed and counted, those without a repeated piece left out first,
+4. an anchor with more than SHARE contexts (a passage in very many different surroundings) is dealt to several indexes. Each marks
+   what repeats in it, and hands on one occurrence of every different string; those that two indexes have are found by
+   counting their hashes, the ones without a repeated piece left out first,
 5. marks meet their texts by a key of id and text. Only texts with marks are shuffled, once.
 
 Bytes are UTF-8 bytes; matches never cross texts. A null text is empty. Texts under LENGTH bytes keep all bytes but count
@@ -32,13 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import BROADCAST_ROWS, bit_filter, checkpoint, in_filter, map_texts, received, send
+from tallyguard.llm.common import BROADCAST_ROWS, bit_filter, checkpoint, in_filter, map_texts, maybe_broadcast, received, semi_join, send
 from tallyguard.llm.minhash import _runs
 from tallyguard.llm.textops import chunks, mix, powers, prefix_hash, span_hash
 
 LENGTH = 400
 INDEX_BYTES = 1_000_000
-HOT = 6_000
+#: Contexts of one anchor that go to one index, on average.
+SHARE = 2_000
+#: Bytes that one step-by-step walk through the runs covers at most.
+STEP = 512
 #: Bit filters of one cascade at most.
 LEVELS = 8
 
@@ -189,7 +193,7 @@ def _passing(level: int, held):
 def cascade(chosen: DataFrame, known: DataFrame) -> tuple[list[np.ndarray], bool]:
     """Bit filters that together tell which of the ``known`` places are ``chosen``, and whether they do so for all.
 
-    The first is over the chosen places, the second over the others that pass the first, the third over the chosen ones that
+    Each is as large as its entries ask for. The first is over the chosen places, the second over the others that pass the first, the third over the chosen ones that
     pass the second, and so on until none passes, or LEVELS filters are full.
     """
     spark, tables = chosen.sparkSession, []
@@ -250,11 +254,11 @@ def chosen_contexts(texts: DataFrame, places: DataFrame, anchors: DataFrame, tab
 
 
 def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts sorted by fp and place, without those of the place before."""
+    """Contexts sorted by fp, share and place, without those of the place before."""
     last = None
     for batch in batches:
         if batch.num_rows:
-            fp, place = batch.column(0).to_numpy(), batch.column(5).to_numpy()
+            fp, place = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("fp", "place"))
             new = np.ones(len(fp), bool)
             new[1:] = (fp[1:] != fp[:-1]) | (place[1:] != place[:-1])
             new[0] = last != (fp[0], place[0])
@@ -263,9 +267,9 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """The suffix array of a sequence of numbers under 2 to the 16: four symbols at once, then prefix doubling of what ties."""
+    """The suffix array of a sequence of numbers under 2 to the 32: several symbols at once, then prefix doubling of what ties."""
     n = len(symbols)
-    packed = packed_symbols(symbols)
+    packed, width = packed_symbols(symbols)
     sa = np.argsort(packed)
     slot = np.arange(n)
 
@@ -276,7 +280,7 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
 
     rank = np.empty(n, np.int64)
     rank[sa] = ranked(packed[sa], slot)
-    at, step = slot, 4
+    at, step = slot, width
     while step < n:
         by_slot = rank[sa[at]]
         tied = np.zeros(len(at), bool)
@@ -294,14 +298,19 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     return sa
 
 
-def packed_symbols(symbols: np.ndarray) -> np.ndarray:
-    """Four symbols from each position on, as one 64-bit number; beyond the end there are zeros."""
-    padded = np.concatenate([symbols.astype(np.uint64), np.zeros(3, np.uint64)])
+def packed_symbols(symbols: np.ndarray) -> tuple[np.ndarray, int]:
+    """Four symbols from each position on (two, if a symbol has over 16 bits) as one 64-bit number, and how many; beyond the end there
+    are zeros."""
     n = len(symbols)
-    return (padded[:n] << np.uint64(48)) | (padded[1 : n + 1] << np.uint64(32)) | (padded[2 : n + 2] << np.uint64(16)) | padded[3 : n + 3]
+    width = 4 if not n or int(symbols.max()) < 1 << 16 else 2
+    padded = np.concatenate([symbols.astype(np.uint64), np.zeros(width - 1, np.uint64)])
+    packed = padded[:n]
+    for i in range(1, width):
+        packed = (packed << np.uint64(64 // width)) | padded[i : n + i]
+    return packed, width
 
 
-def common_prefix(packed: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+def common_prefix(packed: np.ndarray, width: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """How many symbols agree from positions i and j on. Ends differ by unique separators, so nothing runs over."""
     length = np.zeros(len(i), np.int64)
     live = np.arange(len(i))
@@ -313,54 +322,75 @@ def common_prefix(packed: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarra
         differ = packed[a] ^ packed[b]
         same = differ == 0
         stop = differ[~same]
-        length[live[~same]] += (stop < np.uint64(1 << 48)).astype(np.int64) + (stop < np.uint64(1 << 32)) + (stop < np.uint64(1 << 16))
+        for k in range(1, width):
+            length[live[~same]] += stop < np.uint64(1 << (64 - k * (64 // width)))
         live = live[same]
-        length[live] += 4
+        length[live] += width
     return length
 
 
 class RunLengthIndex:
-    """The run-length transform of a text of several segments, with the matches at its run ends as samples."""
+    """The run-length transform of a text of several segments, with samples at its run ends and at the rows where walks begin."""
 
     def __init__(self, segments: list[np.ndarray]):
-        """``segments``: byte arrays; each is closed by a symbol of its own."""
+        """``segments``: byte arrays; each is closed by a symbol of its own, the smallest ones."""
         sizes = np.array([len(s) for s in segments])
         self.begin = np.concatenate([[0], np.cumsum(sizes + 1)])
         text = np.empty(self.begin[-1], np.uint32)
         for k, s in enumerate(segments):
             text[self.begin[k] : self.begin[k + 1] - 1] = s.astype(np.uint32) + len(segments) + 1
             text[self.begin[k + 1] - 1] = k + 1
-        if len(segments) + 257 >= 1 << 16:
-            raise ValueError("too many segments for one index")
         sa = suffix_array(text)
-        before = text[sa - 1]
-        before[sa == 0] = 0
-        starts = np.flatnonzero(before[1:] != before[:-1]) + 1  # slots at which a run starts and, one earlier, one ends
-        self.runs, self.size = len(starts) + 1, len(text)
-        match = common_prefix(packed_symbols(text), sa[starts - 1], sa[starts])
-        #: Text positions of the run starts and ends with the lengths they share with the suffix across the boundary.
-        self.start_at, self.start_match = self._sorted(np.append(sa[starts], sa[0]), np.append(match, 0))
-        self.end_at, self.end_match = self._sorted(np.append(sa[starts - 1], sa[-1]), np.append(match, 0))
-
-    @staticmethod
-    def _sorted(at: np.ndarray, match: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(at)
-        return at[order], match[order]
-
-    def matching_statistics(self) -> np.ndarray:
-        """For each text position the longest string from there on that also starts elsewhere: the last sample, less one a step."""
-        here = np.arange(self.size)
-        best = np.zeros(self.size, np.int64)
-        for at, match in ((self.start_at, self.start_match), (self.end_at, self.end_match)):
-            last = np.searchsorted(at, here, "right") - 1
-            best = np.maximum(best, np.where(last >= 0, match[last] - (here - at[last]), 0))
-        return best
-
-
-def long_matches(segments: list[np.ndarray], length: int) -> list[list[tuple[int, int]]]:
-    """For each segment the spans covered by strings of ``length`` bytes that also start elsewhere in the segments."""
+        before = text[sa - 1]  # the text is a circle: its first suffix has the last separator before it
+        self.first = np.concatenate([[0], np.flatnonzero(before[1:] != before[:-1]) + 1])
+        self.last = np.append(self.first[1:], len(sa)) - 1
+        self.heads, self.runs, self.size = before[self.first], len(self.first), len(text)
+        # Runs by head lie one behind the other, one byte earlier in the text.
+        order = np.argsort(self.heads, kind="stable")
+        lengths = (self.last - self.first + 1)[order]
+        self.to = np.empty(self.runs, np.int64)
+        self.to[order] = np.cumsum(lengths) - lengths
+        packed, width = packed_symbols(text)
+        shared = lambda rows: common_prefix(packed, width, sa[rows - 1], sa[rows])
+        inner = shared(self.to[order][1:])
+        #: What the suffix to which a run's first row leads shares with the one above it, and its last row's with the one below.
+        self.above, self.below = np.zeros(self.runs, np.int64), np.zeros(self.runs, np.int64)
+        self.above[order[1:]], self.below[order[:-1]] = inner, inner
+        # Walks: from each segment's end, and every STEP bytes before it.
+        steps = -(-sizes // STEP)
+        ends = np.repeat(self.begin[1:] - 1, steps)
+        self.at = ends - STEP * (np.arange(len(ends)) - np.repeat(np.cumsum(steps) - steps, steps))
+        self.walk = np.minimum(STEP, self.at - np.repeat(self.begin[:-1], steps))
+        where = np.empty(len(sa), np.int64)
+        where[sa] = np.arange(len(sa))
+        self.row = where[self.at]
+        self.up, self.down = shared(self.row), shared(np.minimum(self.row + 1, len(sa) - 1))
+        self.up[self.row == 0], self.down[self.row == len(sa) - 1] = 0, 0
+
+    def matching_statistics(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each text position the length of the longest string from there on that also starts elsewhere, and of the longest that
+        also starts at a suffix above it. Separators have none."""
+        best, above = np.zeros(self.size, np.int64), np.zeros(self.size, np.int64)
+        order = np.argsort(-self.walk, kind="stable")
+        at, row, up, down, walk = self.at[order], self.row[order], self.up[order], self.down[order], self.walk[order]
+        live = np.searchsorted(-walk, -np.arange(1, (walk[0] if len(walk) else 0) + 1), "right")
+        for step, n in enumerate(live.tolist(), 1):
+            row, up, down = row[:n], up[:n], down[:n]
+            run = np.searchsorted(self.first, row, "right") - 1
+            up = np.where(row == self.first[run], self.above[run], up + 1)
+            down = np.where(row == self.last[run], self.below[run], down + 1)
+            row = row - self.first[run] + self.to[run]
+            here = at[:n] - step
+            above[here] = up
+            best[here] = np.maximum(up, down)
+        return best, above
+
+
+def long_matches(segments: list[np.ndarray], length: int) -> tuple[list[list[tuple[int, int]]], np.ndarray, np.ndarray]:
+    """For each segment the spans covered by strings of ``length`` bytes that also start elsewhere in the segments; and where each
+    segment begins in the text of all, with the length that each position shares with a suffix above it."""
     index = RunLengthIndex(segments)
-    match = index.matching_statistics()
+    match, above = index.matching_statistics()
     out: list[list[tuple[int, int]]] = [[] for _ in segments]
     at = np.flatnonzero(match >= length)
     if len(at):
@@ -372,16 +402,23 @@ def long_matches(segments: list[np.ndarray], length: int) -> list[list[tuple[int
         for a, b in zip(heads, np.append(heads[1:], len(at)), strict=True):
             k = segment[a]
             out[k].append((int(at[a] - index.begin[k]), int(reach[a:b].max() - index.begin[k])))
-    return out
+    return out, index.begin, above
+
+
+#: What an index makes: marks, without bytes; and of an anchor in several indexes parts of contexts, with bytes.
+MADE = "fp long, key long, first long, last long, at long, bytes binary, place long"
 
 
 def _indexer(length: int):
-    """Of contexts sorted by fp and place: marked spans (key, first, last)."""
+    """Of contexts sorted by fp, share and place: marked spans, and what other indexes must know of those in ``shares`` indexes."""
 
-    def spans(keys: np.ndarray, firsts: np.ndarray, texts: list[bytes]) -> pa.RecordBatch:
-        order = np.lexsort((firsts, keys))
+    def made(groups: list[dict]) -> Iterator[pa.RecordBatch]:
+        held = {c: np.concatenate([g[c] for g in groups]) for c in ("fp", "key", "first", "at", "place", "shares")}
+        texts = [x for g in groups for x in g["bytes"]]
+        keys, firsts = held["key"], held["first"]
         merged: list[list] = []
-        for i in order:
+        home = np.zeros((len(texts), 2), np.int64)  # each context's segment, and where in it
+        for i in np.lexsort((firsts, keys)):
             part = np.frombuffer(texts[i], np.uint8)
             if merged and merged[-1][0] == keys[i] and firsts[i] <= merged[-1][1] + merged[-1][3]:
                 over = merged[-1][1] + merged[-1][3] - firsts[i]
@@ -390,23 +427,37 @@ def _indexer(length: int):
                     merged[-1][3] += len(part) - over
             else:
                 merged.append([keys[i], firsts[i], [part], len(part)])
-        found = long_matches([np.concatenate(m[2]) for m in merged], length)
-        rows = [(m[0], m[1] + a, m[1] + b) for m, s in zip(merged, found, strict=True) for a, b in s]
-        table = np.array(rows, np.int64).reshape(-1, 3)
-        return _batch({"key": table[:, 0], "first": table[:, 1], "last": table[:, 2]})
+            home[i] = len(merged) - 1, firsts[i] - merged[-1][1]
+        found, begin, above = long_matches([np.concatenate(m[2]) for m in merged], length)
+        rows = np.array([(m[0], m[1] + a, m[1] + b) for m, s in zip(merged, found, strict=True) for a, b in s], np.int64).reshape(-1, 3)
+        none = pa.nulls(len(rows), pa.int64())
+        yield _batch({"fp": none, "key": rows[:, 0], "first": rows[:, 1], "last": rows[:, 2], "at": none, "bytes": pa.nulls(len(rows), pa.binary()), "place": none})
+        # The first of equal strings in the order of suffixes stands for them all.
+        rest = [[], []]
+        for i in np.flatnonzero(held["shares"] > 1):
+            start = begin[home[i, 0]] + home[i, 1]
+            alone = np.flatnonzero(above[start : start + len(texts[i]) - length + 1] < length)
+            if len(alone):
+                cuts = np.flatnonzero(np.diff(alone) > 1) + 1
+                for run in np.split(alone, cuts):
+                    rest[0].append((i, run[0], run[-1] + length))
+                    rest[1].append(texts[i][run[0] : run[-1] + length])
+        if rest[0]:
+            i, a, b = np.array(rest[0], np.int64).T
+            yield _batch({"fp": held["fp"][i], "key": keys[i], "first": firsts[i] + a, "last": firsts[i] + b, "at": held["at"][i] - a, "bytes": pa.array(rest[1], pa.binary()), "place": held["place"][i]})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, firsts, texts, held = [], [], [], 0
-        for group in _runs(_once(batches), 1):
-            keys.append(group["key"].to_numpy())
-            firsts.append(group["first"].to_numpy())
-            texts += [x.as_py() for x in group["bytes"]]
-            held = sum(map(len, texts[-group.num_rows :])) + held
+        groups, held = [], 0
+        for group in _runs(_once(batches), 2):
+            own = {c: group[c].to_numpy() for c in ("fp", "key", "first", "at", "place", "shares")}
+            own["bytes"] = [x.as_py() for x in group["bytes"]]
+            groups.append(own)
+            held += sum(map(len, own["bytes"]))
             if held >= INDEX_BYTES:
-                yield spans(np.concatenate(keys), np.concatenate(firsts), texts)
-                keys, firsts, texts, held = [], [], [], 0
-        if texts:
-            yield spans(np.concatenate(keys), np.concatenate(firsts), texts)
+                yield from made(groups)
+                groups, held = [], 0
+        if groups:
+            yield from made(groups)
 
     return run
 
@@ -417,7 +468,7 @@ def _grid(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, text in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+            for at, text in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
                 part = np.frombuffer(text, np.uint8)
                 starts = np.arange(at % step, min(at, len(part) - length + step) + 1, step)
                 yield _batch({"h": span_hash(prefix_hash(part), starts, starts + length - step).view(np.int64)})
@@ -434,7 +485,7 @@ def _strings(length: int, held, marks: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = received(held)
         for batch in batches:
-            for key, first, at, text in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4)), strict=True):
+            for key, first, at, text in zip(*(batch.column(i).to_pylist() for i in (1, 2, 4, 5)), strict=True):
                 part = np.frombuffer(text, np.uint8)
                 sums, starts = prefix_hash(part), np.arange(len(part) - length + 1)
                 if marks:
@@ -454,20 +505,20 @@ def _small(values: DataFrame) -> np.ndarray | None:
     return np.sort(np.array([r[0] for r in values.collect()], np.int64)) if values.count() <= BROADCAST_ROWS else None
 
 
-def _crowded(contexts: DataFrame, length: int) -> DataFrame:
-    """Marks of anchors with very many contexts, by counting their strings, combined before the shuffle.
+def _between(parts: DataFrame, length: int) -> DataFrame:
+    """Marks of strings that several indexes of an anchor have, by counting the strings that each handed on (rows of MADE).
 
-    Most strings of a crowded anchor are unique. A string is counted only if a piece of it, nine tenths long, is repeated.
+    Most strings of such an anchor are unique. A string is counted only if a piece of it, nine tenths long, is repeated.
     """
-    spark = contexts.sparkSession
-    contexts = checkpoint(contexts.dropDuplicates(["key", "first"]))
-    pieces = _small(checkpoint(contexts.mapInArrow(_grid(length), "h long").groupBy("h").count().where("count > 1").select("h")))
-    strings = contexts.mapInArrow(_strings(length, send(spark, pieces), False), "h long, key long, first long")
-    twice = checkpoint(strings.groupBy("h").count().where("count > 1").select("h"))
-    few = _small(twice)
+    spark = parts.sparkSession
+    pieces = _small(checkpoint(parts.mapInArrow(_grid(length), "h long").groupBy("h").count().where("count > 1").select("h")))
+    strings = parts.mapInArrow(_strings(length, send(spark, pieces), False), "h long, key long, first long")
+    twice = checkpoint(strings.groupBy("h").count().where("count > 1"))
+    few = _small(twice.select("h"))
     if few is not None:
-        return contexts.mapInArrow(_strings(length, send(spark, few), True), "key long, first long, last long")
-    return strings.join(twice, "h", "left_semi").select("key", "first", (F.col("first") + length).alias("last"))
+        return parts.mapInArrow(_strings(length, send(spark, few), True), "key long, first long, last long")
+    found = semi_join(strings, twice.withColumnRenamed("count", "n"), ["h"], twice.agg(F.sum("count")).first()[0])
+    return found.select("key", "first", (F.col("first") + length).alias("last"))
 
 
 def _union(spans: np.ndarray) -> np.ndarray:
@@ -527,7 +578,7 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _kept(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist())
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, share: int = SHARE) -> DataFrame:
     """(key, first, last): byte spans that repeated strings of ``length`` bytes cover; see Chunk for the key."""
     spark, texts = docs.sparkSession, docs.select("doc_id", "text")
     sides = map_texts(texts, _fingerprints(length), "h long").groupBy("h").count().where("count > 1").select("h")
@@ -535,23 +586,29 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     anchors = checkpoint(map_texts(texts, _anchors(length, send(spark, table)), ANCHOR))
     # Contexts: those that occur again are marked as they are; one copy of each stands for all.
     copies = checkpoint(anchors.groupBy("fp", "ctx").agg(F.count("*").alias("n"), F.min("place").alias("place")))
-    again = copies.where("n > 1").select("fp", "ctx")
-    marks = anchors.join(again, ["fp", "ctx"], "left_semi").select("key", "first", "last")
-    several = copies.groupBy("fp").agg(F.count("*").alias("contexts"), F.min("n").alias("fewest")).where("contexts > 1 and fewest = 1").select("fp", "contexts")
-    chosen = checkpoint(copies.join(several, "fp").select("fp", "place", "contexts"))
-    few, many = chosen.where(F.col("contexts") <= hot), chosen.where(F.col("contexts") > hot)
-    around = lambda places: chosen_contexts(texts, places, anchors, table, length)
-    if not few.isEmpty():
-        marks = marks.union(around(few).repartition("fp").sortWithinPartitions("fp", "place").mapInArrow(_indexer(length), "key long, first long, last long"))
-    if not many.isEmpty():
-        marks = marks.union(_crowded(around(many), length))
-    return marks
-
-
-def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
+    total = copies.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    marks = semi_join(anchors, copies.where("n > 1").select("fp", "ctx", "n"), ["fp", "ctx"], total).select("key", "first", "last")
+    several = copies.groupBy("fp").agg(F.count("*").alias("contexts"), F.min("n").alias("fewest")).where("contexts > 1 and fewest = 1").select("fp", F.ceil(F.col("contexts") / share).cast("long").alias("shares"))
+    several = checkpoint(several)
+    chosen = checkpoint(copies.join(several, "fp", "left_semi").select("fp", "place"))
+    if chosen.isEmpty():
+        return marks
+    contexts = chosen_contexts(texts, chosen, anchors, table, length)
+    spread = several.where("shares > 1")
+    some = not spread.isEmpty()
+    dealt = contexts.join(maybe_broadcast(spread), "fp", "left").withColumn("shares", F.coalesce("shares", F.lit(1).cast("long"))) if some else contexts.withColumn("shares", F.lit(1).cast("long"))
+    dealt = dealt.select("fp", F.pmod(F.xxhash64("place"), "shares").alias("share"), "key", "first", "at", "bytes", "place", "shares")
+    made = dealt.repartition("fp", "share").sortWithinPartitions("fp", "share", "place").mapInArrow(_indexer(length), MADE)
+    if some:
+        made = checkpoint(made)
+        marks = marks.union(_between(made.where("bytes is not null"), length))
+    return marks.union(made.where("bytes is null").select("key", "first", "last"))
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, share: int = SHARE) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     spark, texts = docs.sparkSession, docs.select("doc_id", "text")
-    marks = checkpoint(repeated_spans(docs, length, hot).groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("marks")))
+    marks = checkpoint(repeated_spans(docs, length, share).groupBy("key").agg(F.collect_set(F.struct("first", "last")).alias("marks")))
     held = send(spark, bit_filter(marks, "key"))
     clean = map_texts(texts, _keyed(length, held, False), OUT)
     touched = map_texts(texts, _keyed(length, held, True), "doc_id long, key long, bytes binary")

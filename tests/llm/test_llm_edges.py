@@ -195,12 +195,15 @@ def test_suffix_arrays():
         assert rindex.suffix_array(x).tolist() == want == repetition.suffix_array(x)[0].tolist()
 
 
-def test_index_against_plain_search():
+@pytest.mark.parametrize("step", [1, 7, 512])
+def test_index_against_plain_search(monkeypatch, step):
+    monkeypatch.setattr(rindex, "STEP", step)
     rng = random.Random(6)
     base = bytes(rng.choice(b"abc") for _ in range(200))
     parts = [base, base[50:150] + b"zz" + base[:70], b"q" * 90, bytes(rng.choice(b"abc") for _ in range(120)), base[20:90]]
     index = rindex.RunLengthIndex([np.frombuffer(p, np.uint8) for p in parts])
-    got = index.matching_statistics()
+    got, above = index.matching_statistics()
+    assert all(0 <= x <= y for x, y in zip(above, got))
     for k, p in enumerate(parts):
         for i in range(len(p)):
             longest = 0
@@ -232,8 +235,8 @@ def test_each_string_has_one_anchor():
                 assert s <= p <= s + length - length // 2 and anchor.setdefault(text, p - s) == p - s
 
 
-@pytest.mark.parametrize("hot", [6000, 1])
-def test_removal_of_repeats(spark, hot):
+@pytest.mark.parametrize("share", [2000, 4, 1])
+def test_removal_of_repeats(spark, share):
     rng = random.Random(7)
     word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randrange(2, 7)))
     passage = " ".join(word() for _ in range(30))
@@ -243,10 +246,10 @@ def test_removal_of_repeats(spark, hot):
         texts[i] += passage[cut:] + word()
     texts += [passage, passage, "é" * 150, "ab" * 90, None, "", passage[:59], passage[:60], texts[3], texts[3]]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rindex.remove_repeats(df, 60, hot).collect()}
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rindex.remove_repeats(df, 60, share).collect()}
     assert [got[i] for i in range(len(texts))] == brute.removed(texts, 60)
     again = df.union(df.where("doc_id = 5"))
-    assert {r["n_removed"] for r in rindex.remove_repeats(again, 60, hot).where("doc_id = 5").collect()} == {len(texts[5].encode()) if len(texts[5]) >= 60 else 0}
+    assert {r["n_removed"] for r in rindex.remove_repeats(again, 60, share).where("doc_id = 5").collect()} == {len(texts[5].encode()) if len(texts[5]) >= 60 else 0}
 
 
 @pytest.mark.parametrize("levels", [8, 2, 1])
@@ -263,7 +266,7 @@ def test_only_chosen_contexts_are_shipped(spark, monkeypatch, levels):
     long = " ".join(word() for _ in range(300))
     rows = list(enumerate(texts + [long] * 300)) + [(-1, texts[0])] * 50
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = rindex.remove_repeats(df, 60, 6000).collect()
+    got = rindex.remove_repeats(df, 60).collect()
     assert sorted((r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in got) == sorted((i, n, sha) for (i, _), (_, n, _, sha) in zip(rows, brute.removed([t for _, t in rows], 60)))
     ((places, contexts),) = shipped
     want = {(r["fp"], r["place"]) for r in places.collect()}
@@ -447,3 +450,16 @@ def test_targets_and_ranks(spark, monkeypatch):
         low, high = (low, level) if sum(min(2 * total[s], weight[s] * level) for s in names) > 1.5 * sum(total.values()) else (level, high)
     assert got == pytest.approx({s: min(2.0 * total[s], weight[s] * low) for s in names}, abs=1e-6)
     assert mixing.targets(df.where("size = 0")).where("target <> 0").count() == 0
+
+
+@pytest.mark.parametrize("share", [2000, 100_000])
+def test_an_anchor_with_very_many_contexts(spark, share):
+    """In dozens of indexes, and in one of more segments than symbols of 16 bits."""
+    rng = random.Random(16)
+    near = lambda n: "".join(rng.choices("abcdefgh", k=n))
+    middle = near(45)
+    texts = [near(25) + middle + near(25) for _ in range(70_000)]
+    texts += [texts[i][:80] + near(20) for i in range(0, 70_000, 1000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rindex.remove_repeats(df, 60, share).collect()}
+    assert [got[i] for i in range(len(texts))] == brute.removed(texts, 60)

@@ -54,19 +54,58 @@ def op10_run_length_index(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_minhash, op3_url_filter, op4_chat_format, op5_repetition, op6_exact_dedup, op7_sentencepiece, op8_language_id, op9_mixing, op10_run_length_index)}
 
 _OP3 = r"""
-WITH p AS (
-  SELECT page_id,
-         translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
-  FROM pages),
-r AS (SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
-                            ('block', 'net', '/es/'), ('block', 'net', '/fr/')) t(v, h, q)),
-j AS (
-  SELECT page_id, host, path,
-         (SELECT max(struct_pack(n := length(h || q), rule := h || q, v := v)) FROM r
-          WHERE (p.host = h OR ends_with(p.host, '.' || h)) AND starts_with(p.path, q)) AS best
-  FROM p)
-SELECT page_id, host, path, best.rule AS rule, coalesce(best.v, 'allow') AS verdict FROM j
+WITH RECURSIVE r AS (
+  SELECT * FROM (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                        ('block', 'net', '/es/'), ('block', 'net', '/fr/')) t(v, h, q)),
+tags AS (
+  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages),
+links AS (
+  SELECT url, replace(trim(CASE WHEN regexp_matches(tag, '(?is)^<link') THEN regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]*)', 1)
+              ELSE regexp_extract(tag, '(?is)\bcontent\s*=\s*["'']?[^"''>]*?url\s*=\s*[''"]?([^"''\s>]*)', 1) END), '&amp;', '&') AS href,
+         regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS root,
+         regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:/(?:[^?#]*/)?)?)', 1) AS folder
+  FROM tags WHERE regexp_matches(tag, '(?is)rel\s*=\s*["'']?\s*canonical\b|http-equiv\s*=\s*["'']?\s*refresh\b')),
+named AS (
+  SELECT url AS a, CASE WHEN contains(href, '://') THEN href WHEN starts_with(href, '//') THEN scheme || ':' || href
+                        WHEN starts_with(href, '/') THEN root || href
+                        ELSE folder || CASE WHEN ends_with(folder, '/') THEN '' ELSE '/' END || href END AS b
+  FROM links WHERE href <> ''
+  UNION ALL SELECT url, url FROM pages),
+urls AS (SELECT a AS url FROM named UNION SELECT b FROM named),
+parts AS (
+  SELECT url, regexp_replace(url, '(?s)#.*$', '') AS bare,
+         translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM urls WHERE url IS NOT NULL),
+keys AS (
+  SELECT url, CASE WHEN contains(bare, '://') THEN
+           translate(regexp_extract(bare, '(?s)^(.*?)://', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') || '://' || host
+           || coalesce(nullif(regexp_extract(bare, '(?s)^.*?://[^/?#]*(.*)$', 1), ''), '/') END AS k
+  FROM parts),
+forms AS (
+  SELECT DISTINCT k AS a, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+           regexp_replace(k, '(?s)^http://', 'https://'), '(?s)([?&])(?:utm_[a-z]+|gclid|fbclid)=[^&]*', '\1', 'g'),
+           '&&+', '&', 'g'), '\?&', '?', 'g'), '(?s)[?&]$', ''), '(?s)^([^?]*://[^?]*[^/?])/+$', '\1') AS b
+  FROM keys SEMI JOIN pages USING (url) WHERE k IS NOT NULL),
+edges AS (
+  SELECT x.k AS a, y.k AS b FROM named JOIN keys x ON x.url = named.a JOIN keys y ON y.url = named.b WHERE x.k <> y.k
+  UNION SELECT a, b FROM forms WHERE a <> b),
+ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reach(node, root) AS (SELECT a, a FROM ways UNION SELECT w.b, reach.root FROM reach JOIN ways w ON w.a = reach.node),
+components AS (SELECT node, min(root) AS component FROM reach GROUP BY node),
+best AS (
+  SELECT url, host, path, (SELECT max(struct_pack(n := length(h || q), rule := h || q, v := v)) FROM r
+                           WHERE (u.host = h OR ends_with(u.host, '.' || h)) AND starts_with(u.path, q)) AS best
+  FROM (SELECT url, host, path FROM parts
+        UNION SELECT node, translate(regexp_extract(node, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     regexp_extract(node, '(?s)^.*?://[^/?#]*([^?#]*)', 1) FROM components) u),
+bad AS (
+  SELECT component FROM components JOIN best ON best.url = node
+  GROUP BY component HAVING bool_or(best.best.v = 'block') AND NOT coalesce(bool_or(best.best.v = 'allow'), false)),
+aliases AS (SELECT node FROM components SEMI JOIN bad USING (component))
+SELECT page_id, coalesce(best.host, '') AS host, coalesce(best.path, '') AS path, best.best.rule AS rule,
+       coalesce(best.best.v, CASE WHEN keys.k IN (SELECT node FROM aliases) THEN 'block' ELSE 'allow' END) AS verdict
+FROM pages LEFT JOIN best USING (url) LEFT JOIN keys USING (url)
 """
 
 _OP4 = r"""

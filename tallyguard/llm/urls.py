@@ -5,7 +5,8 @@ several names: connected components over those edges carry a block to every alia
 member of the component is explicitly allowed - an allow rule goes before a block that is merely passed on.
 
 Edges come from the pages themselves: ``<link rel=canonical href=...>`` and ``<meta http-equiv=refresh content="0;
-url=...">``; a crawler's own list of redirects can be added. Fragments don't tell urls apart. A url that is null or
+url=...">``, and every url has one to its canonical form (https, without tracking parameters and closing slash), so that urls
+with one form are aliases; a crawler's own list of redirects can be added. Fragments don't tell urls apart. A url that is null or
 has no ``://`` has an empty host and path, fits no rule, has no edges and is allowed. Rows that repeat, in pages or in
 edges, change nothing; further columns are ignored; no pages give no verdicts.
 """
@@ -40,6 +41,13 @@ def key(url: Column) -> Column:
     return F.when(F.contains(bare, F.lit("://")), F.concat(scheme, F.lit("://"), host(bare), F.when(rest == "", "/").otherwise(rest)))
 
 
+def canonical(key_: Column) -> Column:
+    """The canonical form of a key: https for http, no tracking parameters, no closing slash behind a path."""
+    bare = F.regexp_replace(F.regexp_replace(key_, r"(?s)^http://", "https://"), r"(?s)([?&])(?:utm_[a-z]+|gclid|fbclid)=[^&]*", "$1")
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(bare, r"(?s)&&+", "&"), r"(?s)\?&", "?"), r"(?s)[?&]$", "")
+    return F.regexp_replace(bare, r"(?s)^([^?]*://[^?]*[^/?])/+$", "$1")
+
+
 def judge(host_: Column, path_: Column, rules: tuple = RULES) -> Column:
     """(rule, verdict) of the longest rule that fits, else null. ``rules`` is a list that fits an expression."""
     fits = F.lit(None)
@@ -94,7 +102,8 @@ def blocked_aliases(edges: DataFrame, rules: tuple = RULES) -> DataFrame:
 
 def filter_urls(pages: DataFrame, rules: tuple = RULES, redirects: DataFrame | None = None) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict. ``redirects``: more edges, as two columns of urls."""
-    edges = page_edges(pages)
+    names = pages.select(key(F.col("url")).alias("a")).where("a is not null").distinct()
+    edges = page_edges(pages).union(names.select("a", canonical(F.col("a")).alias("b")).where("a <> b"))
     if redirects is not None:
         a, b = redirects.columns[:2]
         edges = edges.union(redirects.select(key(F.col(a)), key(F.col(b)))).where("a is not null and b is not null")

@@ -2,11 +2,12 @@
 
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyguard.llm import chat, common, components, exact_dedup, langid, minhash, mixing, repetition, rindex, sentencepiece, textops, toxicity, urls
+from tallyguard.llm import chat, common, components, exact_dedup, langid, minhash, mixing, queries, repetition, rindex, sentencepiece, textops, toxicity, urls
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -405,6 +406,7 @@ def test_urls(spark):
         page(1, "http://Sub.Example.com/en/1"), page(2, "http://www.example.com/en/1#a"), page(3, "http://x.net/es/1"), page(4, "no scheme"), page(5, None), page(6, "http://example.com?x=/en/"),
         page(7, "http://a.org/1", '<link href="http://x.net/fr/9" rel="canonical">'), page(8, "http://b.org/1", "<META http-equiv='Refresh' content='0; url=http://a.org/1'>"), page(9, "http://b.org/1"),
         page(10, "http://c.org/1", '<link rel=canonical href="//d.org/2">'), page(11, "http://d.org/2", '<link rel=canonical href="http://ok.com/1">'), page(12, "http://ok.com/1", '<link rel="canonical" href="http://y.net/es/2">'), page(13, "http://e.org/a/b", '<link rel="canonical" href="c?d#e">'), page(14, "http://e.org/a/c?d"),
+        page(15, "http://f.org/x/?utm_source=a&b=1"), page(16, "HTTPS://F.org/x/?b=1", '<link rel="canonical" href="http://x.net/es/">'), page(17, "http://f.org/y/"),
     ]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("verdict", F.lit("clash"))
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.filter_urls(df).collect()}
@@ -412,6 +414,13 @@ def test_urls(spark):
     assert got[4] == got[5] == ("", "", None, "allow") and got[6] == ("example.com", "", None, "allow")
     assert [got[i][3] for i in (7, 8, 9)] == ["block"] * 3 and got[7][2] is None
     assert [got[i][3] for i in (10, 11, 12)] == ["allow"] * 3
+    assert [got[i][3] for i in (15, 16)] == ["block"] * 2 and got[17][3] == "allow"
+    # The registered SQL follows the same edges; rows that repeat and very long ones change nothing.
+    con, seen = duckdb.connect(), df.select("page_id", "url", "html").toPandas()
+    con.execute("create table pages as select * from seen")
+    assert {r[0]: r[1:] for r in con.sql(queries.ORACLES["op3_url_filter"]).fetchall()} == got
+    again = df.union(df).union(spark.createDataFrame([(90, "http://b.org/1?" + "x" * 300_000, "<p>" * 300_000, "clash")], df.schema))
+    assert {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.filter_urls(again).where("page_id <> 90").collect()} == got
     more = spark.createDataFrame([("http://e.org/a/c?d", "http://z.net/es/3")], "a string, b string")
     both = {r["page_id"]: r["verdict"] for r in urls.filter_urls(df, redirects=more).collect()}
     assert both[13] == both[14] == "block" and got[13][3] == "allow"

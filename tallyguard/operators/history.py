@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,13 +20,20 @@ def small(df: DataFrame) -> DataFrame:
 def drop_committed(batch: DataFrame, stored: DataFrame, token: str) -> DataFrame:
     """Rows of ``batch`` whose transaction is not stored under another token.
 
-    Two steps: the large history is only filtered, map-side, by the batch's ids; the few matches then leave the batch.
+    Two steps: the large history is only filtered, map-side, by the batch's ids; the few matches then leave the batch. The ids'
+    range goes to the scan, which skips the files that end before it.
     """
     ids = small(batch.select("transaction_id").distinct())
-    there = stored.where(F.col("batch_token") != token).select("transaction_id").join(ids, "transaction_id", "left_semi").distinct()
+    least, most = batch.agg(F.min("transaction_id"), F.max("transaction_id")).first()
+    there = stored.where((F.col("batch_token") != token) & F.col("transaction_id").between(least, most)).select("transaction_id").join(ids, "transaction_id", "left_semi").distinct()
     return batch.join(small(there), "transaction_id", "left_anti")
 
 
+def first_day(batch: DataFrame, hours: int = HISTORY_HOURS) -> datetime.date | None:
+    """The first day that touched_history() reads; None for no rows."""
+    return batch.agg(F.to_date(F.min("event_time") - F.expr(f"interval {int(hours)} hours"))).first()[0]
+
+
 def touched_history(batch: DataFrame, stored: DataFrame, hours: int = HISTORY_HOURS) -> DataFrame:
     """Stored rows of the batch's clients from ``hours`` before its first event on. The bound is also put on
     event_date, which prunes partitions."""

@@ -1,7 +1,7 @@
 """Layered Parquet tables that micro-batches replace as a whole, a commit ledger, state versions and compaction.
 
-A table is a folder, partitioned by ``batch_part`` and a date. A batch writes its rows under its own token, so that a retry
-first deletes exactly what an earlier attempt left. ``batch_token`` is also a data column: compaction moves the rows of many
+A table is a folder, partitioned by a date and ``batch_part``: a reader of some days lists their folders alone. A batch writes its
+rows under its own token, so that a retry first deletes exactly what an earlier attempt left. ``batch_token`` is also a data column: compaction moves the rows of many
 committed tokens into one part and still knows whose they are.
 """
 
@@ -44,25 +44,54 @@ class TableStore:
     def schema(self, name: str) -> T.StructType:
         held, date = TABLES[name]
         fields = [f for f in held.fields if f.name != date]
-        return T.StructType([*fields, T.StructField("batch_token", T.StringType()), T.StructField("batch_part", T.StringType()), T.StructField(date, T.DateType())])
+        return T.StructType([*fields, T.StructField("batch_token", T.StringType()), T.StructField(date, T.DateType()), T.StructField("batch_part", T.StringType())])
 
-    def read(self, name: str) -> DataFrame:
-        """The table's rows with batch_token and date; empty before the first write."""
-        if not path_exists(self.spark, self.path(name)):
+    def _found(self, pattern: str) -> list[str]:
+        """Paths that match a pattern under the store's folder."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{pattern}")
+        found = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+        return [x.getPath().toString() for x in found or ()]
+
+    def _parts(self, name: str, since: datetime.date | None = None, token: str | None = None) -> DataFrame:
+        """The rows of a table's parts: of the days from ``since`` on, or of one batch. Other folders aren't listed."""
+        _, date = TABLES[name]
+        if since is None and token is None:
+            paths = [self.path(name)] if path_exists(self.spark, self.path(name)) else []
+        else:
+            paths = self._found(f"{name}/{date}=*" + (f"/batch_part={token}" if token else ""))
+            if since is not None:
+                paths = [p for p in paths if p.split(f"{date}=")[-1][:10] >= since.isoformat()]
+        if not paths:
             return self.spark.createDataFrame([], self.schema(name)).drop("batch_part")
-        return self.spark.read.schema(self.schema(name)).parquet(self.path(name)).drop("batch_part")
+        return self.spark.read.schema(self.schema(name)).option("basePath", self.path(name)).parquet(*paths).drop("batch_part")
+
+    def read(self, name: str, since: datetime.date | None = None) -> DataFrame:
+        """The table's rows with batch_token and date, or those of the days from ``since`` on; empty before the first write."""
+        return self._parts(name, since=since)
+
+    def read_batch(self, name: str, token: str) -> DataFrame:
+        """The rows that a batch has written."""
+        return self._parts(name, token=token)
+
+    def _drop_batch(self, name: str, token: str) -> None:
+        _, date = TABLES[name]
+        for path in self._found(f"{name}/{date}=*/batch_part={token}"):
+            delete_path(self.spark, path)
 
     def clear(self, token: str) -> None:
         """Delete what an unfinished attempt of this batch left, in every table."""
-        for name in (*TABLES, "alerts", "metrics"):
+        for name in TABLES:
+            self._drop_batch(name, token)
+        for name in ("alerts", "metrics"):
             delete_path(self.spark, f"{self.path(name)}/batch_part={token}")
 
     def write_batch(self, name: str, rows: DataFrame, token: str) -> None:
         """Replace this token's rows; other tokens stay."""
         _, date = TABLES[name]
-        delete_path(self.spark, f"{self.path(name)}/batch_part={token}")
+        self._drop_batch(name, token)
         tagged = rows.withColumn("batch_token", F.lit(token)).withColumn("batch_part", F.lit(token))
-        tagged.write.mode("append").partitionBy("batch_part", date).parquet(self.path(name))
+        tagged.write.mode("append").partitionBy(date, "batch_part").parquet(self.path(name))
 
     def stage(self, rows: DataFrame, name: str) -> DataFrame:
         """Rows written aside and read back: later writes to the tables that they came from don't touch them."""
@@ -139,14 +168,13 @@ class TableStore:
         jvm = spark.sparkContext._jvm
         hadoop = lambda p: jvm.org.apache.hadoop.fs.Path(p)
         fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        size = sum(fs.getContentSummary(hadoop(f"{path}/batch_part={p}/{date}={day}")).getLength() for p in parts)
+        size = sum(fs.getContentSummary(hadoop(f"{path}/{date}={day}/batch_part={p}")).getLength() for p in parts)
         files, part = max(1, math.ceil(size / target_bytes)), f"compacted-{uuid.uuid4().hex}"
         staged = f"{self.base}/_staging/{part}"
         rows.drop("batch_part", date).repartition(files).write.parquet(staged)
-        fs.mkdirs(hadoop(f"{path}/batch_part={part}"))
-        fs.rename(hadoop(staged), hadoop(f"{path}/batch_part={part}/{date}={day}"))
+        fs.rename(hadoop(staged), hadoop(f"{path}/{date}={day}/batch_part={part}"))
         for p in parts:
-            delete_path(spark, f"{path}/batch_part={p}/{date}={day}")
+            delete_path(spark, f"{path}/{date}={day}/batch_part={p}")
         return files
 
     def create_tables(self, database: str) -> None:
@@ -154,6 +182,6 @@ class TableStore:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         for name, (_, date) in TABLES.items():
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema(name).fields)
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet PARTITIONED BY (batch_part, {date}) LOCATION '{self.path(name)}'")
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet PARTITIONED BY ({date}, batch_part) LOCATION '{self.path(name)}'")
             if path_exists(self.spark, self.path(name)):
                 self.spark.sql(f"MSCK REPAIR TABLE {database}.{name}")

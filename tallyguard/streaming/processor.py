@@ -44,6 +44,7 @@ class BatchProcessor:
         """Process one batch; the token, or None if there was nothing to do."""
         began, store = time.time(), self.store
         batch = batch.persist()
+        judged = silver.add_dq_errors(silver.deduplicate(batch)).persist()
         try:
             if batch.isEmpty():
                 return None
@@ -52,10 +53,9 @@ class BatchProcessor:
                 return token
             store.clear(token)
             store.write_batch("bronze", batch.withColumn("ingest_date", F.to_date("kafka_timestamp")), token)
-            valid, invalid = silver.split_valid_invalid(silver.deduplicate(batch))
-            store.write_batch("quarantine", invalid.withColumn("quarantine_date", F.to_date("quarantined_at")), token)
-            counts = {"quarantined": store.read("quarantine").where(F.col("batch_token") == token).count()}
-            fresh = store.stage(history.drop_committed(silver.to_silver(valid), store.read("silver"), token), f"fresh-{token}")
+            store.write_batch("quarantine", silver.rejected(judged).withColumn("quarantine_date", F.to_date("quarantined_at")), token)
+            counts = {"quarantined": store.read_batch("quarantine", token).count()}
+            fresh = store.stage(history.drop_committed(silver.to_silver(silver.accepted(judged)), store.read("silver"), token), f"fresh-{token}")
             if not fresh.isEmpty():
                 counts |= self._decide(fresh, token)
             store.unstage(f"fresh-{token}")
@@ -64,11 +64,12 @@ class BatchProcessor:
             store.commit(token)
             return token
         finally:
+            judged.unpersist()
             batch.unpersist()
 
     def _decide(self, fresh: DataFrame, token: str) -> dict:
         store = self.store
-        past = history.touched_history(fresh, store.read("silver")).drop("batch_token")
+        past = history.touched_history(fresh, store.read("silver", since=history.first_day(fresh))).drop("batch_token")
         scored = history.only_batch(rules.apply_rules(features.add_features(history.with_history(fresh, past)), self.rules))
         scored = models.score(scored, self.models, self.ensemble) if self.models else rules.without_model(scored)
         by = {f"{d.lower()}_count": count_where(F.col("decision") == d) for d in ("PASS", "FLAG", "BLOCK")}

@@ -117,6 +117,9 @@ SELECTS = {
     "v1_confusion": ("matched_", "SELECT tp, fp, fn, tn, tp / nullif(tp + fp, 0)::DOUBLE AS precision, tp / nullif(tp + fn, 0)::DOUBLE AS recall, 2 * (tp / nullif(tp + fp, 0)::DOUBLE) * (tp / nullif(tp + fn, 0)::DOUBLE) / nullif(tp / nullif(tp + fp, 0)::DOUBLE + tp / nullif(tp + fn, 0)::DOUBLE, 0) AS f1 FROM (SELECT count(*) FILTER (decision <> 'PASS' AND is_fraud = 1) AS tp, count(*) FILTER (decision <> 'PASS' AND is_fraud = 0) AS fp, count(*) FILTER (decision = 'PASS' AND is_fraud = 1) AS fn, count(*) FILTER (decision = 'PASS' AND is_fraud = 0) AS tn FROM matched_)"),
     "v3_recall_by_pattern": ("matched_", "SELECT pattern, count(*) AS n, avg(CASE WHEN decision <> 'PASS' THEN 1.0 ELSE 0 END)::DOUBLE AS recall FROM matched_ WHERE is_fraud = 1 GROUP BY 1"),
     "v4_precision_by_rule": ("matched_", "SELECT rule, count(*) AS fired, avg(is_fraud)::DOUBLE AS precision FROM (SELECT is_fraud, unnest(matched) AS rule FROM matched_) GROUP BY 1"),
+    "m4_class_weights": ("labels_", "SELECT Trans_id, round(CASE WHEN is_fraud = 1 THEN (SELECT count(*) FILTER (is_fraud = 0) / count(*) FILTER (is_fraud = 1) FROM labels_) ELSE 1.0 END, 9)::DOUBLE AS weight FROM labels_"),
+    "d7_approximate_view": ("decided", "SELECT event_date, count(*) AS scored_rows, true AS p50_near, true AS p95_near FROM decided GROUP BY event_date"),
+    "d16_approximate_cutoff": ("silver", "SELECT count(*) AS rows, true AS near FROM silver"),
     "m3_time_split": ("silver", "SELECT count(*) FILTER (t < c) AS training_rows, count(*) FILTER (t >= c) AS validation_rows FROM silver, (SELECT quantile_disc(t, 0.8) AS c FROM silver)"),
     "mt2_rolling_rates": ("rates", "SELECT window_start, window_end, round(decisions_rate, 6) AS decisions_rate, round(alerts_rate, 6) AS alerts_rate, round(quarantined_rate, 6) AS quarantined_rate, round(feature_rows_rate, 6) AS feature_rows_rate, round(p95_duration, 6) AS p95_duration FROM rates"),
     "mt3_conditions": ("rates", "SELECT window_start, window_end, p95_duration > 30 AS batch_slow, quarantined_rate / greatest(decisions_rate, 1.0) > 0.1 AS quarantine_high, alerts_rate / greatest(decisions_rate, 1.0) > 0.25 AS alert_spike, feature_rows_rate = 0 AND decisions_rate > 0 AS features_stalled FROM rates"),

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tallyguard.config import QualityContract, RulesConfig
 from tallyguard.operators import evaluate, features, gold, history, monitoring, quality, rules, serving, silver
-from tallyguard.operators.models import dataset_signature, time_cutoff, time_split
+from tallyguard.operators.models import class_weights, dataset_signature, time_cutoff, time_split
 from tallyguard.plans import oracles
 from tallyguard.sources import adapter, decode, readers
 from tallyguard.store import missing_tokens
@@ -44,8 +44,11 @@ def rounded(df: DataFrame, **places: int) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared place that the cluster names, or of this machine where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-scratch-")
+    """A new folder in the shared place that the cluster names; a session of one machine may do without."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    shared = shared or tempfile.mkdtemp(prefix="spark-scratch-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -345,7 +348,38 @@ def v4_precision_by_rule(spark, sf_dir):
 
 def m3_time_split(spark, sf_dir):
     train, check = time_split(silver_of(spark, sf_dir), exact=True)
-    return train.agg(F.count("*").alias("training_rows")).crossJoin(check.agg(F.count("*").alias("validation_rows")))  # one row each
+    both = train.select(F.lit(True).alias("early")).union(check.select(F.lit(False)))
+    return both.agg(F.count_if("early").alias("training_rows"), F.count_if(~F.col("early")).alias("validation_rows"))
+
+
+def m4_class_weights(spark, sf_dir):
+    labels = adapter.fraud_labels(spark, sf_dir).select("Trans_id", F.col("is_fraud").cast("double").alias("label"))
+    return class_weights(labels).select("Trans_id", F.round("weight", 9).alias("weight"))
+
+
+#: The rank error that percentile_approx() is allowed at its default accuracy.
+RANK_ERROR = 1e-4
+
+
+def _near_rank(value: str, found: str, share: float):
+    """Whether ``found`` is a percentile of the group's values within RANK_ERROR."""
+    n = F.count(value)
+    return (F.count_if(F.col(value) < F.col(found)) <= (share + RANK_ERROR) * n + 1) & (F.count_if(F.col(value) <= F.col(found)) >= (share - RANK_ERROR) * n - 1)
+
+
+def d7_approximate_view(spark, sf_dir):
+    """The view as it runs in production: are its percentiles within the stated error?"""
+    rows = decided(spark, sf_dir)
+    both = rows.select("event_date", "ml_probability").join(gold.model_decision_monitoring(rows), "event_date")
+    judged = both.groupBy("event_date", "scored_rows").agg(_near_rank("ml_probability", "p50_ml_probability", 0.5).alias("p50_near"), _near_rank("ml_probability", "p95_ml_probability", 0.95).alias("p95_near"))
+    return flat(judged)
+
+
+def d16_approximate_cutoff(spark, sf_dir):
+    """The cutoff as training takes it: is it within the stated error?"""
+    rows = silver_of(spark, sf_dir)
+    cutoff = time_cutoff(rows).first()["cutoff"]
+    return rows.select("event_time", F.lit(cutoff).alias("cutoff")).agg(F.count("*").alias("rows"), _near_rank("event_time", "cutoff", 0.8).alias("near"))
 
 
 def batches_of(spark, sf_dir):
@@ -432,7 +466,7 @@ QUERIES = {
         b1_dq_errors, b2_split, b3_silver, b4_fx_rate, b5_amount_usd, b6_high_amount, b7_non_pass, b8_one_day, b9_history_bound, b11_ranges, b12_transaction_risk_view,
         c1_drop_committed, c2_touched_history, c3_batch_of_history, c5_labelled_decisions,
         d1_customer_daily_risk, d2_daily_kpis, d4_daily_kpis_view, d5_client_risk_view, d6_feature_monitoring_view, d7_model_monitoring_view, d8_decision_counts, d10_offset_summary, d11_batch_token, d12_distinct_clients, d13_deduplicate, d14_dataset_signature, d15_class_counts, d16_time_cutoff, d17_min_event_time,
-        e1_features, e15_latest_per_client, r1_apply_rules, r5_ensemble_policy, j1_alerts, u1_history_union, q4_quality_report, q2_raw_quality, q7_recovery_check, v1_confusion, v3_recall_by_pattern, v4_precision_by_rule, m3_time_split, mt2_rolling_rates, mt3_conditions,
+        e1_features, e15_latest_per_client, r1_apply_rules, r5_ensemble_policy, j1_alerts, u1_history_union, q4_quality_report, q2_raw_quality, q7_recovery_check, v1_confusion, v3_recall_by_pattern, v4_precision_by_rule, m3_time_split, m4_class_weights, d7_approximate_view, d16_approximate_cutoff, mt2_rolling_rates, mt3_conditions,
         a5_whole_layer, a14_whole_state, a16_whole_alerts, b9_whole_bound, c1_whole_commit, c2_whole_history, c3_whole_decisions, u1_whole_union,
     )
 }

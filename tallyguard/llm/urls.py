@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import checkpoint, maybe_broadcast
+from tallyguard.llm.common import checkpoint
 from tallyguard.llm.components import connected_components
 
 #: (verdict, host, path): the rules of the query.
@@ -97,7 +97,7 @@ def blocked_aliases(edges: DataFrame, rules: tuple = RULES) -> DataFrame:
     judged = parts.select("node", "component", judge(host(F.col("node")), path(F.col("node")), rules)["verdict"].alias("v"))
     bad = judged.groupBy("component").agg(F.max(F.col("v") == "block").alias("block"), F.max(F.col("v") == "allow").alias("allow"))
     bad = bad.where(F.col("block") & ~F.coalesce("allow", F.lit(False)))
-    return parts.join(maybe_broadcast(checkpoint(bad.select("component"))), "component", "left_semi").select(F.col("node").alias("key"))
+    return parts.join(bad.select("component"), "component", "left_semi").select(F.col("node").alias("key"))
 
 
 def filter_urls(pages: DataFrame, rules: tuple = RULES, redirects: DataFrame | None = None) -> DataFrame:
@@ -113,7 +113,7 @@ def filter_urls(pages: DataFrame, rules: tuple = RULES, redirects: DataFrame | N
     alias = F.lit(False)
     if not edges.isEmpty():
         bad = blocked_aliases(edges, rules).distinct().withColumn("alias", F.lit(True))
-        judged = judged.join(maybe_broadcast(checkpoint(bad)), "key", "left")
+        judged = judged.join(checkpoint(bad), "key", "left")  # urls have no size bound: no hint
         alias = F.coalesce("alias", F.lit(False))
     verdict = F.coalesce(F.col("j.verdict"), F.when(alias, "block").otherwise("allow"))
     return judged.select("page_id", "host", "path", F.col("j.rule").alias("rule"), verdict.alias("verdict"))

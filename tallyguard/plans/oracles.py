@@ -57,16 +57,18 @@ SILVER_OUT = "transaction_id, client_id, card_id, device_id, fx_rate::DOUBLE AS
 RULE_OUT = "transaction_id, array_to_string(matched, ',') AS matched_rules, risk_score::BIGINT AS risk_score, decision"
 
 #: query name: (the steps it stands on, its SELECT)
+#: A batch, as against its history: both together are all rows.
+LATE = "event_date >= '2026-09-03'"
 SELECTS = {
     "a2_confluent_metadata": ("raw", "SELECT Trans_id AS transaction_id, '00' AS kafka_confluent_magic, 1 + kafka_offset % 3 AS kafka_schema_id FROM raw"),
     "a3_strip_header": ("raw", "SELECT kafka_partition, kafka_offset, Trans_id AS transaction_id, Currency AS currency FROM raw"),
     "a4_decode": ("raw", "SELECT Trans_id, Clt_id, Card_id, Dev_id, Trans_amount, Trans_date, Trans_type, Trans_status, Currency, Country_Src, kafka_partition, kafka_offset, kafka_sec AS kafka_timestamp, '00' AS kafka_confluent_magic, 1 + kafka_offset % 3 AS kafka_schema_id FROM raw"),
-    "a5_layer_scan": ("", "SELECT event_id, event_type FROM events WHERE user_id < 100"),
+    "a5_layer_scan": ("", "SELECT event_id, event_type FROM events"),
     "a6_table_scan": ("silver", "SELECT currency, count(*) AS n FROM silver GROUP BY 1"),
     "a8_labels_csv": ("labels_", "SELECT Trans_id, is_fraud, pattern FROM labels_"),
     "a9_replay": ("raw", "SELECT Clt_id::VARCHAR AS key, Trans_id, Trans_amount FROM raw WHERE Clt_id IS NOT NULL"),
     "a14_upsert_state": ("decided", "SELECT client_id, arg_max(transaction_id, (t, transaction_id)) AS last_transaction_id, arg_max(decision, (t, transaction_id)) AS last_decision, arg_max(risk_score, (t, transaction_id))::BIGINT AS last_risk_score, arg_max(array_to_string(matched, ','), (t, transaction_id)) AS last_matched_rules, max(t) AS last_event_time FROM decided GROUP BY client_id"),
-    "a16_alert_dedup": ("decided", "SELECT 'tok:' || transaction_id AS alert_id, client_id, decision FROM decided WHERE decision <> 'PASS' AND transaction_id % 2 = 1"),
+    "a16_alert_dedup": ("decided", f"SELECT 'tok:' || transaction_id AS alert_id, client_id, decision, decision <> 'PASS' AND {LATE} AS new FROM decided"),
     "a17_state_lookup": ("decided", "SELECT client_id, arg_max(transaction_id, (t, transaction_id)) AS last_transaction_id, arg_max(decision, (t, transaction_id)) AS last_decision FROM decided WHERE client_id = 7 GROUP BY client_id"),
     "a22_commit_markers": ("raw", "SELECT DISTINCT 'p' || kafka_partition AS batch_token FROM raw WHERE kafka_partition <> 1"),
     "a24_dead_letters": ("raw", "SELECT 'schema' AS reason, '{broken ' || Trans_id AS record FROM raw WHERE Trans_id % 10 = 0"),
@@ -79,12 +81,12 @@ SELECTS = {
     "b6_high_amount": ("silver", "SELECT transaction_id FROM silver WHERE amount_usd >= 10000"),
     "b7_non_pass": ("decided", "SELECT transaction_id, decision FROM decided WHERE decision <> 'PASS'"),
     "b8_one_day": ("decided", "SELECT transaction_id, risk_score::BIGINT AS risk_score FROM decided WHERE event_date = '2026-09-02'"),
-    "b9_history_bound": ("silver", "SELECT transaction_id FROM silver WHERE t >= (SELECT min(t) FROM silver WHERE transaction_id % 3 = 0) - 3600 * 24 AND client_id IN (SELECT client_id FROM silver WHERE transaction_id % 3 = 0) AND transaction_id % 3 <> 0"),
+    "b9_history_bound": ("silver", f"SELECT transaction_id, t >= (SELECT min(t) FROM silver WHERE {LATE}) - 3600 * 24 AND client_id IN (SELECT client_id FROM silver WHERE {LATE}) AND NOT ({LATE}) AS taken FROM silver"),
     "b11_ranges": ("silver", "SELECT transaction_id FROM silver WHERE amount_usd BETWEEN 8000 AND 9999 OR country_src IN ('USA', 'Jordan')"),
     "b12_transaction_risk_view": ("decided", "SELECT transaction_id, client_id, event_date, t AS event_time, amount_usd::DOUBLE AS amount_usd, currency, txn_type, status, country_src, country_dest, decision, risk_score::BIGINT AS risk_score, ml_probability, array_to_string(matched, ',') AS matched_rules, 'p' || card_id AS batch_token FROM decided"),
-    "c1_drop_committed": ("silver", "SELECT transaction_id FROM silver WHERE transaction_id NOT IN (SELECT transaction_id FROM silver WHERE card_id <> 2 AND transaction_id % 4 = 0)"),
-    "c2_touched_history": ("silver", "SELECT transaction_id FROM silver WHERE client_id IN (SELECT client_id FROM silver WHERE transaction_id % 50 = 1)"),
-    "c3_batch_of_history": ("ruled", f"SELECT {RULE_OUT} FROM ruled WHERE transaction_id % 3 = 0"),
+    "c1_drop_committed": ("silver", f"SELECT transaction_id, {LATE} OR card_id = 2 AS kept FROM silver"),
+    "c2_touched_history": ("silver", f"SELECT transaction_id, client_id IN (SELECT client_id FROM silver WHERE {LATE}) AND t >= (SELECT min(t) FROM silver WHERE {LATE}) - 3600 * 720 AS taken FROM silver"),
+    "c3_batch_of_history": ("ruled", f"SELECT {RULE_OUT} FROM ruled"),
     "c5_labelled_decisions": ("matched_", "SELECT transaction_id, decision, is_fraud, pattern FROM matched_"),
     "d1_customer_daily_risk": ("decided", f"SELECT event_date, client_id, count(*) AS txn_count, {MONEY} AS total_amount_usd, {FLAGGED} AS flagged_count, {BLOCKED} AS blocked_count, max(risk_score)::BIGINT AS max_risk_score, count(DISTINCT country_src) AS distinct_countries, count(DISTINCT device_id) AS distinct_devices FROM decided GROUP BY 1, 2"),
     "d2_daily_kpis": ("decided", f"SELECT d.event_date, coalesce(total_txns, 0) AS total_txns, coalesce(total_amount_usd, 0) AS total_amount_usd, coalesce(flagged_rate, 0) AS flagged_rate, coalesce(blocked_rate, 0) AS blocked_rate, coalesce(avg_risk_score, 0) AS avg_risk_score FROM (SELECT strftime(DATE '2026-09-06' - i::INTEGER, '%Y-%m-%d') AS event_date FROM range(7) r(i)) d LEFT JOIN (SELECT event_date, count(*) AS total_txns, {MONEY} AS total_amount_usd, round({FLAGGED}::DOUBLE / count(*), 4) AS flagged_rate, round({BLOCKED}::DOUBLE / count(*), 4) AS blocked_rate, round(avg(risk_score), 2) AS avg_risk_score FROM decided GROUP BY 1) USING (event_date)"),
@@ -110,7 +112,7 @@ SELECTS = {
     "r1_apply_rules": ("ruled", f"SELECT {RULE_OUT} FROM ruled"),
     "r5_ensemble_policy": ("decided", "SELECT transaction_id, ml_probability, risk_score::BIGINT AS risk_score, decision FROM decided"),
     "j1_alerts": ("decided", "SELECT 'tok:' || transaction_id AS key, transaction_id, client_id, amount_usd::DOUBLE AS amount_usd, currency, decision, risk_score::BIGINT AS risk_score, array_to_string(matched, ',') AS matched_rules, t AS event_time FROM decided WHERE decision <> 'PASS'"),
-    "u1_history_union": ("silver", "SELECT transaction_id, transaction_id % 3 = 0 AS in_batch FROM silver WHERE transaction_id % 3 = 0 OR transaction_id % 2 = 0"),
+    "u1_history_union": ("silver", f"SELECT transaction_id, {LATE} AS in_batch FROM silver"),
     "q4_quality_report": ("silver", "SELECT * FROM (SELECT 'not_null' AS expectation, c AS \"column\", true AS success, 0 AS unexpected_count FROM (VALUES ('transaction_id'), ('client_id'), ('event_time'), ('currency'), ('country_src')) v(c) UNION ALL SELECT 'bounded_below', 'amount_usd', count(*) FILTER (amount_usd < 0) = 0, count(*) FILTER (amount_usd < 0) FROM silver), (SELECT count(*) AS element_count FROM silver)"),
     "q2_raw_quality": ("raw", "SELECT 'not_null' AS expectation, 'Clt_id' AS \"column\", count(*) FILTER (Clt_id IS NULL) = 0 AS success, count(*) FILTER (Clt_id IS NULL) AS unexpected_count, count(*) AS element_count FROM raw UNION ALL SELECT 'bounded_below', 'Trans_amount', count(*) FILTER (Trans_amount <= 0) = 0, count(*) FILTER (Trans_amount <= 0), count(*) FROM raw"),
     "q7_recovery_check": ("silver", "SELECT *, first_range >= 1 AND second_range >= 1 AND row_count = distinct_ids AS ok FROM (SELECT count(*) FILTER (transaction_id BETWEEN 100001 AND 100500) AS first_range, count(*) FILTER (transaction_id BETWEEN 100501 AND 200000) AS second_range, count(*) AS row_count, count(DISTINCT transaction_id) AS distinct_ids FROM silver)"),
@@ -126,20 +128,6 @@ SELECTS = {
     "k1_flagship": ("ruled", "SELECT decision, count(*) AS transactions, round(avg(risk_score), 4) AS mean_risk, sum(amount_usd)::DOUBLE AS total_amount_usd FROM ruled GROUP BY 1"),
 }
 
-#: The same over whole tables: batch and history are split by event_date and together hold all rows.
-LATE = "event_date >= '2026-09-03'"
-SELECTS |= {
-    "a5_whole_layer": ("", "SELECT event_id, event_type FROM events"),
-    "a14_whole_state": SELECTS["a14_upsert_state"],
-    "a16_whole_alerts": ("decided", f"SELECT 'tok:' || transaction_id AS alert_id, decision <> 'PASS' AND {LATE} AS new FROM decided"),
-    "b9_whole_bound": ("silver", f"SELECT transaction_id, t >= (SELECT min(t) FROM silver WHERE {LATE}) - 3600 * 24 AND client_id IN (SELECT client_id FROM silver WHERE {LATE}) AND NOT ({LATE}) AS taken FROM silver"),
-    "c1_whole_commit": ("silver", f"SELECT transaction_id, {LATE} OR card_id = 2 AS kept FROM silver"),
-    "c2_whole_history": ("silver", f"SELECT transaction_id, client_id IN (SELECT client_id FROM silver WHERE {LATE}) AND t >= (SELECT min(t) FROM silver WHERE {LATE}) - 3600 * 720 AS taken FROM silver"),
-    "c3_whole_decisions": ("ruled", f"SELECT {RULE_OUT} FROM ruled"),
-    "u1_whole_union": ("silver", f"SELECT transaction_id, {LATE} AS in_batch FROM silver"),
-}
-
-
 def sql(name: str) -> str:
     needs, select = SELECTS[name]
     order: list[str] = []

@@ -85,6 +85,21 @@ def flagship(spark, sf_dir):
     return flat(out)
 
 
+#: Queries over a batch and its history split the rows here, so that both together are all of them.
+BATCH_FROM = datetime.date(2026, 9, 3)
+
+
+def _sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Batch and history by event date."""
+    late = F.col("event_date") >= F.lit(BATCH_FROM)
+    return rows.where(late), rows.where(~late)
+
+
+def _told(rows: DataFrame, key: str, taken: DataFrame, name: str, *more: str) -> DataFrame:
+    """Each row's key (and ``more``) and whether it is among ``taken``, which must hold a key once."""
+    return rows.select(key, *more).join(taken.select(key, F.lit(True).alias(name)), key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+
+
 def a2_confluent_metadata(spark, sf_dir):
     lined = decode.extract_confluent_metadata(adapter.broker_records(spark, sf_dir))
     return flat(lined.select((F.col("offset") + 100001).alias("transaction_id"), "kafka_confluent_magic", "kafka_schema_id"))
@@ -102,7 +117,7 @@ def a4_decode(spark, sf_dir):
 
 
 def a5_layer_scan(spark, sf_dir):
-    return readers.read_layer(spark, f"{sf_dir}/events.parquet").where("user_id < 100").select("event_id", "event_type")
+    return readers.read_layer(spark, f"{sf_dir}/events.parquet").select("event_id", "event_type")
 
 
 def a6_table_scan(spark, sf_dir):
@@ -125,16 +140,15 @@ def a9_replay(spark, sf_dir):
 
 
 def a14_upsert_state(spark, sf_dir):
-    """The newer half first, then the older half: no client's state goes back in time."""
-    state = serving.client_state(decided(spark, sf_dir))
-    early = serving.client_state(decided(spark, sf_dir).where("transaction_id % 2 = 0"))
-    return flat(serving.upsert_state(state, early).drop("updated_at"))
+    """The newer days first, then the older ones: no client's state goes back in time."""
+    late, early = _sides(decided(spark, sf_dir))
+    return flat(serving.upsert_state(serving.client_state(late), serving.client_state(early)).drop("updated_at"))
 
 
 def a16_alert_dedup(spark, sf_dir):
-    alerts = serving.build_alerts(decided(spark, sf_dir), "tok")
-    stored = decided(spark, sf_dir).where("transaction_id % 2 = 0").select(F.concat_ws(":", F.lit("tok"), "transaction_id").alias("alert_id"))
-    return flat(serving.new_alerts(alerts.union(alerts), stored).select("alert_id", "client_id", "decision"))
+    rows = decided(spark, sf_dir).withColumn("alert_id", F.concat_ws(":", F.lit("tok"), "transaction_id"))
+    alerts = serving.build_alerts(rows.drop("alert_id"), "tok")
+    return _told(rows, "alert_id", serving.new_alerts(alerts.union(alerts), _sides(rows)[1].select("alert_id")), "new", "client_id", "decision")
 
 
 def a17_state_lookup(spark, sf_dir):
@@ -193,7 +207,7 @@ def b8_one_day(spark, sf_dir):
 
 def b9_history_bound(spark, sf_dir):
     s = silver_of(spark, sf_dir)
-    return history.touched_history(s.where("transaction_id % 3 = 0"), s.where("transaction_id % 3 <> 0"), hours=24).select("transaction_id")
+    return _told(s, "transaction_id", history.touched_history(*_sides(s), hours=24), "taken")
 
 
 def b11_ranges(spark, sf_dir):
@@ -206,19 +220,20 @@ def b12_transaction_risk_view(spark, sf_dir):
 
 def c1_drop_committed(spark, sf_dir):
     s = silver_of(spark, sf_dir)
-    stored = s.where("transaction_id % 4 = 0").withColumn("batch_token", F.when(F.col("card_id") == 2, "own").otherwise("other"))
-    return history.drop_committed(s, stored, "own").select("transaction_id")
+    stored = _sides(s)[1].withColumn("batch_token", F.when(F.col("card_id") == 2, "own").otherwise("other"))
+    return _told(s, "transaction_id", history.drop_committed(s, stored, "own"), "kept")
 
 
 def c2_touched_history(spark, sf_dir):
     s = silver_of(spark, sf_dir)
-    return history.touched_history(s.where("transaction_id % 50 = 1"), s).select("transaction_id")
+    return _told(s, "transaction_id", history.touched_history(_sides(s)[0], s), "taken")
 
 
 def c3_batch_of_history(spark, sf_dir):
-    s = silver_of(spark, sf_dir)
-    both = history.with_history(s.where("transaction_id % 3 = 0"), s.where("transaction_id % 3 <> 0"))
-    return flat(history.only_batch(rules.apply_rules(both)).select("transaction_id", "matched_rules", "risk_score", "decision"))
+    """Rules over a batch with its history; each side is the batch once, so that every row is decided."""
+    late, early = _sides(silver_of(spark, sf_dir))
+    made = [history.only_batch(rules.apply_rules(history.with_history(*x))) for x in ((late, early), (early, late))]
+    return flat(made[0].unionByName(made[1]).select("transaction_id", "matched_rules", "risk_score", "decision"))
 
 
 def c5_labelled_decisions(spark, sf_dir):
@@ -317,9 +332,8 @@ def j1_alerts(spark, sf_dir):
 
 
 def u1_history_union(spark, sf_dir):
-    s = silver_of(spark, sf_dir)
-    both = history.with_history(s.where("transaction_id % 3 = 0"), s.where("transaction_id % 2 = 0").withColumn("batch_token", F.lit("old")))
-    return both.select("transaction_id", F.col("_in_batch").alias("in_batch"))
+    late, early = _sides(silver_of(spark, sf_dir))
+    return history.with_history(late, early.withColumn("batch_token", F.lit("old"))).select("transaction_id", F.col("_in_batch").alias("in_batch"))
 
 
 def q4_quality_report(spark, sf_dir):
@@ -396,67 +410,6 @@ def mt3_conditions(spark, sf_dir):
     return flat(monitoring.conditions(monitoring.rolling_rates(batches_of(spark, sf_dir), exact=True)))
 
 
-#: The whole-table queries split batch and history here: both together are all rows.
-BATCH_FROM = datetime.date(2026, 9, 3)
-
-
-def _sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Batch and history by event date."""
-    late = F.col("event_date") >= F.lit(BATCH_FROM)
-    return rows.where(late), rows.where(~late)
-
-
-def _told(rows: DataFrame, key: str, taken: DataFrame, name: str) -> DataFrame:
-    """Each row's key and whether it is among ``taken``, which must hold a key once."""
-    return rows.select(key).join(taken.select(key, F.lit(True).alias(name)), key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
-
-
-def a5_whole_layer(spark, sf_dir):
-    return readers.read_layer(spark, f"{sf_dir}/events.parquet").select("event_id", "event_type")
-
-
-def a14_whole_state(spark, sf_dir):
-    """The newer days first, then the older ones: no client's state goes back in time."""
-    late, early = _sides(decided(spark, sf_dir))
-    return flat(serving.upsert_state(serving.client_state(late), serving.client_state(early)).drop("updated_at"))
-
-
-def a16_whole_alerts(spark, sf_dir):
-    rows = decided(spark, sf_dir)
-    alerts = serving.build_alerts(rows, "tok")
-    stored = _sides(rows)[1].select(F.concat_ws(":", F.lit("tok"), "transaction_id").alias("alert_id"))
-    every = rows.select(F.concat_ws(":", F.lit("tok"), "transaction_id").alias("alert_id"))
-    return _told(every, "alert_id", serving.new_alerts(alerts.union(alerts), stored), "new")
-
-
-def b9_whole_bound(spark, sf_dir):
-    s = silver_of(spark, sf_dir)
-    return _told(s, "transaction_id", history.touched_history(*_sides(s), hours=24), "taken")
-
-
-def c1_whole_commit(spark, sf_dir):
-    s = silver_of(spark, sf_dir)
-    stored = _sides(s)[1].withColumn("batch_token", F.when(F.col("card_id") == 2, "own").otherwise("other"))
-    return _told(s, "transaction_id", history.drop_committed(s, stored, "own"), "kept")
-
-
-def c2_whole_history(spark, sf_dir):
-    s = silver_of(spark, sf_dir)
-    return _told(s, "transaction_id", history.touched_history(_sides(s)[0], s), "taken")
-
-
-def c3_whole_decisions(spark, sf_dir):
-    """Rules over a batch with its history; each side is the batch once, so that every row is decided."""
-    late, early = _sides(silver_of(spark, sf_dir))
-    made = [history.only_batch(rules.apply_rules(history.with_history(*x))) for x in ((late, early), (early, late))]
-    return flat(made[0].unionByName(made[1]).select("transaction_id", "matched_rules", "risk_score", "decision"))
-
-
-def u1_whole_union(spark, sf_dir):
-    late, early = _sides(silver_of(spark, sf_dir))
-    return history.with_history(late, early.withColumn("batch_token", F.lit("old"))).select("transaction_id", F.col("_in_batch").alias("in_batch"))
-
-
 _FLAGS = {"e9_mule": ("MULE", "mule"), "e11_velocity": ("VELOCITY", "velocity"), "e12_structuring": ("STRUCTURING", "structuring"), "e13_impossible_travel": ("IMPOSSIBLE_TRAVEL", "impossible_travel"), "e14_new_device": ("NEW_DEVICE_HIGH_VALUE", "new_device")}
 
 QUERIES = {
@@ -467,7 +420,6 @@ QUERIES = {
         c1_drop_committed, c2_touched_history, c3_batch_of_history, c5_labelled_decisions,
         d1_customer_daily_risk, d2_daily_kpis, d4_daily_kpis_view, d5_client_risk_view, d6_feature_monitoring_view, d7_model_monitoring_view, d8_decision_counts, d10_offset_summary, d11_batch_token, d12_distinct_clients, d13_deduplicate, d14_dataset_signature, d15_class_counts, d16_time_cutoff, d17_min_event_time,
         e1_features, e15_latest_per_client, r1_apply_rules, r5_ensemble_policy, j1_alerts, u1_history_union, q4_quality_report, q2_raw_quality, q7_recovery_check, v1_confusion, v3_recall_by_pattern, v4_precision_by_rule, m3_time_split, m4_class_weights, d7_approximate_view, d16_approximate_cutoff, mt2_rolling_rates, mt3_conditions,
-        a5_whole_layer, a14_whole_state, a16_whole_alerts, b9_whole_bound, c1_whole_commit, c2_whole_history, c3_whole_decisions, u1_whole_union,
     )
 }
 QUERIES |= {name: _flag(*x) for name, x in _FLAGS.items()} | {"k1_flagship": flagship}

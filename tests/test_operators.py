@@ -191,10 +191,10 @@ def test_alerts_and_state(spark):
     assert serving.upsert_state(late, tie).first()["last_transaction_id"] == 9
 
 
-def test_whole_queries_decide_about_every_row(spark, sf_dir):
+def test_batch_and_history_queries_decide_about_every_row(spark, sf_dir):
     from tallyguard.plans import registry
 
-    made = {name: registry.QUERIES[name](spark, sf_dir) for name in ("a5_whole_layer", "b9_whole_bound", "c1_whole_commit", "c2_whole_history", "c3_whole_decisions", "u1_whole_union", "a16_whole_alerts")}
+    made = {name: registry.QUERIES[name](spark, sf_dir) for name in ("a5_layer_scan", "b9_history_bound", "c1_drop_committed", "c2_touched_history", "c3_batch_of_history", "u1_history_union", "a16_alert_dedup")}
     events, silver = spark.read.parquet(f"{sf_dir}/events.parquet").count(), registry.silver_of(spark, sf_dir).count()
-    assert {name: df.count() for name, df in made.items()} == {name: events if name == "a5_whole_layer" else silver for name in made}
-    assert {r["in_batch"] for r in made["u1_whole_union"].collect()} == {True, False}
+    assert {name: df.count() for name, df in made.items()} == {name: events if name == "a5_layer_scan" else silver for name in made}
+    assert {r["in_batch"] for r in made["u1_history_union"].collect()} == {True, False}

@@ -54,6 +54,13 @@ def repetition(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(marked), longest
 
 
+def covered(text, least):
+    """Words inside strings of ``least`` words or more that start twice or more in the text."""
+    w = WORD.findall(text or "")
+    seen = collections.Counter(tuple(w[i : i + least]) for i in range(len(w) - least + 1))
+    return len({j for i in range(len(w) - least + 1) if seen[tuple(w[i : i + least])] > 1 for j in range(i, i + least)})
+
+
 def removed(rows: list, length: int) -> list:
     """(bytes, removed, spans, digest of the rest) for each text of ``rows``."""
     texts = [(t or "").encode() for t in rows]

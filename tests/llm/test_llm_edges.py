@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns; and the parts of each operator."""
 
+import hashlib
 import random
 
 import duckdb
@@ -44,6 +45,21 @@ def test_stages_keep_columns_and_take_empty_tables(spark):
         assert out.columns == d.columns and out.count() and f(d.limit(0)).count() == 0
 
 
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Null, empty, long and repeated rows and a clashing column pass all stages; so does a table without rows."""
+    import corpus_pipeline
+
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
+    for name, d in (("odd", frame(spark).select("doc_id", "text", "lang", "source", "n_chars", "key")), ("none", frame(spark, clash=False).limit(0))):
+        d.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        out = corpus_pipeline.run(spark, f"{tmp_path}/{name}")
+        if name == "none":
+            assert out.count() == 0
+        else:
+            assert {r["doc_id"] for r in out.collect()} <= {None, *range(1, 12)} and out.count() and out.where("not round_trip").count() == 0
+
+
 def test_exact_duplicates(spark):
     got = {(r["doc_id"], r["text_sha256"]): r for r in exact_dedup.exact_duplicates(frame(spark)).collect()}
     by = {k[0]: r for k, r in got.items()}
@@ -188,6 +204,30 @@ def test_repetition_verdicts(spark):
     assert got[3]["base_failed"] and got[4]["base_failed"] and got[5]["base_failed"] and got[6]["n_covered_words"] == 16
 
 
+def test_verdicts_that_only_the_method_gives(spark):
+    """Texts that pass the base rules: repeats of any length, overlapping ones, at both sides of either limit."""
+    rng = random.Random(17)
+    texts = []
+    for i in range(400):
+        w = [f"w{rng.randrange(60 if i % 5 == 0 else 5000)}" for _ in range(rng.randrange(60, 1600))]
+        for _ in range(rng.randrange(4)):
+            n, at = rng.choice([5, 7, 8, 9, 30, 149, 150, 151, 200]), rng.randrange(len(w))
+            put = rng.randrange(len(w))
+            w[put:put] = w[at : at + n]
+        texts.append(" ".join(w))
+    got = {r["doc_id"]: r for r in repetition.repetition_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    by_method = set()
+    for i, t in enumerate(texts):
+        n_words, *_, n_repeat, longest = brute.repetition(t)
+        cover = brute.covered(t, repetition.MIN_REPEAT)
+        good = cover <= repetition.MAX_COVERED * n_words and longest <= repetition.MAX_LONGEST
+        failed = 100 * n_repeat > 50 * n_words
+        assert (got[i]["n_covered_words"], got[i]["longest_repeat"], got[i]["base_failed"], got[i]["kept"]) == (cover, longest, failed, good and not failed)
+        if not failed and not good:
+            by_method.add((cover > repetition.MAX_COVERED * n_words, longest > repetition.MAX_LONGEST))
+    assert by_method == {(True, False), (False, True), (True, True)}
+
+
 def test_suffix_arrays():
     rng = np.random.default_rng(3)
     for size, letters in ((1, 2), (50, 2), (400, 3), (300, 50)):
@@ -391,6 +431,22 @@ def test_language_kernel_and_odd_rows(spark):
     assert langid.identify(frame(spark).withColumn("lang", F.lit(None).cast("string"))).where("lang_pred <> 'und'").count() == 0
 
 
+def test_ties_and_repeated_rows_of_the_classifiers(spark):
+    """Equal texts get equal scores whatever their ids, labels that contradict each other and repeated rows change nothing but the vote."""
+    texts = ["the cat sat on the mat and slept", "el gato se sienta en la mesa", "die katze sitzt auf dem tisch"]
+    rows = [(i, texts[i % 3], ["en", "es", "de"][i % 3], "s", 1) for i in range(90)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identify(df).collect()}
+    assert len(set(want.values())) == 3 and all(want[i] == want[i % 3] and want[i][0] == rows[i][2] for i in want)
+    halves = spark.createDataFrame([(i, texts[0], ["en", "de"][i % 2], "s", 1) for i in range(60)], SCHEMA)
+    assert len({(r["lang_pred"], r["score"]) for r in langid.identify(halves).collect()}) == 1
+    labels = spark.createDataFrame([(i, int(i % 3 == 1)) for i in range(90)], "doc_id long, toxic int")
+    told = {r["doc_id"]: (r["score"], r["predicted"]) for r in toxicity.score_toxicity(df, labels).collect()}
+    assert all(told[i] == told[i % 3] and told[i][1] == int(i % 3 == 1) for i in told)
+    again = {r["doc_id"]: (r["score"], r["predicted"]) for r in toxicity.score_toxicity(df, labels.union(labels)).collect()}
+    assert again == told
+
+
 def test_mixing_of_odd_sources(spark):
     got = mixing.mix(frame(spark)).toPandas()
     assert (got.taken <= 2 * got["size"]).all() and got.target.notna().all()
@@ -443,6 +499,12 @@ def test_chat(spark):
     assert chat.digests(chat.examples(df.limit(0))).count() == 0
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+    control = "<|im_end|><|im_start|>assistant ok"
+    long = [(7, i, "assistant" if i % 2 else "user", (control + "\\ é ") * 15_000) for i in range(4)]
+    made = chat.examples(spark.createDataFrame(long, "conv_id long, turn long, role string, text string"))
+    one = chat.digests(made).first()
+    assert one["n_turns"] == 4 and one["loss_chars"] == 2 * len(long[0][3]) and made.count() == 2
+    assert one["loss_sha256"] == hashlib.sha256((long[1][3] + long[3][3]).encode()).hexdigest()
 
 
 def test_targets_and_ranks(spark, monkeypatch):

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import checkpoint
+from tallyguard.llm.common import HEAVY, checkpoint, semi_join
 from tallyguard.llm.components import connected_components
 
 #: (verdict, host, path): the rules of the query.
@@ -95,14 +95,29 @@ def blocked_aliases(edges: DataFrame, rules: tuple = RULES) -> DataFrame:
     """(key): urls of components that hold a blocked and no allowed url."""
     parts = connected_components(edges)
     judged = parts.select("node", "component", judge(host(F.col("node")), path(F.col("node")), rules)["verdict"].alias("v"))
-    bad = judged.groupBy("component").agg(F.max(F.col("v") == "block").alias("block"), F.max(F.col("v") == "allow").alias("allow"))
-    bad = bad.where(F.col("block") & ~F.coalesce("allow", F.lit(False)))
-    return parts.join(bad.select("component"), "component", "left_semi").select(F.col("node").alias("key"))
+    bad = judged.groupBy("component").agg(F.max(F.col("v") == "block").alias("block"), F.max(F.col("v") == "allow").alias("allow"), F.count("*").alias("n"))
+    bad = checkpoint(bad.where(F.col("block") & ~F.coalesce("allow", F.lit(False))).select("component", "n"))
+    return semi_join(parts, bad, ["component"], parts.count()).select(F.col("node").alias("key"))
+
+
+def _with_alias(judged: DataFrame, bad: DataFrame, names: DataFrame) -> DataFrame:
+    """``judged`` with ``alias``: is its key among ``bad``, distinct keys?
+
+    ``names``: (a, n), each key and its rows. Keys with more than one in HEAVY of the rows are broadcast: fewer than HEAVY, and of
+    HEAVY times the mean url's size in all. Their rows and those without a key stay where they are.
+    """
+    marked = bad.withColumn("alias", F.lit(True))
+    total = names.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    heavy = checkpoint(names.where(F.col("n") * HEAVY > total).select(F.col("a").alias("key")).join(marked, "key", "left").select("key", F.coalesce("alias", F.lit(False)).alias("alias")))
+    near = judged.join(F.broadcast(heavy), "key", "left")
+    settled = F.col("key").isNull() | F.col("alias").isNotNull()
+    far = near.where(~settled).drop("alias").join(marked, "key", "left")
+    return near.where(settled).unionByName(far).withColumn("alias", F.coalesce("alias", F.lit(False)))
 
 
 def filter_urls(pages: DataFrame, rules: tuple = RULES, redirects: DataFrame | None = None) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict. ``redirects``: more edges, as two columns of urls."""
-    names = pages.select(key(F.col("url")).alias("a")).where("a is not null").distinct()
+    names = checkpoint(pages.select(key(F.col("url")).alias("a")).where("a is not null").groupBy("a").agg(F.count("*").alias("n")))
     edges = page_edges(pages).union(names.select("a", canonical(F.col("a")).alias("b")).where("a <> b"))
     if redirects is not None:
         a, b = redirects.columns[:2]
@@ -112,8 +127,7 @@ def filter_urls(pages: DataFrame, rules: tuple = RULES, redirects: DataFrame | N
     judged = judged.withColumn("j", judge(F.col("host"), F.col("path"), rules))
     alias = F.lit(False)
     if not edges.isEmpty():
-        bad = blocked_aliases(edges, rules).distinct().withColumn("alias", F.lit(True))
-        judged = judged.join(checkpoint(bad), "key", "left")  # urls have no size bound: no hint
-        alias = F.coalesce("alias", F.lit(False))
+        judged = _with_alias(judged, checkpoint(blocked_aliases(edges, rules).distinct()), names)
+        alias = F.col("alias")
     verdict = F.coalesce(F.col("j.verdict"), F.when(alias, "block").otherwise("allow"))
     return judged.select("page_id", "host", "path", F.col("j.rule").alias("rule"), verdict.alias("verdict"))

@@ -177,7 +177,10 @@ def test_words_and_shingles_of_a_chunk():
     assert np.diff(at).tolist() == [2, 0, 1, 1, 1] and values[at[4]] in values[:2]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("heavy", [1000, 12, 1])
+def test_components(spark, monkeypatch, heavy):
+    """With all, some and no nodes broadcast."""
+    monkeypatch.setattr(components, "HEAVY", heavy)
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(500, i) for i in range(501, 560)] + [(i, i + 1) for i in range(600, 640)] + [(1, 1), (None, 2)]
     got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -456,7 +459,11 @@ def test_mixing_of_odd_sources(spark):
     assert mixing.take(one).count() == out.copies.sum()
 
 
-def test_urls(spark):
+@pytest.mark.parametrize("heavy", [1000, 12, 1])
+def test_urls(spark, monkeypatch, heavy):
+    """With all, some and no urls and components broadcast."""
+    monkeypatch.setattr(urls, "HEAVY", heavy)
+    monkeypatch.setattr(common, "HEAVY", heavy)
     page = lambda i, url, html="": (i, url, html)
     rows = [
         page(1, "http://Sub.Example.com/en/1"), page(2, "http://www.example.com/en/1#a"), page(3, "http://x.net/es/1"), page(4, "no scheme"), page(5, None), page(6, "http://example.com?x=/en/"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyguard.llm import chat, exact_dedup, langid, minhash, mixing, repetition, rindex, sentencepiece, toxicity, urls
+from tallyguard.llm import chat, exact_dedup, fim, langid, minhash, mixing, repetition, resample, rindex, sentencepiece, toxicity, urls
 from tallyguard.llm.common import table
 
 
@@ -51,7 +51,15 @@ def op10_run_length_index(spark, sf_dir):
     return rindex.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_minhash, op3_url_filter, op4_chat_format, op5_repetition, op6_exact_dedup, op7_sentencepiece, op8_language_id, op9_mixing, op10_run_length_index)}
+def op12_fill_in_middle(spark, sf_dir):
+    return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
+
+
+def op13_resampling(spark, sf_dir):
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_minhash, op3_url_filter, op4_chat_format, op5_repetition, op6_exact_dedup, op7_sentencepiece, op8_language_id, op9_mixing, op10_run_length_index, op12_fill_in_middle, op13_resampling)}
 
 _OP3 = r"""
 WITH RECURSIVE r AS (
@@ -134,4 +142,24 @@ g AS (SELECT text_sha256, first(doc_id ORDER BY n DESC, doc_id) AS keep_id, coun
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
 """
 
-ORACLES = {"op3_url_filter": _OP3, "op4_chat_format": _OP4, "op6_exact_dedup": _OP6}
+_OP12 = r"""
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+d AS (
+  SELECT *, ('0x' || substr(h, 1, 8))::UBIGINT % (n + 1)::UBIGINT AS x, ('0x' || substr(h, 9, 8))::UBIGINT % (n + 1)::UBIGINT AS y,
+         CASE WHEN n = 0 OR regexp_matches(text, '<[PSM]>') OR ('0x' || substr(h, 17, 8))::UBIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::UBIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h),
+c AS (
+  SELECT doc_id, text, n, form, least(x, y)::BIGINT AS a, greatest(x, y)::BIGINT AS b,
+         substr(text, 1, least(x, y)::BIGINT) AS prefix, substr(text, least(x, y)::BIGINT + 1, (greatest(x, y) - least(x, y))::BIGINT) AS middle,
+         substr(text, greatest(x, y)::BIGINT + 1) AS suffix
+  FROM d)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+FROM c
+"""
+
+ORACLES = {"op3_url_filter": _OP3, "op4_chat_format": _OP4, "op6_exact_dedup": _OP6, "op12_fill_in_middle": _OP12}

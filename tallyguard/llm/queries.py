@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyguard.llm import chat, exact_dedup, fim, langid, minhash, mixing, repetition, resample, rindex, sentencepiece, toxicity, urls
+from tallyguard.llm import chat, exact_dedup, fim, langid, minhash, mixing, quality, repetition, resample, rindex, sentencepiece, toxicity, urls
 from tallyguard.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_run_length_index(spark, sf_dir):
     return rindex.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_quality(spark, sf_dir):
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_fill_in_middle(spark, sf_dir):
     return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
 
@@ -59,7 +63,7 @@ def op13_resampling(spark, sf_dir):
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_minhash, op3_url_filter, op4_chat_format, op5_repetition, op6_exact_dedup, op7_sentencepiece, op8_language_id, op9_mixing, op10_run_length_index, op12_fill_in_middle, op13_resampling)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_minhash, op3_url_filter, op4_chat_format, op5_repetition, op6_exact_dedup, op7_sentencepiece, op8_language_id, op9_mixing, op10_run_length_index, op11_quality, op12_fill_in_middle, op13_resampling)}
 
 _OP3 = r"""
 WITH RECURSIVE r AS (

@@ -35,18 +35,32 @@ def device_is_new(lookback: int) -> Column:
     return (F.row_number().over(sequence()) > 1) & (F.col("device_id").isNull() | (seen == 0))
 
 
-def add_features(silver: DataFrame) -> DataFrame:
-    amount = F.col("amount_usd")
-    prior = sequence().rowsBetween(-PRIOR_ROWS, -1)
-    before, country = F.lag(seconds()).over(sequence()), F.lag("country_src").over(sequence())
+def frames() -> dict[str, Column]:
+    """The windows that features stand on, by name. Another way to compute the same columns gives add_features() their names."""
+    amount, prior = F.col("amount_usd"), sequence().rowsBetween(-PRIOR_ROWS, -1)
+    return {
+        "_count_5m": F.count(F.lit(1)).over(within(VELOCITY_SECONDS)),
+        "_sum_1h": F.sum(amount).over(within(SUM_SECONDS)),
+        "_prior_sum": F.sum(amount).over(prior),
+        "_prior_count": F.count(amount).over(prior),
+        "_prior_deviation": F.stddev_pop(amount.cast("double")).over(prior),
+        "_previous_seconds": F.lag(seconds()).over(sequence()),
+        "_previous_country": F.lag("country_src").over(sequence()),
+        "_new_30d": device_is_new(DEVICE_SECONDS),
+    }
+
+
+def add_features(silver: DataFrame, frame: dict[str, Column] | None = None) -> DataFrame:
+    frame = frame or frames()
+    amount, before, country = F.col("amount_usd"), frame["_previous_seconds"], frame["_previous_country"]
     wide = silver.select(
         "*",
-        F.count(F.lit(1)).over(within(VELOCITY_SECONDS)).cast("double").alias("txn_count_5m"),
-        F.coalesce(F.sum(amount).over(within(SUM_SECONDS)).cast("double"), F.lit(0.0)).alias("amount_sum_1h"),
-        F.coalesce((F.sum(amount).over(prior).cast("double") / F.nullif(F.count(amount).over(prior), F.lit(0)).cast("double")), F.lit(0.0)).alias("avg_amount_prior_30"),
-        F.coalesce(F.stddev_pop(amount.cast("double")).over(prior), F.lit(0.0)).alias("stddev_amount_prior_30"),
+        frame["_count_5m"].cast("double").alias("txn_count_5m"),
+        F.coalesce(frame["_sum_1h"].cast("double"), F.lit(0.0)).alias("amount_sum_1h"),
+        F.coalesce((frame["_prior_sum"].cast("double") / F.nullif(frame["_prior_count"], F.lit(0)).cast("double")), F.lit(0.0)).alias("avg_amount_prior_30"),
+        F.coalesce(frame["_prior_deviation"], F.lit(0.0)).alias("stddev_amount_prior_30"),
         F.coalesce(F.greatest(seconds() - before, F.lit(0)).cast("double"), F.lit(0.0)).alias("seconds_since_prev_txn"),
-        F.when(device_is_new(DEVICE_SECONDS), 1.0).otherwise(0.0).alias("device_new_30d"),
+        F.when(frame["_new_30d"], 1.0).otherwise(0.0).alias("device_new_30d"),
         F.when(country.isNotNull() & (F.col("country_src") != country), 1.0).otherwise(0.0).alias("country_changed"),
     )
     average = F.col("avg_amount_prior_30")

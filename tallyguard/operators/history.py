@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HISTORY_HOURS = 720
@@ -46,11 +46,11 @@ def touched_history(batch: DataFrame, stored: DataFrame, hours: int = HISTORY_HO
 
 
 def with_history(batch: DataFrame, history: DataFrame) -> DataFrame:
-    """History and batch by name, one row for each transaction: the batch's goes first. ``_in_batch`` tells them apart,
-    so that no join is needed to find the batch again."""
-    both = history.withColumn("_in_batch", F.lit(False)).unionByName(batch.withColumn("_in_batch", F.lit(True)), allowMissingColumns=True)
-    first = Window.partitionBy("transaction_id").orderBy(F.desc("_in_batch"), F.asc_nulls_last("event_time"), F.asc_nulls_last("ingest_time"))
-    return both.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    """History and batch by name, one row for each transaction: the batch's takes the place of a stored one. ``_in_batch`` tells
+    them apart, so that no join is needed to find the batch again. Neither side may hold a transaction twice (deduplicate()
+    and the committed filter see to that); the batch's ids go to the history, which isn't shuffled."""
+    stored = history.join(small(batch.select("transaction_id").distinct()), "transaction_id", "left_anti")
+    return stored.withColumn("_in_batch", F.lit(False)).unionByName(batch.withColumn("_in_batch", F.lit(True)), allowMissingColumns=True)
 
 
 def only_batch(scored: DataFrame) -> DataFrame:

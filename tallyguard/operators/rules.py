@@ -16,30 +16,53 @@ from tallyguard.operators.features import device_is_new, seconds, sequence, with
 RULE_ORDER = ("HIGH_AMOUNT", "STRUCTURING", "IMPOSSIBLE_TRAVEL", "MULE", "VELOCITY", "NEW_DEVICE_HIGH_VALUE")
 
 
-def rule_flags(config: RulesConfig) -> dict[str, Column]:
+def structured(config: RulesConfig) -> Column:
+    return F.col("amount_usd").between(config.structuring_min_usd, config.structuring_max_usd)
+
+
+def withdrawn() -> Column:
+    """The amount of a withdrawal."""
+    return F.when(F.col("txn_type") == "Withdrawal", F.col("amount_usd"))
+
+
+def large_deposit(config: RulesConfig) -> Column:
+    """The amount of a deposit that a withdrawal may match."""
+    return F.when((F.col("txn_type") == "Deposit") & (F.col("amount_usd") >= config.mule_min_deposit_usd), F.col("amount_usd"))
+
+
+def frames(config: RulesConfig) -> dict[str, Column]:
+    """The windows that rules stand on, by name."""
+    return {
+        "_rule_count": F.count(F.lit(1)).over(within(config.velocity_seconds)),
+        "_structured": F.sum(F.when(structured(config), 1).otherwise(0)).over(within(config.structuring_seconds)),
+        "_next_out": F.max(withdrawn()).over(within(0, config.mule_seconds)),
+        "_last_in": F.min(large_deposit(config)).over(within(config.mule_seconds)),
+        "_rule_seconds": F.lag(seconds()).over(sequence()),
+        "_rule_country": F.lag("country_src").over(sequence()),
+        "_rule_new": device_is_new(config.new_device_seconds),
+    }
+
+
+def rule_flags(config: RulesConfig, frame: dict[str, Column] | None = None) -> dict[str, Column]:
     """One condition for each rule; a null counts as not matched."""
-    amount, kind = F.col("amount_usd"), F.col("txn_type")
+    frame, amount, kind = frame or frames(config), F.col("amount_usd"), F.col("txn_type")
     ratio = F.lit(config.mule_ratio).cast("decimal(4,2)")
-    structured = amount.between(config.structuring_min_usd, config.structuring_max_usd)
-    travelled = (F.lag("country_src").over(sequence()) == config.home_country) & F.col("country_src").isin(*config.far_countries) & (seconds() - F.lag(seconds()).over(sequence()) <= config.travel_seconds)
-    large = (kind == "Deposit") & (amount >= config.mule_min_deposit_usd)
-    next_out = F.max(F.when(kind == "Withdrawal", amount)).over(within(0, config.mule_seconds))
-    last_in = F.min(F.when(large, amount)).over(within(config.mule_seconds))
-    mule = (large & (next_out >= amount * ratio)) | ((kind == "Withdrawal") & (amount >= last_in * ratio))
+    travelled = (frame["_rule_country"] == config.home_country) & F.col("country_src").isin(*config.far_countries) & (seconds() - frame["_rule_seconds"] <= config.travel_seconds)
+    mule = (large_deposit(config).isNotNull() & (frame["_next_out"] >= amount * ratio)) | ((kind == "Withdrawal") & (amount >= frame["_last_in"] * ratio))
     return {
         "HIGH_AMOUNT": amount >= config.high_amount_usd,
-        "STRUCTURING": structured & (F.sum(F.when(structured, 1).otherwise(0)).over(within(config.structuring_seconds)) >= config.structuring_count),
+        "STRUCTURING": structured(config) & (frame["_structured"] >= config.structuring_count),
         "IMPOSSIBLE_TRAVEL": travelled,
         "MULE": mule,
-        "VELOCITY": F.count(F.lit(1)).over(within(config.velocity_seconds)) >= config.velocity_count,
-        "NEW_DEVICE_HIGH_VALUE": device_is_new(config.new_device_seconds) & (amount >= config.new_device_usd),
+        "VELOCITY": frame["_rule_count"] >= config.velocity_count,
+        "NEW_DEVICE_HIGH_VALUE": frame["_rule_new"] & (amount >= config.new_device_usd),
     }
 
 
-def apply_rules(history: DataFrame, config: RulesConfig | None = None) -> DataFrame:
+def apply_rules(history: DataFrame, config: RulesConfig | None = None, frame: dict[str, Column] | None = None) -> DataFrame:
     """``history`` (Silver rows, with or without features) plus matched_rules, risk_score and decision."""
     config = config or RulesConfig()
-    flags = rule_flags(config)
+    flags = rule_flags(config, frame)
     wide = history.select("*", *(F.coalesce(flags[r], F.lit(False)).alias(f"_{r}") for r in RULE_ORDER))
     points = sum((F.when(F.col(f"_{r}"), config.weights[config.severity[r]]).otherwise(0) for r in RULE_ORDER), F.lit(0))
     severe = [F.col(f"_{r}") for r in RULE_ORDER if config.severity[r] == "HIGH"] or [F.lit(False)]

@@ -1,21 +1,24 @@
-"""Layered Parquet tables that micro-batches replace as a whole, a commit ledger, state versions and compaction.
+"""Layered Parquet tables that micro-batches replace as a whole, a commit ledger, ids and client state in buckets, compaction.
 
 A table is a folder, partitioned by a date and ``batch_part``: a reader of some days lists their folders alone. A batch writes its
 rows under its own token, so that a retry first deletes exactly what an earlier attempt left. ``batch_token`` is also a data column: compaction moves the rows of many
 committed tokens into one part and still knows whose they are.
+
+Stored transaction ids have a narrow table of their own, partitioned by a bucket of the id; its files are sorted by id and have bloom filters. Client
+state is partitioned by a bucket of the client. A batch reads and writes the buckets of its own ids and clients, no others.
 """
 
 from __future__ import annotations
 
 import datetime
 import math
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyguard import schemas
+from tallyguard.operators import serving
 from tallyguard.sources.readers import delete_path, path_exists
 
 #: table: (schema, date column)
@@ -27,6 +30,17 @@ TABLES = {
     "decisions": (schemas.DECISIONS, "event_date"),
 }
 TARGET_BYTES = 512 << 20
+#: Buckets of the id ledger and of the state; they stay the same for the life of a store. A batch's share of the state is rewritten, so a store
+#: of many clients wants more buckets than a batch has clients.
+ID_BUCKETS, STATE_BUCKETS = 16, 64
+#: So many ids of a batch are looked up one by one in the bloom filters, as many as the session lets through to Parquet.
+FEW_IDS = 256
+IDS = "transaction_id bigint, batch_token string, bucket int, batch_part string"
+COMPACTED = "compacted"
+
+
+def bucket_of(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key.cast("long")), F.lit(buckets)).cast("int")
 
 
 def missing_tokens(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -35,8 +49,9 @@ def missing_tokens(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, id_buckets: int = ID_BUCKETS, state_buckets: int = STATE_BUCKETS):
         self.spark, self.base = spark, base.rstrip("/")
+        self.id_buckets, self.state_buckets = id_buckets, state_buckets
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -85,6 +100,8 @@ class TableStore:
             self._drop_batch(name, token)
         for name in ("alerts", "metrics"):
             delete_path(self.spark, f"{self.path(name)}/batch_part={token}")
+        for path in self._found(f"ids/bucket=*/batch_part={token}"):
+            delete_path(self.spark, path)
 
     def write_batch(self, name: str, rows: DataFrame, token: str) -> None:
         """Replace this token's rows; other tokens stay."""
@@ -121,26 +138,95 @@ class TableStore:
         new = self.spark.range(1).select(F.lit(token).alias("batch_token"))
         missing_tokens(new, self.committed()).withColumn("committed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self.path("ledger"))
 
-    # State: whole versions, the newest complete one counts.
-    def _versions(self) -> list[int]:
-        path = self.path("state")
-        if not path_exists(self.spark, path):
-            return []
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        found = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
-        names = [x.getPath().getName() for x in found]
-        return sorted(int(n.split("=")[1]) for n in names if n.startswith("version=") and path_exists(self.spark, f"{path}/{n}/_SUCCESS"))
+    # Ids: (transaction_id, batch_token) in buckets, for the committed filter.
+    def write_ids(self, rows: DataFrame, token: str) -> None:
+        """Store a batch's transaction ids under its token; clear() has deleted what an earlier attempt left."""
+        ids = rows.select("transaction_id", F.lit(token).alias("batch_token"), bucket_of(F.col("transaction_id"), self.id_buckets).alias("bucket"), F.lit(token).alias("batch_part"))
+        self._write_ids(ids, "append", rows.count())
+
+    def _write_ids(self, ids: DataFrame, mode: str, rows: int) -> None:
+        ids.repartition("bucket").sortWithinPartitions("bucket", "batch_part", "transaction_id").write.mode(mode).options(**self._blooms(rows // self.id_buckets)).partitionBy("bucket", "batch_part").parquet(self.path("ids"))
+
+    def _blooms(self, rows: int) -> dict[str, str]:
+        """Options of files of about ``rows`` ids; twice as many still find a useful filter."""
+        return {"parquet.bloom.filter.enabled#transaction_id": "true", "parquet.bloom.filter.expected.ndv#transaction_id": str(max(1000, 2 * rows))}
+
+    def rebuild_ids(self) -> None:
+        """The ids once more from Silver, for a store that has lost them or never had them."""
+        rows = self.read("silver").select("transaction_id", "batch_token", bucket_of(F.col("transaction_id"), self.id_buckets).alias("bucket"), F.col("batch_token").alias("batch_part"))
+        self._write_ids(rows, "overwrite", rows.count())
+
+    def known_ids(self, ids: DataFrame) -> DataFrame:
+        """(transaction_id, batch_token) of stored transactions, among them all that have one of ``ids``. Only these ids' buckets are listed and
+        read; of few ids each is looked up in the files' bloom filters."""
+        own = ids.select("transaction_id", bucket_of(F.col("transaction_id"), self.id_buckets).alias("bucket")).distinct()
+        counted = own.groupBy("bucket").agg(F.count("*").alias("n")).collect()  # a row for each bucket
+        paths = [p for r in counted if path_exists(self.spark, p := f"{self.path('ids')}/bucket={r['bucket']}")]
+        if not paths:
+            return self.spark.createDataFrame([], IDS).select("transaction_id", "batch_token")
+        found = self.spark.read.schema(IDS).option("basePath", self.path("ids")).parquet(*paths).select("transaction_id", "batch_token")
+        if sum(r["n"] for r in counted) <= FEW_IDS:
+            found = found.where(F.col("transaction_id").isin([r["transaction_id"] for r in own.collect()]))
+        return found
+
+    def compact_ids(self) -> None:
+        """The ids of committed tokens in one part a bucket, one bucket after the other."""
+        for path in self._found("ids/bucket=*"):
+            name = f"ids-{path.rsplit('=', 1)[-1]}"
+            held = self._fold(path, self.path("ids"), IDS, name).drop("bucket")
+            self._replace(path, held.repartition(1).sortWithinPartitions("batch_part", "transaction_id"), self._blooms(held.count()), name)
+
+    def _fold(self, folder: str, base: str, schema, name: str) -> DataFrame:
+        """A staged copy of all rows of a folder, those of committed tokens under one part.
+
+        Copies are numbered. A call that ended early has left one, and perhaps a folder that is replaced in part: the copy counts, with the
+        rows of tokens that it doesn't know yet, which then make the next copy.
+        """
+        read = lambda k: self.spark.read.schema(schema).parquet(f"{self.base}/_staging/{name}-{k}")
+        last = max([0, *(int(p.rstrip("/").split("-")[-1]) for p in self._found(f"_staging/{name}-*") if path_exists(self.spark, f"{p}/_SUCCESS"))])
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(folder) if path_exists(self.spark, folder) else None
+        if rows is not None:
+            if last:
+                rows = rows.join(read(last).select("batch_token").distinct(), "batch_token", "left_anti").select(rows.columns)
+            if not last or not rows.isEmpty():
+                done = self.committed().select("batch_token", F.lit(True).alias("_done")).distinct()
+                parted = rows.join(done, "batch_token", "left").withColumn("batch_part", F.when(F.col("_done"), COMPACTED).otherwise(F.col("batch_part"))).select(rows.columns)
+                self.stage(parted.unionByName(read(last)) if last else parted, f"{name}-{last + 1}")
+                last += 1
+        return read(last)
+
+    def _replace(self, folder: str, rows: DataFrame, options: dict[str, str], name: str) -> None:
+        """Overwrite a folder of parts in one job from its staged copy, and let the copies go."""
+        rows.write.mode("overwrite").options(**options).option("partitionOverwriteMode", "static").partitionBy("batch_part").parquet(folder)
+        for path in self._found(f"_staging/{name}-*"):
+            delete_path(self.spark, path)
 
+    # State: the latest row of each client, in buckets.
     def state(self) -> DataFrame | None:
-        versions = self._versions()
-        return self.spark.read.parquet(f"{self.path('state')}/version={versions[-1]}") if versions else None
+        path = self.path("state")
+        return self.spark.read.parquet(path).drop("bucket") if path_exists(self.spark, path) else None
 
-    def write_state(self, rows: DataFrame) -> None:
-        versions = self._versions()
-        rows.write.mode("overwrite").parquet(f"{self.path('state')}/version={(versions or [0])[-1] + 1}")
-        for old in versions[:-1]:  # the one before stays for readers that began with it
-            delete_path(self.spark, f"{self.path('state')}/version={old}")
+    def state_of(self, client_id: int) -> DataFrame | None:
+        """The state row of one client: one bucket is read, sorted by client."""
+        bucket = self.spark.range(1).select(bucket_of(F.lit(int(client_id)), self.state_buckets)).first()[0]
+        path = f"{self.path('state')}/bucket={bucket}"
+        return serving.lookup(self.spark.read.parquet(path), client_id) if path_exists(self.spark, path) else None
+
+    def write_state(self, incoming: DataFrame, token: str) -> None:
+        """Merge a batch's client rows into the buckets that they fall into; other buckets keep their files.
+
+        The merged buckets are staged as a whole before any is replaced. An attempt that ended in between has left that copy, and
+        the next one under the same token writes it again; unstage it when the token is committed.
+        """
+        path, name = self.path("state"), f"state-{token}"
+        if not path_exists(self.spark, f"{self.base}/_staging/{name}/_SUCCESS"):
+            bucket = bucket_of(F.col("client_id"), self.state_buckets)
+            touched = [r[0] for r in incoming.select(bucket.alias("b")).distinct().collect()]  # STATE_BUCKETS at most
+            held = [p for b in touched if path_exists(self.spark, p := f"{path}/bucket={b}")]
+            merged = serving.upsert_state(self.spark.read.parquet(*held) if held else None, incoming)
+            self.stage(merged.withColumn("bucket", bucket), name)
+        staged = self.spark.read.parquet(f"{self.base}/_staging/{name}")
+        staged.repartition("bucket").sortWithinPartitions("bucket", "client_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
     def export_decisions(self, day: str | datetime.date, target: str) -> int:
         """One day's decisions as Parquet; an empty day or a malformed date is an error."""
@@ -152,31 +238,27 @@ class TableStore:
         return self.spark.read.parquet(target).count()
 
     def compact(self, name: str, day: datetime.date, target_bytes: int = TARGET_BYTES) -> int:
-        """Rewrite one day of a table in files of about the target size; uncommitted tokens are left alone.
+        """Rewrite one day of a table in files of about the target size; uncommitted tokens keep their parts.
 
-        The new part is written beside the table, moved in, and only then are the old ones deleted: a crash in between leaves
-        rows twice, never lost, and the next run finds the same parts. Run it while nothing else writes that day. Returns
-        the number of files written.
+        The whole day is staged, then one job overwrites its folder from the copy. If that is cut short the day is incomplete until the next
+        call, which begins with the copy: no row is lost or doubled. Run it while nothing else reads or writes that day. Returns the number of
+        files asked for.
         """
         _, date = TABLES[name]
-        spark, path = self.spark, self.path(name)
-        whole = spark.read.schema(self.schema(name)).parquet(path).where(F.col(date) == F.lit(day))
-        rows = whole.join(self.committed().select("batch_token").distinct(), "batch_token", "left_semi")
-        parts = [r[0] for r in rows.select("batch_part").distinct().collect()]  # folders of one day
-        if len(parts) < 2:
+        folder, staging = f"{self.path(name)}/{date}={day}", f"compact-{name}-{day}"
+        parts, begun = self._found(f"{name}/{date}={day}/batch_part=*"), self._found(f"_staging/{staging}-*")
+        if len(parts) < 2 and not begun:
             return 0
-        jvm = spark.sparkContext._jvm
-        hadoop = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-        fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        size = sum(fs.getContentSummary(hadoop(f"{path}/{date}={day}/batch_part={p}")).getLength() for p in parts)
-        files, part = max(1, math.ceil(size / target_bytes)), f"compacted-{uuid.uuid4().hex}"
-        staged = f"{self.base}/_staging/{part}"
-        rows.drop("batch_part", date).repartition(files).write.parquet(staged)
-        fs.rename(hadoop(staged), hadoop(f"{path}/{date}={day}/batch_part={part}"))
-        for p in parts:
-            delete_path(spark, f"{path}/{date}={day}/batch_part={p}")
+        held = self._fold(folder, self.path(name), self.schema(name), staging).drop(date)
+        files = max(1, math.ceil(sum(self._size(p) for p in parts or begun) / target_bytes))
+        self._replace(folder, held.repartition(files), {}, staging)
         return files
 
+    def _size(self, path: str) -> int:
+        jvm = self.spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
     def create_tables(self, database: str) -> None:
         """External tables of the catalog over the folders, with their partitions."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from tallyguard.config import EnsembleConfig, RulesConfig
 from tallyguard.functions.aggregates import count_where
-from tallyguard.operators import features, history, models, rules, serving, silver
+from tallyguard.operators import history, models, rules, serving, silver, slices
 from tallyguard.schemas import FEATURES, SILVER
 from tallyguard.store import TableStore
 
@@ -55,29 +55,35 @@ class BatchProcessor:
             store.write_batch("bronze", batch.withColumn("ingest_date", F.to_date("kafka_timestamp")), token)
             store.write_batch("quarantine", silver.rejected(judged).withColumn("quarantine_date", F.to_date("quarantined_at")), token)
             counts = {"quarantined": store.read_batch("quarantine", token).count()}
-            fresh = store.stage(history.drop_committed(silver.to_silver(silver.accepted(judged)), store.read("silver"), token), f"fresh-{token}")
+            fresh = store.stage(self._fresh(silver.to_silver(silver.accepted(judged)), token), f"fresh-{token}")
             if not fresh.isEmpty():
                 counts |= self._decide(fresh, token)
             store.unstage(f"fresh-{token}")
             store.unstage(f"scored-{token}")
             self._metrics(token, counts, time.time() - began)
             store.commit(token)
+            store.unstage(f"state-{token}")
             return token
         finally:
             judged.unpersist()
             batch.unpersist()
 
+    def _fresh(self, batch: DataFrame, token: str) -> DataFrame:
+        """The batch without transactions that another one has stored: only the id buckets that its ids fall into are read."""
+        return history.drop_committed(batch, self.store.known_ids(batch.select("transaction_id")), token)
+
     def _decide(self, fresh: DataFrame, token: str) -> dict:
         store = self.store
         past = history.touched_history(fresh, store.read("silver", since=history.first_day(fresh))).drop("batch_token")
-        scored = history.only_batch(rules.apply_rules(features.add_features(history.with_history(fresh, past)), self.rules))
+        scored = history.only_batch(slices.decide(history.with_history(fresh, past), self.rules))
         scored = models.score(scored, self.models, self.ensemble) if self.models else rules.without_model(scored)
         by = {f"{d.lower()}_count": count_where(F.col("decision") == d) for d in ("PASS", "FLAG", "BLOCK")}
         scored = store.stage(scored, f"scored-{token}")
         store.write_batch("decisions", scored, token)
         store.write_batch("silver", scored.select(*SILVER.fieldNames()), token)
         store.write_batch("features", scored.select(*FEATURES.fieldNames()), token)
-        store.write_state(serving.upsert_state(store.state(), serving.client_state(scored)))
+        store.write_ids(scored, token)
+        store.write_state(serving.client_state(scored), token)
         # One aggregate over the staged rows' few columns. (An Observation in a session breaks MLlib's evaluators there.)
         counts = scored.agg(*(c.alias(n) for n, c in by.items()), F.avg("ml_probability").alias("avg_ml_probability"), F.count(F.lit(1)).alias("feature_rows")).first().asDict()
         counts["alerts"] = counts["flag_count"] + counts["block_count"]

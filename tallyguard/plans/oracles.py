@@ -46,11 +46,22 @@ STEPS = {
     "labels_": ("raw", """SELECT Trans_id, CASE WHEN pattern = 'NORMAL' THEN 0 ELSE 1 END::BIGINT AS is_fraud, pattern FROM (SELECT Trans_id, CASE WHEN Trans_amount >= 10000 THEN 'HIGH_AMOUNT' WHEN Dev_id >= 900000 THEN 'NEW_DEVICE_HIGH_VALUE'
         WHEN kafka_offset % 101 = 0 THEN 'MULE' ELSE 'NORMAL' END AS pattern FROM raw)"""),
     "matched_": ("ruled labels_", "SELECT * FROM ruled JOIN labels_ ON transaction_id = Trans_id"),
+    "member_scores": ("matched_", """SELECT 'm0' AS member, is_fraud, CASE WHEN kafka_offset % 13 = 0 THEN 0 ELSE (kafka_offset % 101) / 100.0::DOUBLE END AS s FROM matched_
+        UNION ALL SELECT 'm1', is_fraud, (kafka_offset % 37) / 100.0::DOUBLE FROM matched_"""),
     "batches": ("", "SELECT epoch_us(ts) // 1000000 AS s, event_id % 7 AS decisions, event_id % 3 AS alerts, CASE WHEN event_id % 97 = 96 THEN 1 ELSE 0 END AS quarantined, event_id % 5 AS feature_rows, value AS d FROM events"),
     "rates": ("batches", """SELECT w AS window_start, w + 300 AS window_end, sum(decisions) / 300.0::DOUBLE AS decisions_rate, sum(alerts) / 300.0::DOUBLE AS alerts_rate, sum(quarantined) / 300.0::DOUBLE AS quarantined_rate,
         sum(feature_rows) / 300.0::DOUBLE AS feature_rows_rate, quantile_cont(d, 0.95) AS p95_duration FROM (SELECT *, s // 30 * 30 - 30 * i AS w FROM batches, range(10) r(i)) GROUP BY w"""),
 }
 
+#: A stream's rows: those that are held back come behind the watermark, two hours before the latest time of all others.
+STEPS["st_sent"] = ("doubled checked", """SELECT Trans_id AS transaction_id, count(*) AS sent, bool_or(len(errs) > 0) AS bad, bool_or(Trans_id % 100 = 3 AND d.kafka_sec < epoch(TIMESTAMP '2026-09-03') AND d.kafka_sec <= (SELECT max(kafka_sec) FROM raw WHERE Trans_id % 100 <> 3) - 7200) AS late
+        FROM doubled d JOIN checked USING (Trans_id) GROUP BY 1""")
+STEPS["st_silver"] = ("silver st_sent", "SELECT silver.* FROM silver JOIN st_sent USING (transaction_id) WHERE NOT late")
+# Rules over them, as over Silver, but a deposit sees the withdrawals of its own day's run only.
+for _step, _below in (("wide", "silver"), ("features", "wide"), ("flags", "features"), ("ruled", "flags")):
+    _text = STEPS[_step][1].replace(f"FROM {_below}", f"FROM st_{_below}").replace("(c ORDER BY t RANGE BETWEEN CURRENT ROW AND 1800 FOLLOWING)", "(PARTITION BY client_id, event_date ORDER BY t RANGE BETWEEN CURRENT ROW AND 1800 FOLLOWING)")
+    STEPS[f"st_{_step}"] = (f"st_{_below}", _text)
+
 MONEY = "round(sum(amount_usd), 2)::DOUBLE"
 FLAGGED, BLOCKED = "count(*) FILTER (decision = 'FLAG')", "count(*) FILTER (decision = 'BLOCK')"
 SILVER_OUT = "transaction_id, client_id, card_id, device_id, fx_rate::DOUBLE AS fx_rate, amount_usd::DOUBLE AS amount_usd, currency, txn_type, status, country_src, t AS event_time, event_date"
@@ -125,8 +136,33 @@ SELECTS = {
     "m3_time_split": ("silver", "SELECT count(*) FILTER (t < c) AS training_rows, count(*) FILTER (t >= c) AS validation_rows FROM silver, (SELECT quantile_disc(t, 0.8) AS c FROM silver)"),
     "mt2_rolling_rates": ("rates", "SELECT window_start, window_end, round(decisions_rate, 6) AS decisions_rate, round(alerts_rate, 6) AS alerts_rate, round(quarantined_rate, 6) AS quarantined_rate, round(feature_rows_rate, 6) AS feature_rows_rate, round(p95_duration, 6) AS p95_duration FROM rates"),
     "mt3_conditions": ("rates", "SELECT window_start, window_end, p95_duration > 30 AS batch_slow, quarantined_rate / greatest(decisions_rate, 1.0) > 0.1 AS quarantine_high, alerts_rate / greatest(decisions_rate, 1.0) > 0.25 AS alert_spike, feature_rows_rate = 0 AND decisions_rate > 0 AS features_stalled FROM rates"),
+    "a13_retried_batches": ("silver", f"SELECT transaction_id, CASE WHEN {LATE} THEN 'second' ELSE 'first' END AS batch_token FROM silver"),
+    "a19_replaced_days": ("decided", f"SELECT event_date, client_id, count(*) AS txn_count, {MONEY} AS total_amount_usd, {FLAGGED} AS flagged_count, {BLOCKED} AS blocked_count, max(risk_score)::BIGINT AS max_risk_score, count(DISTINCT country_src) AS distinct_countries, count(DISTINCT device_id) AS distinct_devices FROM decided WHERE event_date <> '2026-09-02' GROUP BY 1, 2"),
+    "a26_compaction": ("silver", "SELECT transaction_id, CASE WHEN currency = 'EGP' THEN 'open' ELSE 'card' || card_id END AS batch_token, CASE WHEN currency = 'EGP' THEN 'open' ELSE 'compacted' END AS batch_part FROM silver"),
+    "m6_member_metrics": ("member_scores", """SELECT member, round(auc, 9) AS auc, round(auprc, 9) AS auprc, round(coalesce(tp / nullif(tp + fp, 0)::DOUBLE, 0), 9) AS precision, round(coalesce(tp / nullif(tp + fn, 0)::DOUBLE, 0), 9) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0)::DOUBLE, 0), 9) AS f1
+        FROM (SELECT member, count(*) FILTER (s >= 0.7 AND is_fraud = 1) AS tp, count(*) FILTER (s >= 0.7 AND is_fraud = 0) AS fp, count(*) FILTER (s < 0.7 AND is_fraud = 1) AS fn,
+                     (sum(r) FILTER (is_fraud = 1) - count(*) FILTER (is_fraud = 1) * (count(*) FILTER (is_fraud = 1) + 1) / 2.0)::DOUBLE / (count(*) FILTER (is_fraud = 1) * count(*) FILTER (is_fraud = 0)) AS auc
+              FROM (SELECT *, rank() OVER (PARTITION BY member ORDER BY s) + (count(*) OVER (PARTITION BY member, s) - 1) / 2.0 AS r FROM member_scores) GROUP BY member)
+        JOIN (SELECT member, sum(dr * (p + coalesce(pp, p)) / 2) AS auprc
+              FROM (SELECT *, lag(p) OVER (PARTITION BY member ORDER BY s DESC) AS pp
+                    FROM (SELECT member, s, sum(y) OVER down / sum(n) OVER down AS p, y / sum(y) OVER (PARTITION BY member) AS dr
+                          FROM (SELECT member, s, sum(is_fraud)::DOUBLE AS y, count(*)::DOUBLE AS n FROM member_scores GROUP BY 1, 2) WINDOW down AS (PARTITION BY member ORDER BY s DESC)))
+              GROUP BY member) USING (member)"""),
+    "mt3_sustained": ("rates", """SELECT condition, min(w) AS started, max(w) AS ended, count(*) AS evaluations, max(w) - min(w) >= any_value(hold) AS fired, CASE WHEN max(w) - min(w) >= any_value(hold) THEN min(w) + any_value(hold) END AS fired_at
+        FROM (SELECT *, count(*) FILTER (NOT joined) OVER (PARTITION BY condition ORDER BY w) AS run
+              FROM (SELECT condition, hold, w, coalesce(w - lag(w) OVER (PARTITION BY condition ORDER BY w) = 30, false) AS joined
+                    FROM (SELECT 'batch_slow' AS condition, 300 AS hold, window_end AS w FROM rates WHERE p95_duration > 30
+                          UNION ALL SELECT 'quarantine_high', 600, window_end FROM rates WHERE quarantined_rate / greatest(decisions_rate, 1.0) > 0.1
+                          UNION ALL SELECT 'alert_spike', 600, window_end FROM rates WHERE alerts_rate / greatest(decisions_rate, 1.0) > 0.25
+                          UNION ALL SELECT 'features_stalled', 300, window_end FROM rates WHERE feature_rows_rate = 0 AND decisions_rate > 0)))
+        GROUP BY condition, run"""),
+    "st1_stream_run": ("st_ruled st_sent", """SELECT s.transaction_id, s.sent, CASE WHEN late THEN 0 ELSE 1 END::BIGINT AS raw, NOT late AND bad AS quarantined, decision, CASE WHEN decision IS NOT NULL THEN array_to_string(matched, ',') END AS matched_rules, risk_score::BIGINT AS risk_score
+        FROM st_sent s LEFT JOIN st_ruled r ON r.transaction_id = s.transaction_id"""),
     "k1_flagship": ("ruled", "SELECT decision, count(*) AS transactions, round(avg(risk_score), 4) AS mean_risk, sum(amount_usd)::DOUBLE AS total_amount_usd FROM ruled GROUP BY 1"),
 }
+#: Other ways to the same results.
+SELECTS |= {name: SELECTS[like] for name, like in {"a14_state_buckets": "a14_upsert_state", "c1_id_ledger": "c1_drop_committed", "e1_sliced_features": "e1_features", "r1_sliced_rules": "r1_apply_rules", "st11_client_state": "e1_features"}.items()}
+
 
 def sql(name: str) -> str:
     needs, select = SELECTS[name]

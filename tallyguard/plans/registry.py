@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyguard.config import QualityContract, RulesConfig
-from tallyguard.operators import evaluate, features, gold, history, monitoring, quality, rules, serving, silver
-from tallyguard.operators.models import class_weights, dataset_signature, time_cutoff, time_split
+from tallyguard.operators import evaluate, features, gold, history, monitoring, quality, rules, serving, silver, slices
+from tallyguard.operators.models import class_weights, dataset_signature, member_metrics, time_cutoff, time_split
 from tallyguard.plans import oracles
+from tallyguard.schemas import FEATURE_NAMES
 from tallyguard.sources import adapter, decode, readers
-from tallyguard.store import missing_tokens
+from tallyguard.store import TableStore, missing_tokens
+from tallyguard.streaming import client_state
+from tallyguard.streaming.processor import BatchProcessor, run_stream
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -52,6 +55,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table, as a store holds them: what reads them several times doesn't derive them several times."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def raw(spark, sf_dir):
     return adapter.raw_transactions(spark, sf_dir)
 
@@ -145,6 +155,53 @@ def a14_upsert_state(spark, sf_dir):
     return flat(serving.upsert_state(serving.client_state(late), serving.client_state(early)).drop("updated_at"))
 
 
+def a14_state_buckets(spark, sf_dir):
+    """The state table after a batch of the newer days and one of the older ones, each of which replaced the buckets of its clients."""
+    store = TableStore(spark, scratch(spark, "lake"))
+    late, early = _sides(decided(spark, sf_dir))
+    for token, batch in (("late", late), ("early", early)):
+        store.write_state(serving.client_state(batch), token)
+        store.unstage(f"state-{token}")
+    return flat(store.state().drop("updated_at"))
+
+
+def a13_retried_batches(spark, sf_dir):
+    """Silver of two batches after a failed attempt, a retry and a repeat: (transaction_id, the batch that holds it)."""
+    store, s = TableStore(spark, scratch(spark, "lake")), stored(silver_of(spark, sf_dir), "silver")
+    late, early = _sides(s)
+    store.write_batch("silver", early.where("card_id = 1"), "first")  # an attempt that ends before its last rows
+    store.write_batch("silver", late, "second")
+    store.clear("first")
+    store.write_batch("silver", early, "first")
+    store.write_batch("silver", late, "second")  # the same batch delivered again
+    store.commit("second")
+    return store.read("silver").select("transaction_id", "batch_token")
+
+
+def a19_replaced_days(spark, sf_dir):
+    """Gold rows written twice: wrong at first, then the newer days again; the older days that the second run doesn't hold stay, a day is deleted."""
+    store = TableStore(spark, scratch(spark, "lake"))
+    made = stored(gold.customer_daily_risk(decided(spark, sf_dir)), "gold")
+    late, early = _sides(made)
+    store.overwrite_days("customer_daily_risk", early.unionByName(late.withColumn("txn_count", F.col("txn_count") * 2)))
+    store.overwrite_days("customer_daily_risk", late)
+    store.clear_days("customer_daily_risk", [datetime.date(2026, 9, 2)])
+    return flat(readers.read_layer(spark, store.path("customer_daily_risk"), made.schema))
+
+
+def a26_compaction(spark, sf_dir):
+    """Silver of four batches, one of them not committed, after each of its days is compacted: rows, and the part that holds them."""
+    store, s = TableStore(spark, scratch(spark, "lake")), stored(silver_of(spark, sf_dir), "silver")
+    for card in (1, 2, 3):
+        store.write_batch("silver", s.where((F.col("card_id") == card) & (F.col("currency") != "EGP")), f"card{card}")
+        store.commit(f"card{card}")
+    store.write_batch("silver", s.where("currency = 'EGP'"), "open")
+    for (day,) in s.select("event_date").distinct().collect():  # a row for each day
+        store.compact("silver", day)
+    parts = spark.read.schema(store.schema("silver")).parquet(store.path("silver"))
+    return parts.select("transaction_id", "batch_token", "batch_part")
+
+
 def a16_alert_dedup(spark, sf_dir):
     rows = decided(spark, sf_dir).withColumn("alert_id", F.concat_ws(":", F.lit("tok"), "transaction_id"))
     alerts = serving.build_alerts(rows.drop("alert_id"), "tok")
@@ -219,9 +276,20 @@ def b12_transaction_risk_view(spark, sf_dir):
 
 
 def c1_drop_committed(spark, sf_dir):
-    s = silver_of(spark, sf_dir)
-    stored = _sides(s)[1].withColumn("batch_token", F.when(F.col("card_id") == 2, "own").otherwise("other"))
-    return _told(s, "transaction_id", history.drop_committed(s, stored, "own"), "kept")
+    s = stored(silver_of(spark, sf_dir).select("transaction_id", "card_id", "event_date"), "silver")
+    there = _sides(s)[1].withColumn("batch_token", F.when(F.col("card_id") == 2, "own").otherwise("other"))
+    return _told(s, "transaction_id", history.drop_committed(s, there, "own"), "kept")
+
+
+def c1_id_ledger(spark, sf_dir):
+    """The same decision from the id ledger of a store, in buckets with bloom filters, folded into one part a bucket."""
+    s, store = stored(silver_of(spark, sf_dir).select("transaction_id", "card_id", "event_date"), "silver"), TableStore(spark, scratch(spark, "lake"))
+    there = _sides(s)[1]
+    store.write_ids(there.where("card_id = 2"), "own")
+    store.write_ids(there.where("card_id <> 2"), "other")
+    store.commit("other")
+    store.compact_ids()
+    return _told(s, "transaction_id", history.drop_committed(s, store.known_ids(s), "own"), "kept")
 
 
 def c2_touched_history(spark, sf_dir):
@@ -313,6 +381,56 @@ def _flag(rule: str, name: str):
     return query
 
 
+#: Clients of so many rows count as large in the next two queries, and are cut into slices of so many.
+LARGE, SLICE = 60, 16
+
+
+def e1_sliced_features(spark, sf_dir):
+    """Features with large clients cut into slices, the others in one window each."""
+    f = slices.decide(stored(silver_of(spark, sf_dir), "silver"), None, LARGE, SLICE).select("transaction_id", *FEATURE_NAMES)
+    return rounded(f, stddev_amount_prior_30=3)
+
+
+def r1_sliced_rules(spark, sf_dir):
+    return flat(slices.decide(stored(silver_of(spark, sf_dir), "silver"), None, LARGE, SLICE).select("transaction_id", "matched_rules", "risk_score", "decision"))
+
+
+def st11_client_state(spark, sf_dir):
+    """Features from state kept for each client: a stream that is started again for each day's rows, from its checkpoint."""
+    base, s = scratch(spark, "stream"), silver_of(spark, sf_dir)
+    for (day,) in s.select("event_date").distinct().orderBy("event_date").collect():  # a row for each day
+        s.where(F.col("event_date") == F.lit(day)).write.mode("append").parquet(f"{base}/silver")
+        source = readers.read_stream(spark, f"{base}/silver", schema=s.schema, per_trigger=1_000_000)
+        client_state.run_features(spark, source, f"{base}/features", f"{base}/checkpoint").awaitTermination()
+    f = spark.read.parquet(f"{base}/features").select("transaction_id", *FEATURE_NAMES)
+    return rounded(f, stddev_amount_prior_30=3)
+
+
+#: Of the stream's older rows every so-manieth is held back and delivered last, with its own old time.
+HELD_BACK = 100
+
+
+def st1_stream_run(spark, sf_dir):
+    """A bounded stream through the whole micro-batch: every delivery with the day it came and what became of it.
+
+    Days come one after the other, each in a run that goes on from the checkpoint, with their repeats; rows held back come last, behind the
+    watermark. ``raw`` counts rows of the raw layer, ``decision`` is that of the decisions table.
+    """
+    base = scratch(spark, "stream")
+    store = TableStore(spark, f"{base}/lake")
+    sent = adapter.raw_transactions(spark, sf_dir, duplicates=True).withColumn("_day", F.to_date("kafka_timestamp"))
+    sent = stored(sent.withColumn("_day", F.when((F.col("Trans_id") % HELD_BACK == 3) & (F.col("_day") < F.lit(BATCH_FROM)), F.lit(datetime.date(2026, 12, 31))).otherwise(F.col("_day"))), "sent")
+    for (day,) in sent.select("_day").distinct().orderBy("_day").collect():  # a row for each day
+        sent.where(F.col("_day") == F.lit(day)).drop("_day").write.mode("append").parquet(f"{base}/landing")
+        source = readers.read_stream(spark, f"{base}/landing", schema=sent.drop("_day").schema, per_trigger=1_000_000)
+        run_stream(source, BatchProcessor(store), f"{base}/checkpoint", interval=None).awaitTermination()
+    rawest = store.read("bronze").groupBy(F.col("Trans_id").cast("long").alias("transaction_id")).agg(F.count("*").alias("raw"))
+    quarantined = store.read("quarantine").select(F.col("Trans_id").cast("long").alias("transaction_id"), F.lit(True).alias("bad"))
+    ids = sent.groupBy(F.col("Trans_id").cast("long").alias("transaction_id")).agg(F.count("*").alias("sent"))
+    made = ids.join(rawest, "transaction_id", "left").join(store.read("decisions").select("transaction_id", "decision", "matched_rules", "risk_score"), "transaction_id", "left").join(quarantined, "transaction_id", "left")
+    return flat(made.select("transaction_id", "sent", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("bad", F.lit(False)).alias("quarantined"), "decision", "matched_rules", "risk_score"))
+
+
 def e15_latest_per_client(spark, sf_dir):
     return serving.latest_per_client(decided(spark, sf_dir)).select("client_id", "transaction_id")
 
@@ -371,6 +489,14 @@ def m4_class_weights(spark, sf_dir):
     return class_weights(labels).select("Trans_id", F.round("weight", 9).alias("weight"))
 
 
+def m6_member_metrics(spark, sf_dir):
+    """Two given members against the labels."""
+    offset = F.col("transaction_id") - 100001
+    scored = labelled(spark, sf_dir).select("transaction_id", F.col("is_fraud").cast("double").alias("label"), F.when(offset % 13 != 0, offset % 101 / F.lit(100.0)).alias("m0"), (offset % 37 / F.lit(100.0)).alias("m1"))
+    made = member_metrics(stored(scored, "scored"), ["m0", "m1"], 0.7)
+    return rounded(made, auc=9, auprc=9, precision=9, recall=9, f1=9)
+
+
 #: The rank error that percentile_approx() is allowed at its default accuracy.
 RANK_ERROR = 1e-4
 
@@ -410,6 +536,11 @@ def mt3_conditions(spark, sf_dir):
     return flat(monitoring.conditions(monitoring.rolling_rates(batches_of(spark, sf_dir), exact=True)))
 
 
+def mt3_sustained(spark, sf_dir):
+    """How long each condition held, and whether that was long enough to be told."""
+    return flat(monitoring.sustained(monitoring.conditions(monitoring.rolling_rates(batches_of(spark, sf_dir), exact=True))))
+
+
 _FLAGS = {"e9_mule": ("MULE", "mule"), "e11_velocity": ("VELOCITY", "velocity"), "e12_structuring": ("STRUCTURING", "structuring"), "e13_impossible_travel": ("IMPOSSIBLE_TRAVEL", "impossible_travel"), "e14_new_device": ("NEW_DEVICE_HIGH_VALUE", "new_device")}
 
 QUERIES = {
@@ -420,6 +551,7 @@ QUERIES = {
         c1_drop_committed, c2_touched_history, c3_batch_of_history, c5_labelled_decisions,
         d1_customer_daily_risk, d2_daily_kpis, d4_daily_kpis_view, d5_client_risk_view, d6_feature_monitoring_view, d7_model_monitoring_view, d8_decision_counts, d10_offset_summary, d11_batch_token, d12_distinct_clients, d13_deduplicate, d14_dataset_signature, d15_class_counts, d16_time_cutoff, d17_min_event_time,
         e1_features, e15_latest_per_client, r1_apply_rules, r5_ensemble_policy, j1_alerts, u1_history_union, q4_quality_report, q2_raw_quality, q7_recovery_check, v1_confusion, v3_recall_by_pattern, v4_precision_by_rule, m3_time_split, m4_class_weights, d7_approximate_view, d16_approximate_cutoff, mt2_rolling_rates, mt3_conditions,
+        a13_retried_batches, a14_state_buckets, a19_replaced_days, a26_compaction, c1_id_ledger, e1_sliced_features, r1_sliced_rules, m6_member_metrics, mt3_sustained, st1_stream_run, st11_client_state,
     )
 }
 QUERIES |= {name: _flag(*x) for name, x in _FLAGS.items()} | {"k1_flagship": flagship}

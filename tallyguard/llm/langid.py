@@ -3,11 +3,12 @@
 Two texts' kernel is the number of byte n-grams (one to three, ASCII letters lower-cased, other ASCII read as a space)
 that both hold, over the root of the product of their own numbers: a blended-spectrum presence kernel, with n-grams
 hashed into FEATURES cells. Training texts are a bounded sample of labelled rows, about the same number for each language:
-PER_LANGUAGE on average, TRAINED in all at most; LANDMARKS of them span the Nystroem features. Scoring a batch of texts
+PER_LANGUAGE on average, TRAINED in all at most, drawn by a hash of id and text; LANDMARKS of them span the Nystroem features. Scoring a batch of texts
 is two matrix products. Whole texts are read; a text's n-grams take one bit each, however long it is.
 
 A text without a letter (null, empty) is ``und`` with score 0, and so is everything if nothing can be learned. The score is
-the softmax of the regression values. Ties go to the language that sorts first. lang, source and doc_id are not inputs of a prediction.
+the softmax of the regression values. Ties go to the language that sorts first. An id on several texts is as many
+examples; a repeated row is one. The model depends on the rows alone, not on their partitions. lang, source and doc_id are not inputs of a prediction.
 """
 
 from __future__ import annotations
@@ -79,13 +80,19 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(2), pa.array(packed, pa.binary())], names=["lang", "draw", "bits"]).filter(keep)
 
 
+def _digest():
+    return F.xxhash64("text")
+
+
 def training_sample(docs: DataFrame) -> DataFrame:
-    """(doc_id, draw) of the rows to learn from: of each language those whose id's hash is small, PER_LANGUAGE on average."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", F.xxhash64("doc_id").alias("draw"))
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    """(doc_id, digest, lang, draw) to learn from: of each language the (id, text) pairs whose hash is small, PER_LANGUAGE on average, the first TRAINED
+    of all in the order of their draws. A pair counts once, however often it is repeated; one id may stand on many texts. How many pairs a
+    language has is counted by a sketch that doesn't depend on the order of rows."""
+    usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", _digest().alias("digest")).withColumn("draw", F.xxhash64("doc_id", "digest"))
+    counts = usable.groupBy("lang").agg(F.approx_count_distinct("draw", 0.02).alias("n"))
     share = F.shiftrightunsigned("draw", 11) / F.lit(float(1 << 53)) * F.col("n")
-    drawn = usable.join(maybe_broadcast(checkpoint(counts)), "lang").withColumn("turn", share).where(F.col("turn") < PER_LANGUAGE)
-    return drawn.orderBy("turn", "doc_id").limit(TRAINED).select("doc_id", "draw")
+    drawn = usable.join(maybe_broadcast(checkpoint(counts)), "lang").withColumn("turn", share).where(F.col("turn") < PER_LANGUAGE).distinct()
+    return checkpoint(drawn.orderBy("turn", "doc_id", "digest", "lang").limit(TRAINED).select("doc_id", "digest", "lang", "draw"))
 
 
 class Model:
@@ -145,8 +152,9 @@ def _predictor(held):
 
 def train(docs: DataFrame) -> Model:
     chosen = training_sample(docs)
-    rows = map_texts(docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id").select("text", "lang", "draw"), _bits, "lang string, draw long, bits binary")
-    held = sorted(((r["draw"], r["lang"], bytes(r["bits"])) for r in rows.limit(TRAINED).collect()))  # TRAINED rows of 8 KB at most
+    rows = docs.select("doc_id", "text", "lang", _digest().alias("digest")).join(F.broadcast(chosen), ["doc_id", "digest", "lang"])
+    made = map_texts(rows.select("text", "lang", "draw"), _bits, "lang string, draw long, bits binary").groupBy("lang", "draw").agg(F.max("bits").alias("bits"))
+    held = sorted((r["draw"], r["lang"], bytes(r["bits"])) for r in made.collect())  # TRAINED rows of 8 KB at most
     bits = np.array([np.unpackbits(np.frombuffer(x[2], np.uint8)).astype(bool) for x in held]).reshape(len(held), FEATURES)
     return Model([x[1] for x in held], bits)
 

@@ -131,8 +131,11 @@ SELECTS = {
     "v3_recall_by_pattern": ("matched_", "SELECT pattern, count(*) AS n, avg(CASE WHEN decision <> 'PASS' THEN 1.0 ELSE 0 END)::DOUBLE AS recall FROM matched_ WHERE is_fraud = 1 GROUP BY 1"),
     "v4_precision_by_rule": ("matched_", "SELECT rule, count(*) AS fired, avg(is_fraud)::DOUBLE AS precision FROM (SELECT is_fraud, unnest(matched) AS rule FROM matched_) GROUP BY 1"),
     "m4_class_weights": ("labels_", "SELECT Trans_id, round(CASE WHEN is_fraud = 1 THEN (SELECT count(*) FILTER (is_fraud = 0) / count(*) FILTER (is_fraud = 1) FROM labels_) ELSE 1.0 END, 9)::DOUBLE AS weight FROM labels_"),
-    "d7_approximate_view": ("decided", "SELECT event_date, count(*) AS scored_rows, true AS p50_near, true AS p95_near FROM decided GROUP BY event_date"),
-    "d16_approximate_cutoff": ("silver", "SELECT count(*) AS rows, true AS near FROM silver"),
+    "d7_approximate_view": ("decided", "SELECT event_date, count(*) AS scored_rows, quantile_disc(ml_probability, 0.5) AS p50_ml_probability, quantile_disc(ml_probability, 0.95) AS p95_ml_probability FROM decided GROUP BY event_date"),
+    "d7_range_quantiles": ("decided", """SELECT strftime(DATE '2026-09-05' - (n - 1), '%Y-%m-%d') AS first_day, '2026-09-05' AS last_day, count(b) AS "values", min(b) FILTER (r * 4 >= k) AS p25, min(b) FILTER (r * 2 >= k) AS p50, min(b) FILTER (r * 4 >= 3 * k) AS p75, min(b) FILTER (r * 100 >= 95 * k) AS p95
+        FROM (SELECT n, b, count(*) OVER (PARTITION BY n ORDER BY b) AS r, count(b) OVER (PARTITION BY n) AS k
+              FROM (VALUES (1), (2), (3), (4), (30)) v(n) LEFT JOIN (SELECT event_date, (risk_score // 10 * 10)::DOUBLE AS b FROM decided) ON event_date BETWEEN strftime(DATE '2026-09-05' - (n - 1), '%Y-%m-%d') AND '2026-09-05') GROUP BY n"""),
+    "d16_approximate_cutoff": ("silver", "SELECT count(*) AS rows, round(count(*) FILTER (t < c) / count(*), 3) AS early_share FROM silver, (SELECT quantile_disc(t, 0.8) AS c FROM silver)"),
     "m3_time_split": ("silver", "SELECT count(*) FILTER (t < c) AS training_rows, count(*) FILTER (t >= c) AS validation_rows FROM silver, (SELECT quantile_disc(t, 0.8) AS c FROM silver)"),
     "mt2_rolling_rates": ("rates", "SELECT window_start, window_end, round(decisions_rate, 6) AS decisions_rate, round(alerts_rate, 6) AS alerts_rate, round(quarantined_rate, 6) AS quarantined_rate, round(feature_rows_rate, 6) AS feature_rows_rate, round(p95_duration, 6) AS p95_duration FROM rates"),
     "mt3_conditions": ("rates", "SELECT window_start, window_end, p95_duration > 30 AS batch_slow, quarantined_rate / greatest(decisions_rate, 1.0) > 0.1 AS quarantine_high, alerts_rate / greatest(decisions_rate, 1.0) > 0.25 AS alert_spike, feature_rows_rate = 0 AND decisions_rate > 0 AS features_stalled FROM rates"),
@@ -148,6 +151,12 @@ SELECTS = {
                     FROM (SELECT member, s, sum(y) OVER down / sum(n) OVER down AS p, y / sum(y) OVER (PARTITION BY member) AS dr
                           FROM (SELECT member, s, sum(is_fraud)::DOUBLE AS y, count(*)::DOUBLE AS n FROM member_scores GROUP BY 1, 2) WINDOW down AS (PARTITION BY member ORDER BY s DESC)))
               GROUP BY member) USING (member)"""),
+    "m9_exported_scores": ("ruled", """SELECT transaction_id, round(l, 9) AS logistic, round(f, 9) AS forest, round(g, 9) AS boosted, round(greatest(l, f, g), 9) AS ml_probability, greatest(risk_score, round(greatest(l, f, g) * 100)::INTEGER)::BIGINT AS risk_score,
+        CASE WHEN decision = 'BLOCK' THEN 'BLOCK' WHEN greatest(l, f, g) >= 0.7 THEN 'FLAG' ELSE decision END AS decision
+        FROM (SELECT *, 1 / (1 + exp(3.0::DOUBLE - 0.0004::DOUBLE * a - 0.5 * n5 - 1.25 * device_new_30d - CASE WHEN w THEN 0.75 ELSE 0 END)) AS l,
+                     (CASE WHEN a <= 2500 THEN 0.05::DOUBLE WHEN w THEN 0.9 ELSE 0.4 END + CASE WHEN device_new_30d > 0.5 THEN 0.8::DOUBLE ELSE 0.15 END) / 2 AS f,
+                     1 / (1 + exp(-2 * (CASE WHEN a > 4000 THEN 0.6::DOUBLE ELSE -1 END + CASE WHEN n5 > 1 THEN 0.75::DOUBLE ELSE -0.125 END))) AS g
+              FROM (SELECT *, amount_usd::DOUBLE AS a, txn_type = 'Withdrawal' AS w FROM ruled))"""),
     "mt3_sustained": ("rates", """SELECT condition, min(w) AS started, max(w) AS ended, count(*) AS evaluations, max(w) - min(w) >= any_value(hold) AS fired, CASE WHEN max(w) - min(w) >= any_value(hold) THEN min(w) + any_value(hold) END AS fired_at
         FROM (SELECT *, count(*) FILTER (NOT joined) OVER (PARTITION BY condition ORDER BY w) AS run
               FROM (SELECT condition, hold, w, coalesce(w - lag(w) OVER (PARTITION BY condition ORDER BY w) = 30, false) AS joined

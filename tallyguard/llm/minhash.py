@@ -253,8 +253,8 @@ def _prefixes(threshold: int, held):
 def rare_buckets(members: DataFrame, threshold: int) -> DataFrame:
     """(gid, value, doc, part): buckets of members (gid, doc, part, set) in which any two of one gid that link meet."""
     table = np.zeros(1 << RARE_BITS, np.int64)
-    for row in members.mapInArrow(_holders, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # a row for each cell
-        table[row["cell"]] = row["n"]
+    counted = members.mapInArrow(_holders, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # a row for each cell
+    table[counted["cell"].to_numpy()] = counted["n"].to_numpy()
     return members.mapInArrow(_prefixes(threshold, send(members.sparkSession, table)), "gid long, value long, doc long, part long")
 
 

@@ -26,7 +26,8 @@ from tallyguard.llm.common import WORD, checkpoint, maybe_broadcast
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2.0
-MAX_STEPS = 60
+#: Newton steps after which an unsettled source is an error; halving alone settles any within about a hundred.
+MAX_STEPS = 200
 TOLERANCE = 1e-9
 #: Cells of one level of the rounding histogram, over thresholds from -2 to 2.
 CELLS = 4096
@@ -74,15 +75,17 @@ def _rate(size: Column) -> Column:
     return F.round(F.when(size == 0, 1.0).otherwise(rate), 6)
 
 
-def _dual(histogram: DataFrame, by: DataFrame) -> DataFrame:
-    """``by`` with each source's dual variable."""
+def _dual(histogram: DataFrame, by: DataFrame, sources: int) -> DataFrame:
+    """``by``, a row for each of ``sources``, with each source's dual variable."""
     state = by.select("*", F.lit(0.0).alias("dual"), F.lit(-1e6).alias("low"), F.lit(1e6).alias("high"), ((F.col("target") <= 0) | (F.col("target") >= MOST * F.col("source_size"))).alias("done"))
     state = checkpoint(state)
     x, w = F.col("size") / F.col("mean"), F.exp(F.least(F.col("dual") * F.col("size") / F.col("mean"), F.lit(50.0)))
-    for _ in range(MAX_STEPS):
+    for step_ in range(MAX_STEPS + 1):
         if state.where("not done").isEmpty():
             break
-        held = histogram.join(maybe_broadcast(state.where("not done")), histogram["source"].eqNullSafe(state["source"])).drop(histogram["source"])
+        if step_ == MAX_STEPS:
+            raise ValueError(f"{state.where('not done').count()} sources have no dual variable after {MAX_STEPS} steps")
+        held = histogram.join(maybe_broadcast(state.where("not done"), sources), histogram["source"].eqNullSafe(state["source"])).drop(histogram["source"])
         mass = held.groupBy("source").agg(
             F.sum(F.col("n") * F.col("size") * F.least(F.lit(MOST), w)).alias("value"),
             F.sum(F.when(w < MOST, F.col("n") * F.col("size") * w * x).otherwise(0.0)).alias("slope"),
@@ -95,7 +98,7 @@ def _dual(histogram: DataFrame, by: DataFrame) -> DataFrame:
         halved = F.when((low <= -1e6) | (high >= 1e6), F.when(gap < 0, 2 * F.abs("dual") + 1).otherwise(-2 * F.abs("dual") - 1)).otherwise((low + high) / 2)
         at_end = F.abs(gap) <= TOLERANCE * F.col("target")
         step = F.when(at_end, F.col("dual")).when(inside, newton).otherwise(halved)
-        joined = state.alias("s").join(maybe_broadcast(mass).alias("m"), F.col("s.source").eqNullSafe(F.col("m.source")), "left").select("s.*", "value", "slope")
+        joined = state.alias("s").join(maybe_broadcast(mass, sources).alias("m"), F.col("s.source").eqNullSafe(F.col("m.source")), "left").select("s.*", "value", "slope")
         moved = F.col("done") | F.col("value").isNull()
         state = checkpoint(joined.select(*by.columns, F.when(moved, F.col("dual")).otherwise(step).alias("dual"), F.when(moved, F.col("low")).otherwise(low).alias("low"), F.when(moved, F.col("high")).otherwise(high).alias("high"), (moved | at_end).alias("done")))
     return state.select(*by.columns, F.round("dual", 7).alias("dual"))
@@ -106,19 +109,19 @@ def _points(size: Column, u: Column) -> list[Column]:
     return [F.round(c - _rate(size) - u, 9) for c in range(1, int(MOST) + 1)]
 
 
-def _thresholds(docs: DataFrame, by: DataFrame) -> DataFrame:
-    """``by`` with the threshold of each source, from two histogram levels of its copies' points, and the points behind it
+def _thresholds(docs: DataFrame, by: DataFrame, sources: int) -> DataFrame:
+    """``by``, a row for each of ``sources``, with the threshold of each source, from two histogram levels of its copies' points, and the points behind it
     whose copies still fit."""
     limited = by.select("*", F.lit(-2.0).alias("start"), F.lit(0).cast("long").alias("taken"), F.lit(4.0).alias("width"))
-    spread = lambda state: docs.join(maybe_broadcast(state), docs["source"].eqNullSafe(state["source"])).drop(docs["source"]).withColumn("point", F.explode(F.array(*_points(F.col("size"), F.col("u")))))
+    spread = lambda state: docs.join(maybe_broadcast(state, sources), docs["source"].eqNullSafe(state["source"])).drop(docs["source"]).withColumn("point", F.explode(F.array(*_points(F.col("size"), F.col("u")))))
     for _ in range(2):
         limited = checkpoint(limited)
         cell = F.floor((F.col("point") - F.col("start")) / (F.col("width") / CELLS))
         cells = spread(limited).where(cell.between(0, CELLS - 1)).groupBy("source", cell.alias("cell")).agg(F.sum("size").alias("cell_size"))
         run = cells.withColumn("upto", F.sum("cell_size").over(Window.partitionBy("source").orderBy("cell")))
-        run = run.join(maybe_broadcast(limited.select("source", "taken", "target")).alias("l"), run["source"].eqNullSafe(F.col("l.source"))).drop(F.col("l.source"))
+        run = run.join(maybe_broadcast(limited.select("source", "taken", "target"), sources).alias("l"), run["source"].eqNullSafe(F.col("l.source"))).drop(F.col("l.source"))
         whole = run.where(F.col("taken") + F.col("upto") <= F.col("target") + 1e-6).groupBy("source").agg(F.max("cell").alias("cell"), F.max("upto").alias("upto"))
-        moved = limited.alias("a").join(maybe_broadcast(whole).alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")), "left").select("a.*", "b.cell", "b.upto")
+        moved = limited.alias("a").join(maybe_broadcast(whole, sources).alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")), "left").select("a.*", "b.cell", "b.upto")
         step = F.col("width") / CELLS
         limited = moved.select(*by.columns, (F.col("start") + (F.coalesce("cell", F.lit(-1)) + 1) * step).alias("start"), (F.col("taken") + F.coalesce("upto", F.lit(0))).alias("taken"), step.alias("width"))
     limited = checkpoint(limited.select(*by.columns, F.col("start").alias("threshold"), (F.col("target") - F.col("taken")).alias("left")))
@@ -129,10 +132,15 @@ def _thresholds(docs: DataFrame, by: DataFrame) -> DataFrame:
     start = F.struct(F.col("left").alias("left"), F.expr("array()").cast("array<double>").alias("points"))
     fitting = F.aggregate("next", start, lambda s, x: F.when(x["size"] <= s["left"], F.struct((s["left"] - x["size"]).alias("left"), F.concat(s["points"], F.array(x["point"])).alias("points"))).otherwise(s))
     filled = checkpoint(order.select(F.col("source").alias("s"), fitting["points"].alias("fill")))
-    joined = limited.join(maybe_broadcast(filled), F.col("source").eqNullSafe(F.col("s")), "left")
+    joined = limited.join(_sent(filled), F.col("source").eqNullSafe(F.col("s")), "left")
     return joined.select(*by.columns, "threshold", F.coalesce("fill", F.expr("array()").cast("array<double>")).alias("fill"))
 
 
+def _sent(by: DataFrame) -> DataFrame:
+    """Rows with a ``fill`` of up to about NEXT numbers each: broadcast if their numbers, all counted, are few enough."""
+    return maybe_broadcast(by, by.agg(F.coalesce(F.sum(F.size("fill") + 8), F.lit(0))).first()[0] // 2)
+
+
 def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE) -> tuple[DataFrame, DataFrame]:
     """(each document's id, source, size and draw; each source's size, target, dual variable, threshold and fill)."""
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", "size"), 11) / F.lit(float(1 << 53))
@@ -141,8 +149,9 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = S
     histogram = checkpoint(sizes.groupBy("source", "size").agg(F.count("*").alias("n")))
     by = checkpoint(targets(histogram.select("source", F.expr("size * n").alias("size")), weights, share).drop("mean"))
     rows = histogram.groupBy(F.col("source").alias("s")).agg(F.sum("n").alias("rows"))
-    by = by.join(maybe_broadcast(rows), F.col("source").eqNullSafe(F.col("s"))).select("source", "source_size", "target", "rows", (F.greatest("source_size", F.lit(1)) / F.col("rows")).alias("mean"))
-    by = checkpoint(_thresholds(sizes, checkpoint(_dual(histogram, checkpoint(by)))))
+    sources = by.count()
+    by = by.join(maybe_broadcast(rows, sources), F.col("source").eqNullSafe(F.col("s"))).select("source", "source_size", "target", "rows", (F.greatest("source_size", F.lit(1)) / F.col("rows")).alias("mean"))
+    by = checkpoint(_thresholds(sizes, checkpoint(_dual(histogram, checkpoint(by), sources)), sources))
     return sizes, by
 
 
@@ -156,7 +165,7 @@ def _copies(size: Column, u: Column) -> Column:
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken and copies."""
     sizes, by = plan(docs, weights, share)
-    joined = sizes.join(maybe_broadcast(by), sizes["source"].eqNullSafe(by["source"])).drop(by["source"])
+    joined = sizes.join(_sent(by), sizes["source"].eqNullSafe(by["source"])).drop(by["source"])
     copies = _copies(F.col("size"), F.col("u"))
     return joined.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"))
 
@@ -170,5 +179,5 @@ def take(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = S
     by = by.select(F.col("source").alias("__source"), "source_size", "target", "mean", "dual", "threshold", "fill")
     inner = docs.select(F.struct(*docs.columns).alias("__row"), F.col("source").alias("__own"), F.col("doc_id"), words_in(F.col("text")).alias("size"))
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", "size"), 11) / F.lit(float(1 << 53))
-    joined = inner.withColumn("u", draw).join(maybe_broadcast(by), F.col("__own").eqNullSafe(F.col("__source")))
+    joined = inner.withColumn("u", draw).join(_sent(by), F.col("__own").eqNullSafe(F.col("__source")))
     return joined.select("__row", F.explode(F.array_repeat(F.lit(1), _copies(F.col("size"), F.col("u"))))).select("__row.*")

@@ -74,10 +74,10 @@ SELECTS = {
     "a2_confluent_metadata": ("raw", "SELECT Trans_id AS transaction_id, '00' AS kafka_confluent_magic, 1 + kafka_offset % 3 AS kafka_schema_id FROM raw"),
     "a3_strip_header": ("raw", "SELECT kafka_partition, kafka_offset, Trans_id AS transaction_id, Currency AS currency FROM raw"),
     "a4_decode": ("raw", "SELECT Trans_id, Clt_id, Card_id, Dev_id, Trans_amount, Trans_date, Trans_type, Trans_status, Currency, Country_Src, kafka_partition, kafka_offset, kafka_sec AS kafka_timestamp, '00' AS kafka_confluent_magic, 1 + kafka_offset % 3 AS kafka_schema_id FROM raw"),
-    "a5_layer_scan": ("", "SELECT event_id, event_type FROM events"),
+    "a5_layer_scan": ("", "SELECT * REPLACE (epoch_us(ts) // 1000000 AS ts) FROM events"),
     "a6_table_scan": ("silver", "SELECT currency, count(*) AS n FROM silver GROUP BY 1"),
     "a8_labels_csv": ("labels_", "SELECT Trans_id, is_fraud, pattern FROM labels_"),
-    "a9_replay": ("raw", "SELECT Clt_id::VARCHAR AS key, Trans_id, Trans_amount FROM raw WHERE Clt_id IS NOT NULL"),
+    "a9_replay": ("raw", "SELECT coalesce(Clt_id, 0)::VARCHAR AS key, Trans_id, Trans_amount FROM raw"),
     "a14_upsert_state": ("decided", "SELECT client_id, arg_max(transaction_id, (t, transaction_id)) AS last_transaction_id, arg_max(decision, (t, transaction_id)) AS last_decision, arg_max(risk_score, (t, transaction_id))::BIGINT AS last_risk_score, arg_max(array_to_string(matched, ','), (t, transaction_id)) AS last_matched_rules, max(t) AS last_event_time FROM decided GROUP BY client_id"),
     "a16_alert_dedup": ("decided", f"SELECT 'tok:' || transaction_id AS alert_id, client_id, decision, decision <> 'PASS' AND {LATE} AS new FROM decided"),
     "a17_state_lookup": ("decided", "SELECT client_id, arg_max(transaction_id, (t, transaction_id)) AS last_transaction_id, arg_max(decision, (t, transaction_id)) AS last_decision FROM decided WHERE client_id = 7 GROUP BY client_id"),

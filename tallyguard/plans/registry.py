@@ -126,8 +126,13 @@ def a4_decode(spark, sf_dir):
     return flat(decode.decode_transactions(adapter.broker_records(spark, sf_dir)).select(*names.split(", ")))
 
 
+#: A reader names a layer's columns and types, so that a changed file is an error and none has to be opened to learn them.
+EVENTS = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
+
+
 def a5_layer_scan(spark, sf_dir):
-    return readers.read_layer(spark, f"{sf_dir}/events.parquet").select("event_id", "event_type")
+    layer = readers.read_layer(spark, f"{sf_dir}/events.parquet", EVENTS)
+    return flat(layer.withColumn("ts", F.col("ts").cast("timestamp")))
 
 
 def a6_table_scan(spark, sf_dir):
@@ -143,7 +148,8 @@ def a8_labels_csv(spark, sf_dir):
 
 def a9_replay(spark, sf_dir):
     path = scratch(spark, "replay")
-    fixed = raw(spark, sf_dir).where("Clt_id is not null").select(*(c for c in raw(spark, sf_dir).columns if not c.startswith("kafka_")))
+    fixed = raw(spark, sf_dir).withColumn("Clt_id", F.coalesce("Clt_id", F.lit(0)))  # what an operator corrects before the replay
+    fixed = fixed.select(*(c for c in fixed.columns if not c.startswith("kafka_")))
     lines = fixed.select(F.to_json(F.struct(*fixed.columns)).alias("value"))
     lines.union(lines.limit(1).select(F.lit("").alias("value"))).union(lines.limit(1).select(F.lit("{broken").alias("value"))).write.text(path)
     return flat(readers.read_replay(spark, path)[0].select("key", "Trans_id", "Trans_amount"))

@@ -13,12 +13,20 @@ from tallyguard.functions.aggregates import count_where
 
 def validation_report(df: DataFrame, contract: QualityContract | None = None) -> DataFrame:
     """(expectation, column, success, unexpected_count, element_count), one row for each expectation."""
-    contract = contract or QualityContract()
+    return _reported(df.groupBy(), contract or QualityContract())
+
+
+def daily_reports(df: DataFrame, contract: QualityContract | None = None, date: str = "event_date") -> DataFrame:
+    """The report of each day that has rows, all days in one aggregate: the day, then the report's columns."""
+    return _reported(df.groupBy(date), contract or QualityContract(), date)
+
+
+def _reported(groups, contract: QualityContract, *keys: str) -> DataFrame:
     checks = [("not_null", c, F.col(c).isNull()) for c in contract.not_null]
     checks += [("bounded_below", c, F.col(c) <= low if strict else F.col(c) < low) for c, low, strict in contract.bounded]
-    counts = df.agg(F.count("*").alias("n"), *(count_where(bad).alias(f"b{i}") for i, (_, _, bad) in enumerate(checks)))
+    counts = groups.agg(F.count("*").alias("n"), *(count_where(bad).alias(f"b{i}") for i, (_, _, bad) in enumerate(checks)))
     rows = F.array(*(F.struct(F.lit(kind).alias("expectation"), F.lit(c).alias("column"), (F.col(f"b{i}") == 0).alias("success"), F.col(f"b{i}").alias("unexpected_count"), F.col("n").alias("element_count")) for i, (kind, c, _) in enumerate(checks)))
-    return counts.select(F.inline(rows))
+    return counts.select(*keys, F.inline(rows))
 
 
 def gate(report: DataFrame) -> dict:

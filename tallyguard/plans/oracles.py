@@ -62,6 +62,14 @@ for _step, _below in (("wide", "silver"), ("features", "wide"), ("flags", "featu
     _text = STEPS[_step][1].replace(f"FROM {_below}", f"FROM st_{_below}").replace("(c ORDER BY t RANGE BETWEEN CURRENT ROW AND 1800 FOLLOWING)", "(PARTITION BY client_id, event_date ORDER BY t RANGE BETWEEN CURRENT ROW AND 1800 FOLLOWING)")
     STEPS[f"st_{_step}"] = (f"st_{_below}", _text)
 
+# Rules under other settings.
+_text = STEPS["wide"][1].replace("sum(CASE WHEN amount_usd BETWEEN 8000 AND 9999 THEN 1 ELSE 0 END) OVER (c ORDER BY t RANGE BETWEEN 3600 PRECEDING", "sum(CASE WHEN amount_usd BETWEEN 2000 AND 4000 THEN 1 ELSE 0 END) OVER (c ORDER BY t RANGE BETWEEN 7200 PRECEDING")
+STEPS["other_wide"] = ("silver", _text.replace("RANGE BETWEEN 300 PRECEDING", "RANGE BETWEEN 3600 PRECEDING").replace("amount_usd >= 3000", "amount_usd >= 1000"))
+STEPS["other_flags"] = ("other_wide", """SELECT *, amount_usd >= 5000 AS r1, amount_usd BETWEEN 2000 AND 4000 AND nstruct >= 2 AS r2, coalesce(pc = 'Egypt' AND country_src = 'Jordan' AND t - pt <= 86400, false) AS r3,
+        coalesce(txn_type = 'Deposit' AND amount_usd >= 1000 AND nextout >= amount_usd * 0.5, false) OR coalesce(txn_type = 'Withdrawal' AND amount_usd >= lastin * 0.5, false) AS r4, n5 >= 2 AS r5, rn > 1 AND seen = 0 AND amount_usd >= 1000 AS r6 FROM other_wide""")
+_text = STEPS["ruled"][1].replace("45 * (r1::INT + r2::INT + r3::INT + r4::INT) + 20 * (r5::INT + r6::INT)", "60 * (r2::INT + r4::INT) + 15 * (r1::INT + r3::INT + r5::INT + r6::INT)")
+STEPS["other_ruled"] = ("other_flags", _text.replace("WHEN r1 OR r2 OR r3 OR r4 THEN 'BLOCK' WHEN r5 OR r6", "WHEN r2 OR r4 THEN 'BLOCK' WHEN r1 OR r3 OR r5 OR r6").replace("FROM flags", "FROM other_flags"))
+
 MONEY = "round(sum(amount_usd), 2)::DOUBLE"
 FLAGGED, BLOCKED = "count(*) FILTER (decision = 'FLAG')", "count(*) FILTER (decision = 'BLOCK')"
 SILVER_OUT = "transaction_id, client_id, card_id, device_id, fx_rate::DOUBLE AS fx_rate, amount_usd::DOUBLE AS amount_usd, currency, txn_type, status, country_src, t AS event_time, event_date"
@@ -141,6 +149,18 @@ SELECTS = {
     "mt3_conditions": ("rates", "SELECT window_start, window_end, p95_duration > 30 AS batch_slow, quarantined_rate / greatest(decisions_rate, 1.0) > 0.1 AS quarantine_high, alerts_rate / greatest(decisions_rate, 1.0) > 0.25 AS alert_spike, feature_rows_rate = 0 AND decisions_rate > 0 AS features_stalled FROM rates"),
     "a13_retried_batches": ("silver", f"SELECT transaction_id, CASE WHEN {LATE} THEN 'second' ELSE 'first' END AS batch_token FROM silver"),
     "a19_replaced_days": ("decided", f"SELECT event_date, client_id, count(*) AS txn_count, {MONEY} AS total_amount_usd, {FLAGGED} AS flagged_count, {BLOCKED} AS blocked_count, max(risk_score)::BIGINT AS max_risk_score, count(DISTINCT country_src) AS distinct_countries, count(DISTINCT device_id) AS distinct_devices FROM decided WHERE event_date <> '2026-09-02' GROUP BY 1, 2"),
+    "a15_alert_stream": ("decided", "SELECT 'tok:' || transaction_id AS alert_id, client_id, decision, risk_score::BIGINT AS risk_score, amount_usd::DOUBLE AS amount_usd FROM decided WHERE decision <> 'PASS'"),
+    "a18_export": ("decided", f"SELECT transaction_id, decision, risk_score::BIGINT AS risk_score, CASE WHEN {LATE} THEN 'late' ELSE 'early' END AS batch_token FROM decided WHERE event_date = '2026-09-02'"),
+    "a23_catalog_tables": ("decided", f"SELECT event_date, CASE WHEN {LATE} THEN 'late' ELSE 'early' END AS batch_part, count(*) AS rows, sum(risk_score)::BIGINT AS risk FROM decided GROUP BY 1, 2"),
+    "q6_daily_reports": ("raw", """SELECT strftime(make_timestamp(kafka_sec * 1000000), '%Y-%m-%d') AS event_date, kind AS expectation, c AS "column", count(*) FILTER (bad) = 0 AS success, count(*) FILTER (bad) AS unexpected_count, count(*) AS element_count
+        FROM (SELECT kafka_sec, unnest([{'kind': 'not_null', 'c': 'Clt_id', 'k': 1, 'bad': Clt_id IS NULL}, {'kind': 'not_null', 'c': 'Currency', 'k': 2, 'bad': Currency IS NULL}, {'kind': 'bounded_below', 'c': 'Trans_amount', 'k': 3, 'bad': Trans_amount <= 0}, {'kind': 'bounded_below', 'c': 'Trans_amount', 'k': 4, 'bad': Trans_amount < 500}], recursive := true) FROM raw) GROUP BY 1, kind, c, k"""),
+    "r6_configured_rules": ("other_ruled", f"SELECT {RULE_OUT} FROM other_ruled"),
+    "v5_report": ("matched_", """WITH k AS (SELECT count(*) FILTER (decision <> 'PASS' AND is_fraud = 1) AS tp, count(*) FILTER (decision <> 'PASS' AND is_fraud = 0) AS fp, count(*) FILTER (decision = 'PASS' AND is_fraud = 1) AS fn, count(*) FILTER (decision = 'PASS' AND is_fraud = 0) AS tn FROM matched_)
+        SELECT 'counts' AS part, name, n, NULL::DOUBLE AS value FROM k UNPIVOT (n FOR name IN (tp, fp, fn, tn))
+        UNION ALL SELECT 'rates', unnest(['precision', 'recall', 'f1']), NULL, unnest([round(tp / (tp + fp)::DOUBLE, 9), round(tp / (tp + fn)::DOUBLE, 9), round(2 * tp / (2 * tp + fp + fn)::DOUBLE, 9)]) FROM k
+        UNION ALL SELECT 'size', unnest(['n_matched', 'n_decisions', 'n_labels']), unnest([(SELECT count(*) FROM matched_), (SELECT count(*) FROM ruled), (SELECT count(*) FROM labels_)]), NULL
+        UNION ALL SELECT 'pattern', pattern, count(*), round(avg(CASE WHEN decision <> 'PASS' THEN 1.0 ELSE 0 END)::DOUBLE, 9) FROM matched_ WHERE is_fraud = 1 GROUP BY pattern
+        UNION ALL SELECT 'rule', rule, count(*), round(avg(is_fraud)::DOUBLE, 9) FROM (SELECT is_fraud, unnest(matched) AS rule FROM matched_) GROUP BY rule"""),
     "a26_compaction": ("silver", "SELECT transaction_id, CASE WHEN currency = 'EGP' THEN 'open' ELSE 'card' || card_id END AS batch_token, CASE WHEN currency = 'EGP' THEN 'open' ELSE 'compacted' END AS batch_part FROM silver"),
     "m6_member_metrics": ("member_scores", """SELECT member, round(auc, 9) AS auc, round(auprc, 9) AS auprc, round(coalesce(tp / nullif(tp + fp, 0)::DOUBLE, 0), 9) AS precision, round(coalesce(tp / nullif(tp + fn, 0)::DOUBLE, 0), 9) AS recall, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0)::DOUBLE, 0), 9) AS f1
         FROM (SELECT member, count(*) FILTER (s >= 0.7 AND is_fraud = 1) AS tp, count(*) FILTER (s >= 0.7 AND is_fraud = 0) AS fp, count(*) FILTER (s < 0.7 AND is_fraud = 1) AS fn,
@@ -186,6 +206,8 @@ def sql(name: str) -> str:
     for step in needs.split():
         visit(step)
     head = ", ".join(f"{s} AS ({STEPS[s][1]})" for s in order)
+    if head and select.startswith("WITH "):
+        return f"WITH {head}, {select[5:]}"
     return f"WITH {head} {select}" if head else select
 
 

@@ -17,11 +17,11 @@ from tallyguard.config import QualityContract, RulesConfig
 from tallyguard.operators import evaluate, features, gold, history, monitoring, quality, rules, scoring, serving, silver, sketches, slices
 from tallyguard.operators.models import class_weights, dataset_signature, member_metrics, time_cutoff, time_split
 from tallyguard.plans import oracles
-from tallyguard.schemas import FEATURE_NAMES
+from tallyguard.schemas import DECISIONS, FEATURE_NAMES
 from tallyguard.sources import adapter, decode, readers
 from tallyguard.store import TableStore, missing_tokens
 from tallyguard.streaming import client_state
-from tallyguard.streaming.processor import BatchProcessor, run_stream
+from tallyguard.streaming.processor import BatchProcessor, alert_stream, run_stream
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -208,6 +208,41 @@ def a26_compaction(spark, sf_dir):
     return parts.select("transaction_id", "batch_token", "batch_part")
 
 
+def a15_alert_stream(spark, sf_dir):
+    """Alerts that are delivered twice, consumed by the stream that stores each once."""
+    base = scratch(spark, "alerts")
+    alerts = serving.build_alerts(decided(spark, sf_dir), "tok")
+    for _ in range(2):
+        alerts.write.mode("append").parquet(f"{base}/topic")
+    topic = readers.read_stream(spark, f"{base}/topic", schema=alerts.schema, per_trigger=1_000_000)
+    alert_stream(topic, f"{base}/inbox", f"{base}/checkpoint").awaitTermination()
+    return flat(spark.read.parquet(f"{base}/inbox").select("alert_id", "client_id", "decision", "risk_score", "amount_usd"))
+
+
+def _decisions_stored(spark, sf_dir) -> TableStore:
+    store = TableStore(spark, scratch(spark, "lake"))
+    for token, side in zip(("late", "early"), _sides(stored(decided(spark, sf_dir).select(*DECISIONS.fieldNames()), "decisions"))):
+        store.write_batch("decisions", side, token)
+        store.commit(token)
+    return store
+
+
+def a18_export(spark, sf_dir):
+    """One day's decisions, exported."""
+    store = _decisions_stored(spark, sf_dir)
+    store.export_decisions("2026-09-02", store.path("export"))
+    return flat(spark.read.parquet(store.path("export")).select("transaction_id", "decision", "risk_score", "batch_token"))
+
+
+def a23_catalog_tables(spark, sf_dir):
+    """The decisions as an external table of the catalog, by day and batch."""
+    store, name = _decisions_stored(spark, sf_dir), f"lake_{uuid.uuid4().hex}"
+    store.create_tables(name)
+    found = stored(spark.table(f"{name}.decisions").groupBy("event_date", "batch_part").agg(F.count("*").alias("rows"), F.sum("risk_score").alias("risk")), "found")
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+    return flat(found)
+
+
 def a16_alert_dedup(spark, sf_dir):
     rows = decided(spark, sf_dir).withColumn("alert_id", F.concat_ws(":", F.lit("tok"), "transaction_id"))
     alerts = serving.build_alerts(rows.drop("alert_id"), "tok")
@@ -445,6 +480,15 @@ def r1_apply_rules(spark, sf_dir):
     return flat(rules.apply_rules(silver_of(spark, sf_dir)).select("transaction_id", "matched_rules", "risk_score", "decision"))
 
 
+#: Rules as a settings file may give them.
+OTHER_RULES = RulesConfig(high_amount_usd=5000, structuring_min_usd=2000, structuring_max_usd=4000, structuring_count=2, structuring_seconds=7200, travel_seconds=86400, mule_ratio="0.50", mule_min_deposit_usd=1000, velocity_count=2, velocity_seconds=3600, new_device_usd=1000, far_countries=("Jordan",), severity={"HIGH_AMOUNT": "MEDIUM", "STRUCTURING": "HIGH", "IMPOSSIBLE_TRAVEL": "MEDIUM", "MULE": "HIGH", "VELOCITY": "MEDIUM", "NEW_DEVICE_HIGH_VALUE": "MEDIUM"}, weights={"HIGH": 60, "MEDIUM": 15})
+
+
+def r6_configured_rules(spark, sf_dir):
+    """Rules under other settings."""
+    return flat(rules.apply_rules(silver_of(spark, sf_dir), OTHER_RULES).select("transaction_id", "matched_rules", "risk_score", "decision"))
+
+
 def r5_ensemble_policy(spark, sf_dir):
     return flat(decided(spark, sf_dir).select("transaction_id", "ml_probability", "risk_score", "decision"))
 
@@ -464,6 +508,12 @@ def q4_quality_report(spark, sf_dir):
     return quality.validation_report(silver_of(spark, sf_dir))
 
 
+def q6_daily_reports(spark, sf_dir):
+    """The contract of every day, over raw rows with their faults."""
+    rows = raw(spark, sf_dir).withColumn("event_date", F.to_date("kafka_timestamp"))
+    return flat(quality.daily_reports(rows, QualityContract(("Clt_id", "Currency"), (("Trans_amount", 0, True), ("Trans_amount", 500, False)))))
+
+
 def q2_raw_quality(spark, sf_dir):
     return quality.validation_report(raw(spark, sf_dir), QualityContract(("Clt_id",), (("Trans_amount", 0, True),)))
 
@@ -484,6 +534,14 @@ def v4_precision_by_rule(spark, sf_dir):
     return evaluate.precision_by_rule(labelled(spark, sf_dir))
 
 
+def v5_report(spark, sf_dir):
+    """The evaluation report as rows: (part, name, n, value)."""
+    made = evaluate.report(stored(ruled(spark, sf_dir).select("transaction_id", "decision", "matched_rules"), "decided"), stored(adapter.fraud_labels(spark, sf_dir), "labels"))
+    rows = [("counts", k, made["counts"][k], None) for k in ("tp", "fp", "fn", "tn")] + [("rates", k, None, made["counts"][k]) for k in ("precision", "recall", "f1")] + [("size", k, made[k], None) for k in ("n_matched", "n_decisions", "n_labels")]
+    rows += [("pattern", r["pattern"], r["n"], r["recall"]) for r in made["per_pattern_recall"]] + [("rule", r["rule"], r["fired"], r["precision"]) for r in made["per_rule_precision"]]
+    return rounded(spark.createDataFrame(rows, "part string, name string, n bigint, value double"), value=9)
+
+
 def m3_time_split(spark, sf_dir):
     train, check = time_split(silver_of(spark, sf_dir), exact=True)
     both = train.select(F.lit(True).alias("early")).union(check.select(F.lit(False)))
@@ -573,7 +631,7 @@ QUERIES = {
         c1_drop_committed, c2_touched_history, c3_batch_of_history, c5_labelled_decisions,
         d1_customer_daily_risk, d2_daily_kpis, d4_daily_kpis_view, d5_client_risk_view, d6_feature_monitoring_view, d7_model_monitoring_view, d8_decision_counts, d10_offset_summary, d11_batch_token, d12_distinct_clients, d13_deduplicate, d14_dataset_signature, d15_class_counts, d16_time_cutoff, d17_min_event_time,
         e1_features, e15_latest_per_client, r1_apply_rules, r5_ensemble_policy, j1_alerts, u1_history_union, q4_quality_report, q2_raw_quality, q7_recovery_check, v1_confusion, v3_recall_by_pattern, v4_precision_by_rule, m3_time_split, m4_class_weights, d7_approximate_view, d16_approximate_cutoff, mt2_rolling_rates, mt3_conditions,
-        a13_retried_batches, a14_state_buckets, a19_replaced_days, a26_compaction, c1_id_ledger, e1_sliced_features, r1_sliced_rules, m6_member_metrics, mt3_sustained, st1_stream_run, st11_client_state, d7_range_quantiles, m9_exported_scores,
+        a13_retried_batches, a14_state_buckets, a19_replaced_days, a26_compaction, c1_id_ledger, e1_sliced_features, r1_sliced_rules, m6_member_metrics, mt3_sustained, st1_stream_run, st11_client_state, d7_range_quantiles, m9_exported_scores, a15_alert_stream, a18_export, a23_catalog_tables, q6_daily_reports, r6_configured_rules, v5_report,
     )
 }
 QUERIES |= {name: _flag(*x) for name, x in _FLAGS.items()} | {"k1_flagship": flagship}

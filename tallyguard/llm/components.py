@@ -49,13 +49,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     a, b = edges.columns[:2]
     now = checkpoint(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct())
-    mark, total = None, now.count()
+    # Stars don't change any more: equal row counts and equal order-free sums of the rows' hashes.
+    told = lambda: tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    mark = told()
+    total = mark[0]
     for _ in range(MAX_ROUNDS if total else 0):
         parts = now.rdd.getNumPartitions()
         hooked = checkpoint(_large_star(now, total).coalesce(2 * parts))
         now = checkpoint(_small_star(hooked, total).coalesce(2 * parts).distinct())
-        # Stars don't change any more: equal row counts and equal order-free sums of the rows' hashes.
-        new = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        new = told()
         if new == mark:
             break
         mark, total = new, new[0]

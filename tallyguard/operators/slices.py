@@ -7,10 +7,11 @@ another way to the same columns, on which no task holds a client:
   cells, a window partition for each client and day with the cells of the neighbouring hours as a halo: at most one cell a second.
 * Row frames (the last 30 rows, the row before) run over slices of a client's rows: a day, or a stretch of about SLICE_ROWS rows of it, cut
   between two seconds by the running count over the cells. Each slice takes over the last 30 rows before it, from the ends of the slices before.
-* Whether a device is new depends on the second of its use before: a step back over the distinct seconds of (client, device).
+* Whether a device is new depends on the second of its use before: a step back over the distinct seconds of (client, device, day), or the
+  last of an earlier day.
 
-What is left in one task is a single second of a client, one row of each of its slices' ends (a row in thousands), and the distinct
-seconds of one of its devices. Rows whose client or time is null are not in Silver; here they stay with the small clients.
+What is left in one task is a single second of a client, the ends of its slices (PRIOR_ROWS rows in SLICE_ROWS), a day's seconds of it or of one of its
+devices, and a row for each day. Rows whose client or time is null are not in Silver; here they stay with the small clients.
 """
 
 from __future__ import annotations
@@ -61,8 +62,12 @@ def time_frames(rows: DataFrame, config: RulesConfig, slice_rows: int) -> DataFr
 
 def device_gaps(rows: DataFrame) -> DataFrame:
     """(client_id, device_id, _t, seconds since the device's use before that second)."""
-    uses = rows.where("device_id is not null").select("client_id", "device_id", features.seconds().alias("_t")).distinct()
-    return uses.withColumn("_gap", F.col("_t") - F.lag("_t").over(Window.partitionBy("client_id", "device_id").orderBy("_t")))
+    uses = rows.where("device_id is not null").select("client_id", "device_id", features.seconds().alias("_t")).distinct().withColumn("_day", F.floor(F.col("_t") / F.lit(DAY)))
+    days = uses.groupBy("client_id", "device_id", "_day").agg(F.max("_t").alias("_last"))
+    days = days.select("client_id", "device_id", "_day", F.lag("_last").over(Window.partitionBy("client_id", "device_id").orderBy("_day")).alias("_before"))
+    today = F.lag("_t").over(Window.partitionBy("client_id", "device_id", "_day").orderBy("_t"))
+    known = uses.withColumn("_today", today).join(days, ["client_id", "device_id", "_day"])
+    return known.select("client_id", "device_id", "_t", (F.col("_t") - F.coalesce("_today", "_before")).alias("_gap"))
 
 
 #: What a slice takes over of the rows before it.
@@ -74,9 +79,11 @@ def carried(sliced: DataFrame) -> DataFrame:
     rows = sliced.select("client_id", "_day", "_part", *CARRIED)
     backwards = Window.partitionBy("client_id", "_day", "_part").orderBy(F.desc("event_time"), F.desc("transaction_id"))
     ends = rows.withColumn("_back", F.row_number().over(backwards)).where(F.col("_back") <= features.PRIOR_ROWS)
+    # A slice's end goes to each slice that begins among the next PRIOR_ROWS ends: nearly always one.
+    first = F.row_number().over(Window.partitionBy("client_id", "_day", "_part").orderBy("event_time", "transaction_id")) == 1
     order = Window.partitionBy("client_id").orderBy("_day", "_part", "event_time", "transaction_id")
-    held = ends.select("client_id", "_day", "_part", F.collect_list(F.struct(*CARRIED)).over(order.rowsBetween(-features.PRIOR_ROWS, -1)).alias("_rows"), F.row_number().over(Window.partitionBy("client_id", "_day", "_part").orderBy("event_time", "transaction_id")).alias("_n"))
-    return held.where("_n = 1").select("client_id", "_day", "_part", F.inline("_rows"))
+    begun = F.collect_list(F.when(F.col("_first"), F.struct("_day", "_part"))).over(order.rowsBetween(1, features.PRIOR_ROWS))
+    return ends.withColumn("_first", first).withColumn("_to", begun).select("client_id", *CARRIED, F.inline("_to"))
 
 
 def sliced_frames(rows: DataFrame, config: RulesConfig, slice_rows: int = SLICE_ROWS) -> tuple[DataFrame, dict[str, Column]]:

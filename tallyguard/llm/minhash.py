@@ -17,7 +17,8 @@ Verification is on the full shingle sets (64-bit hashes of the words' hashes), n
 4. Larger ones that overlap are merged, and split by an exact prefix filter: of two sets that a link joins, each has a value in common
    with the other among its rarest ones, as many as it may lack of the other and one more. Rare is what few members of the group hold (by
    a table of bounded size; any order would be exact), so texts that merely share a passage don't meet again, and their sets
-   aren't moved. Those that do meet are compared as in 3, over BLOCK members in block pairs.
+   aren't moved. Those that do meet are compared as in 3, in pairs of blocks of BLOCK_SETS sets: a set of a group of c travels c / BLOCK_SETS times.
+   A group whose members share nearly all, so that they would meet under very many rare values, is compared whole in the same way if that moves fewer sets.
 5. The components of all links are the classes.
 
 No group meets in one task: buckets are counted by combined aggregation, hot pivots are salted, large buckets split
@@ -45,6 +46,8 @@ from tallyguard.llm.textops import LOWER, chunks, mix, prefix_hash, shingles, sp
 BINS = 128
 BANDS = 32
 BLOCK = 256
+#: A block of a group that is compared in full holds about so many sets, and so many bytes of them; one larger set is a block of its own.
+BLOCK_SETS, BLOCK_BYTES = 1024, 16 << 20
 #: Columns of a presence matrix that are held at once.
 COLUMNS = 4096
 #: The table of how many members hold a value has 2 to this power cells: 8 MB, whatever the corpus.
@@ -173,15 +176,15 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     owner = np.repeat(np.arange(m), [len(s) for s in sets])
     shared = count[at] > 1
     column = (np.cumsum(count > 1) - 1)[at[shared]]
-    owner, total = owner[shared], np.zeros((m, m), np.float64)
+    owner, total = owner[shared], np.zeros((m, m), np.int32)
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
         a, b = np.searchsorted(column, [low, low + COLUMNS])
         part = np.zeros((m, COLUMNS), np.float32)
         part[owner[a:b], column[a:b] - low] = 1
-        total += part @ part.T
-    return total.astype(np.int64)
+        total += (part @ part.T).astype(np.int32)  # at most COLUMNS, exact in 32 bits
+    return total
 
 
 def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
@@ -209,10 +212,13 @@ def _blocks(threshold: int):
             if len(docs) < 2:
                 continue
             sizes = np.array([len(s) for s in sets])
-            both = intersections(sets)
-            linked = (100 * both >= threshold * (sizes[:, None] + sizes[None, :] - both)) & (part[:, None] != part[None, :])
-            if i != j:
-                linked &= block[:, None] != block[None, :]
+            both, linked = intersections(sets), np.zeros((len(docs), len(docs)), bool)
+            for a in range(0, len(docs), BLOCK):  # few rows at a time: numbers of 64 bits
+                own = slice(a, a + BLOCK)
+                linked[own] = (100 + threshold) * both[own].astype(np.int64) >= threshold * (sizes[own, None] + sizes[None, :])
+                linked[own] &= part[own, None] != part[None, :]
+                if i != j:
+                    linked[own] &= block[own, None] != block[None, :]
             edges = np.array(_forest(linked), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(docs[edges[:, 0]]), pa.array(docs[edges[:, 1]])], names=["a", "b"])
 
@@ -239,23 +245,23 @@ def _prefixes(threshold: int, held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = received(held)
         for batch in batches:
-            out = [[], [], [], []]
+            out = [[], [], [], [], []]
             for gid, doc, part, own in zip(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(), _sets(batch.column(3)), strict=True):
                 size = len(own) - -(-threshold * len(own) // 100) + 1
                 rare = own[np.lexsort((own, table[_cells(np.full(len(own), gid), own)]))[:size]].view(np.int64)
-                for column, x in zip(out, (np.full(len(rare), gid), rare, np.full(len(rare), doc), np.full(len(rare), part)), strict=True):
+                for column, x in zip(out, (np.full(len(rare), gid), rare, np.full(len(rare), doc), np.full(len(rare), part), np.full(len(rare), len(own))), strict=True):
                     column.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in out], names=["gid", "value", "doc", "part"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *x])) for x in out], names=["gid", "value", "doc", "part", "n"])
 
     return run
 
 
 def rare_buckets(members: DataFrame, threshold: int) -> DataFrame:
-    """(gid, value, doc, part): buckets of members (gid, doc, part, set) in which any two of one gid that link meet."""
+    """(gid, value, doc, part, n): buckets of members (gid, doc, part, set) of n values in which any two of one gid that link meet."""
     table = np.zeros(1 << RARE_BITS, np.int64)
     counted = members.mapInArrow(_holders, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # a row for each cell
     table[counted["cell"].to_numpy()] = counted["n"].to_numpy()
-    return members.mapInArrow(_prefixes(threshold, send(members.sparkSession, table)), "gid long, value long, doc long, part long")
+    return members.mapInArrow(_prefixes(threshold, send(members.sparkSession, table)), "gid long, value long, doc long, part long, n long")
 
 
 def _unsettled(members: DataFrame, *keys: str) -> DataFrame:
@@ -265,13 +271,14 @@ def _unsettled(members: DataFrame, *keys: str) -> DataFrame:
 
 
 def _once(buckets: DataFrame, *keys: str) -> DataFrame:
-    """One of the buckets with the same members."""
-    return buckets.groupBy("who", "c", "least").agg(F.min(F.struct(*keys)).alias("k")).select("k.*")
+    """One of the buckets with the same members, and their number ``c``."""
+    return buckets.groupBy("who", "c", "least").agg(F.min(F.struct(*keys)).alias("k")).select("k.*", "c")
 
 
 def _compared(groups: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """Links between members of different parts of groups (gid, doc, part), each compared in full, in block pairs."""
-    blocks = groups.groupBy("gid").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    """Links between members of different parts of groups (gid, doc, part, n), each compared in full, in block pairs."""
+    size = F.greatest(F.count("*") / BLOCK_SETS, 8 * F.sum("n") / BLOCK_BYTES)
+    blocks = groups.groupBy("gid").agg(F.ceil(size).cast("int").alias("blocks"))
     dealt = groups.join(maybe_broadcast(checkpoint(blocks)), "gid").withColumn("block", F.expr("cast(pmod(hash(doc), blocks) as int)")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("gid", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc", "part").join(sets, "doc").select("gid", "i", "j", "block", "doc", "part", "set")
     return _by(dealt, "gid", "i", "j").mapInArrow(_blocks(threshold), "a long, b long")
@@ -303,22 +310,32 @@ def near_duplicates(docs: DataFrame, k: int = 5, threshold: int = 80) -> DataFra
     links = checkpoint(_by(star, "a", "salt").mapInArrow(_star(threshold), "a long, b long"))
     found = connected_components(links)
     # Buckets that one component does not cover: compare their members in full.
-    parted = members.select("key", "c", "rep").join(maybe_broadcast(found.select(F.col("node").alias("rep"), "component")), "rep", "left").select("key", "c", F.col("rep").alias("doc"), F.coalesce("component", "rep").alias("part"))
+    parted = members.select("key", "c", "rep", "n").join(maybe_broadcast(found.select(F.col("node").alias("rep"), "component")), "rep", "left").select("key", "c", F.col("rep").alias("doc"), "n", F.coalesce("component", "rep").alias("part"))
     parted = checkpoint(parted)
     unsettled = checkpoint(_unsettled(parted, "key").where("c > 2"))
     small = _once(unsettled.where(F.col("c") <= BLOCK), "key")
-    groups = checkpoint(parted.join(maybe_broadcast(checkpoint(small)), "key", "left_semi").select(F.col("key").alias("gid"), "doc", "part"))
+    groups = checkpoint(parted.join(maybe_broadcast(checkpoint(small)), "key", "left_semi").select(F.col("key").alias("gid"), "doc", "part", "n"))
     more = [] if groups.isEmpty() else [_compared(groups, sets, threshold)]
     large = unsettled.where(F.col("c") > BLOCK).select("key", "least")
     spread = checkpoint(parted.join(maybe_broadcast(checkpoint(large)), "key").select("doc", "part", "least"))
     if not spread.isEmpty():
         merged = connected_components(spread.select("doc", "least"))
         members = spread.select("doc", "part").distinct().join(merged, F.col("doc") == F.col("node")).select(F.col("component").alias("gid"), "doc", "part")
-        rare = checkpoint(rare_buckets(checkpoint(members.join(sets, "doc").select("gid", "doc", "part", "set")), threshold))
+        held = checkpoint(members.join(sets, "doc").select("gid", "doc", "part", "set"))
+        rare = checkpoint(rare_buckets(held, threshold))
         meet = checkpoint(_once(_unsettled(rare, "gid", "value"), "gid", "value"))
-        groups = checkpoint(rare.join(maybe_broadcast(meet), ["gid", "value"], "left_semi").select(F.xxhash64("gid", "value").alias("gid"), "doc", "part"))
-        if not groups.isEmpty():
-            more.append(_compared(groups, sets, threshold))
+        # Texts that share nearly all meet under many rare values. Where that would move more sets than the whole group, it is compared whole.
+        moved = lambda c: c * F.ceil(c / BLOCK_SETS)
+        split = meet.groupBy("gid").agg(F.sum(moved(F.col("c"))).alias("split"))
+        whole = checkpoint(held.groupBy("gid").agg(F.count("*").alias("c")).join(maybe_broadcast(checkpoint(split)), "gid").where(moved(F.col("c")) < F.col("split")).select("gid"))
+        apart = checkpoint(meet.join(maybe_broadcast(whole), "gid", "left_anti").select("gid", "value"))
+        for groups in (
+            held.join(maybe_broadcast(whole), "gid", "left_semi").select("gid", "doc", "part", (F.octet_length("set") / 8).cast("long").alias("n")),
+            rare.join(maybe_broadcast(apart), ["gid", "value"], "left_semi").select(F.xxhash64("gid", "value").alias("gid"), "doc", "part", "n"),
+        ):
+            groups = checkpoint(groups)
+            if not groups.isEmpty():
+                more.append(_compared(groups, sets, threshold))
     if more:
         for found_links in more:
             links = links.union(found_links)

@@ -146,6 +146,28 @@ def test_texts_that_share_a_passage_are_not_compared_in_pairs(spark, monkeypatch
     assert sum(asked) <= 2 * len(texts)
 
 
+@pytest.mark.parametrize("block_sets, block_bytes", [(1024, 16 << 20), (64, 16 << 20), (1024, 4000)])
+def test_near_copies_just_under_the_threshold_move_few_sets(spark, monkeypatch, block_sets, block_bytes):
+    """300 copies of one text, most of them a little too far apart: the group of their large buckets is compared whole."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    monkeypatch.setattr(minhash, "BLOCK_SETS", block_sets)
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", block_bytes)
+    asked, made = [], minhash._compared
+    monkeypatch.setattr(minhash, "_compared", lambda groups, *more: asked.append(groups.count()) or made(groups, *more))
+    rng = random.Random(16)
+    texts = {}
+    for i in range(300):
+        w = [f"w{k}" for k in range(90)]
+        for _ in range(rng.choice([1, 2, 3, 3, 3, 4])):
+            w[rng.randrange(90)] = f"x{rng.randrange(10**6)}"
+        texts[i] = " ".join(w)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, k=3, threshold=85).collect()}
+    want = brute.components(texts, 3, 85)
+    assert got == want and len(set(want.values())) > 3
+    assert asked[-1] == len(texts)  # the group of large buckets, once; small buckets come before
+
+
 def test_one_id_on_two_texts(spark):
     rows = [(1, "a b c d e f g"), (1, "h i j k l m n"), (2, "h i j k l m n"), (3, "a b c d e f g"), (4, "a b c d e f g h")]
     df = spark.createDataFrame(rows * 2, "doc_id long, text string")

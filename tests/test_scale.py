@@ -256,3 +256,60 @@ def test_client_state_equals_windows_and_expires(spark, tmp_path):
     assert got[3001]["seconds_since_prev_txn"] == 70 and got[3001]["avg_amount_prior_30"] == 10
     totals = [max(o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"]) for q in queries]
     assert totals[-1] < totals[0]
+
+
+class FakeState:
+    """A state handle in memory that counts its calls."""
+
+    def __init__(self):
+        self.held, self.value, self.timers, self.calls = {}, None, [], 0
+
+    getValueState = getMapState = lambda self, *x: self
+
+    def _call(self, made):
+        self.calls += 1
+        return made
+
+    def get(self):
+        return self._call(self.value)
+
+    def update(self, value):
+        self.value = self._call(value)
+
+    def getValue(self, key):
+        return self._call(self.held.get(key))
+
+    def updateValue(self, key, value):
+        self.held[key] = self._call(value)
+
+    def removeKey(self, key):
+        self._call(self.held.pop(key))
+
+    def iterator(self):
+        return self._call(iter(list(self.held.items())))
+
+    def registerTimer(self, end):
+        self._call(self.timers.append(end))
+
+
+def test_client_state_calls_do_not_grow_with_rows():
+    def batch(state, uses):
+        made, rows = client_state.ClientFeatures(), [{"transaction_id": i, "_seconds": s, "device_id": d, "amount_usd": 1, "country_src": "Egypt", "event_time": None} for i, (s, d) in enumerate(uses)]
+        made.init(state)
+        state.calls = 0
+        return [r["device_new_30d"] for r in made.handleInputRows((1,), iter(rows), None)]
+
+    state, rng, day = FakeState(), random.Random(5), 86400
+    batch(state, [(s, s % 5) for s in range(100)])
+    assert batch(state, [(day + s, s % 5) for s in range(100)]) == [0] * 100 and state.calls == 2 and len(state.timers) == 1
+    # More devices than the value holds, some of them unused for longer than 30 days.
+    state, last, first = FakeState(), {}, True
+    for k in range(40):
+        uses = [(k * 2 * day + s, rng.randrange(120)) for s in sorted(rng.sample(range(day), 30))]
+        want = []
+        for s, d in uses:
+            want.append(float(not first and (d not in last or s - last[d] > features.DEVICE_SECONDS)))
+            last[d], first = s, False
+        assert batch(state, uses) == want
+    assert len(state.value[7]) == client_state.NEAR_DEVICES
+    assert all(last[d] >= last[uses[-1][1]] - features.DEVICE_SECONDS - 3 * day for (d,) in state.held)

@@ -70,8 +70,19 @@ def silver_of(spark, sf_dir):
     return silver.to_silver(silver.split_valid_invalid(raw(spark, sf_dir))[0])
 
 
+#: A window task sorts its rows several times, about a kilobyte a row: so many rows at most on average, however large the table.
+WINDOW_ROWS = 250_000
+
+
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of about ``rows`` rows by client, in as many partitions as keep a task's share of them small; few rows are left to Spark.
+    A number that is asked for isn't coalesced, and windows by client need no other exchange."""
+    return df if rows <= WINDOW_ROWS else df.repartition(max(-(-rows // WINDOW_ROWS), df.sparkSession.sparkContext.defaultParallelism), "client_id")
+
+
 def featured(spark, sf_dir):
-    return features.add_features(silver_of(spark, sf_dir))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").count()  # from the files' footers
+    return features.add_features(spread(silver_of(spark, sf_dir), events))
 
 
 def ruled(spark, sf_dir):
@@ -155,16 +166,20 @@ def a9_replay(spark, sf_dir):
     return flat(readers.read_replay(spark, path)[0].select("key", "Trans_id", "Trans_amount"))
 
 
+#: What client_state() reads, and the day.
+STATE_INPUTS = ("client_id", "transaction_id", "decision", "risk_score", "matched_rules", "event_time", "event_date")
+
+
 def a14_upsert_state(spark, sf_dir):
     """The newer days first, then the older ones: no client's state goes back in time."""
-    late, early = _sides(decided(spark, sf_dir))
+    late, early = _sides(stored(decided(spark, sf_dir).select(*STATE_INPUTS), "decided"))
     return flat(serving.upsert_state(serving.client_state(late), serving.client_state(early)).drop("updated_at"))
 
 
 def a14_state_buckets(spark, sf_dir):
     """The state table after a batch of the newer days and one of the older ones, each of which replaced the buckets of its clients."""
     store = TableStore(spark, scratch(spark, "lake"))
-    late, early = _sides(decided(spark, sf_dir))
+    late, early = _sides(stored(decided(spark, sf_dir).select(*STATE_INPUTS), "decided"))
     for token, batch in (("late", late), ("early", early)):
         store.write_state(serving.client_state(batch), token)
         store.unstage(f"state-{token}")

@@ -313,3 +313,16 @@ def test_client_state_calls_do_not_grow_with_rows():
         assert batch(state, uses) == want
     assert len(state.value[7]) == client_state.NEAR_DEVICES
     assert all(last[d] >= last[uses[-1][1]] - features.DEVICE_SECONDS - 3 * day for (d,) in state.held)
+
+
+def test_window_tasks_keep_their_size(spark, sf_dir, monkeypatch):
+    """The window's one exchange has partitions for its rows, whatever number the session has for all shuffles."""
+    from tallyguard.plans import registry
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    plain_rows = rows_of(registry.a14_upsert_state(spark, sf_dir))
+    monkeypatch.setattr(registry, "WINDOW_ROWS", events // 20)
+    made = registry.featured(spark, sf_dir)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and made.rdd.getNumPartitions() >= 20
+    assert rows_of(registry.a14_upsert_state(spark, sf_dir)) == plain_rows

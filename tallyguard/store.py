@@ -240,7 +240,8 @@ class TableStore:
     def compact(self, name: str, day: datetime.date, target_bytes: int = TARGET_BYTES) -> int:
         """Rewrite one day of a table in files of about the target size; uncommitted tokens keep their parts.
 
-        The whole day is staged, then one job overwrites its folder from the copy. If that is cut short the day is incomplete until the next
+        The whole day is staged, then its folder is written anew from the copy, part by part: a job that writes one part needn't sort the rows of a
+        file by part, which it would do in memory. If that is cut short the day is incomplete until the next
         call, which begins with the copy: no row is lost or doubled. Run it while nothing else reads or writes that day. Returns the number of
         files asked for.
         """
@@ -251,7 +252,12 @@ class TableStore:
             return 0
         held = self._fold(folder, self.path(name), self.schema(name), staging).drop(date)
         files = max(1, math.ceil(sum(self._size(p) for p in parts or begun) / target_bytes))
-        self._replace(folder, held.repartition(files), {}, staging)
+        delete_path(self.spark, folder)
+        for (part,) in held.select("batch_part").distinct().collect():  # a row for each token that isn't committed, and one for the others
+            rows = held.where(F.col("batch_part") == part).drop("batch_part")
+            rows.repartition(files).write.mode("overwrite").parquet(f"{folder}/batch_part={part}")
+        for path in self._found(f"_staging/{staging}-*"):
+            delete_path(self.spark, path)
         return files
 
     def _size(self, path: str) -> int:

@@ -326,3 +326,16 @@ def test_window_tasks_keep_their_size(spark, sf_dir, monkeypatch):
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and made.rdd.getNumPartitions() >= 20
     assert rows_of(registry.a14_upsert_state(spark, sf_dir)) == plain_rows
+
+
+def test_compaction_writes_without_a_sort(spark, store, monkeypatch):
+    """No file's rows are sorted by part: each part is a job of its own."""
+    day, writes = datetime.date(2026, 9, 1), []
+    for k in range(2):
+        store.write_batch("silver", silver_frame(spark, [(10 * k + i, 0, 1, {}) for i in range(5)]), f"t{k}")
+        store.commit(f"t{k}")
+    from pyspark.sql import DataFrameWriter
+
+    made = DataFrameWriter.partitionBy
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", lambda self, *c: (writes.append(c), made(self, *c))[1])
+    assert store.compact("silver", day) == 1 and not writes and store.read("silver").count() == 10

@@ -25,12 +25,26 @@ from tallyguard.operators.history import BROADCAST_ROWS
 
 #: A client with more rows is sliced, in slices of about so many.
 HOT_ROWS, SLICE_ROWS = 1_000_000, 100_000
+#: A window task sorts its rows several times, about a kilobyte a row: so many rows at most on average, however large the table.
+WINDOW_ROWS = 250_000
 DAY = 86400
 
 
+def spread(df: DataFrame, rows: int, window_rows: int = 0) -> DataFrame:
+    """``df`` of about ``rows`` rows by client, in as many partitions as keep a task's share of them small; few rows are left to Spark.
+    A number that is asked for isn't coalesced, and windows by client need no other exchange."""
+    window_rows = window_rows or WINDOW_ROWS
+    return df if rows <= window_rows else df.repartition(max(-(-rows // window_rows), df.sparkSession.sparkContext.defaultParallelism), "client_id")
+
+
+def client_rows(rows: DataFrame) -> DataFrame:
+    """(client_id, _n, _timed): how many rows each client has, and how many of them windows over time apply to."""
+    return rows.groupBy("client_id").agg(F.count("*").alias("_n"), F.count(F.when(F.col("client_id").isNotNull() & F.col("event_time").isNotNull(), 1)).alias("_timed"))
+
+
 def hot_clients(rows: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(client_id) of the clients with more than ``hot_rows`` rows: at most one for each ``hot_rows`` of all rows."""
-    return rows.where("client_id is not null and event_time is not null").groupBy("client_id").agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select("client_id")
+    return client_rows(rows).where(F.col("_timed") > hot_rows).select("client_id")
 
 
 def _cells(rows: DataFrame, config: RulesConfig) -> DataFrame:
@@ -111,12 +125,12 @@ def decide(silver: DataFrame, config: RulesConfig | None = None, hot_rows: int =
     """Silver rows with features, matched_rules, risk_score and decision, whatever the number of a client's rows."""
     config = config or RulesConfig()
     hot = hot_clients(silver, hot_rows).select(F.col("client_id").alias("_hot"))
-    found = hot.count()
+    total, found = client_rows(silver).agg(F.sum("_n"), F.count(F.when(F.col("_timed") > hot_rows, 1))).first()
     if not found:
-        return rules.apply_rules(features.add_features(silver), config)
+        return rules.apply_rules(features.add_features(spread(silver, total or 0)), config)
     ids = F.broadcast(hot) if found <= BROADCAST_ROWS else hot
     client = F.when(F.col("event_time").isNotNull(), F.col("client_id")) == F.col("_hot")
-    return decide_both(silver.join(ids, client, "left_anti"), silver.join(ids, client, "left_semi"), config, slice_rows)
+    return decide_both(spread(silver.join(ids, client, "left_anti"), total), silver.join(ids, client, "left_semi"), config, slice_rows)
 
 
 def decide_both(few: DataFrame, many: DataFrame, config: RulesConfig, slice_rows: int = SLICE_ROWS) -> DataFrame:

@@ -70,19 +70,12 @@ def silver_of(spark, sf_dir):
     return silver.to_silver(silver.split_valid_invalid(raw(spark, sf_dir))[0])
 
 
-#: A window task sorts its rows several times, about a kilobyte a row: so many rows at most on average, however large the table.
-WINDOW_ROWS = 250_000
-
-
-def spread(df: DataFrame, rows: int) -> DataFrame:
-    """``df`` of about ``rows`` rows by client, in as many partitions as keep a task's share of them small; few rows are left to Spark.
-    A number that is asked for isn't coalesced, and windows by client need no other exchange."""
-    return df if rows <= WINDOW_ROWS else df.repartition(max(-(-rows // WINDOW_ROWS), df.sparkSession.sparkContext.defaultParallelism), "client_id")
+WINDOW_ROWS = slices.WINDOW_ROWS
 
 
 def featured(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()  # from the files' footers
-    return features.add_features(spread(silver_of(spark, sf_dir), events))
+    return features.add_features(slices.spread(silver_of(spark, sf_dir), events, WINDOW_ROWS))
 
 
 def ruled(spark, sf_dir):
@@ -475,7 +468,7 @@ def st1_stream_run(spark, sf_dir):
     base = scratch(spark, "stream")
     store = TableStore(spark, f"{base}/lake")
     sent = adapter.raw_transactions(spark, sf_dir, duplicates=True).withColumn("_day", F.to_date("kafka_timestamp"))
-    sent = stored(sent.withColumn("_day", F.when((F.col("Trans_id") % HELD_BACK == 3) & (F.col("_day") < F.lit(BATCH_FROM)), F.lit(datetime.date(2026, 12, 31))).otherwise(F.col("_day"))), "sent")
+    sent = sent.withColumn("_day", F.when((F.col("Trans_id") % HELD_BACK == 3) & (F.col("_day") < F.lit(BATCH_FROM)), F.lit(datetime.date(2026, 12, 31))).otherwise(F.col("_day")))
     for (day,) in sent.select("_day").distinct().orderBy("_day").collect():  # a row for each day
         sent.where(F.col("_day") == F.lit(day)).drop("_day").write.mode("append").parquet(f"{base}/landing")
         source = readers.read_stream(spark, f"{base}/landing", schema=sent.drop("_day").schema, per_trigger=1_000_000)

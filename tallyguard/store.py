@@ -35,6 +35,8 @@ TARGET_BYTES = 512 << 20
 ID_BUCKETS, STATE_BUCKETS = 16, 64
 #: So many ids of a batch are looked up one by one in the bloom filters, as many as the session lets through to Parquet.
 FEW_IDS = 256
+#: A batch of so many days is written day by day, one of more days in one job that sorts a task's rows by day.
+FEW_DAYS = 8
 IDS = "transaction_id bigint, batch_token string, bucket int, batch_part string"
 COMPACTED = "compacted"
 
@@ -43,6 +45,11 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key.cast("long")), F.lit(buckets)).cast("int")
 
 
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows of a schema, without the Python tasks that createDataFrame() of an empty list starts."""
+    return spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields))
+
+
 def missing_tokens(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
     """Tokens that the ledger doesn't hold yet, each once."""
     return incoming.select("batch_token").distinct().join(ledger.select("batch_token"), "batch_token", "left_anti")
@@ -78,7 +85,7 @@ class TableStore:
             if since is not None:
                 paths = [p for p in paths if p.split(f"{date}=")[-1][:10] >= since.isoformat()]
         if not paths:
-            return self.spark.createDataFrame([], self.schema(name)).drop("batch_part")
+            return empty(self.spark, self.schema(name)).drop("batch_part")
         return self.spark.read.schema(self.schema(name)).option("basePath", self.path(name)).parquet(*paths).drop("batch_part")
 
     def read(self, name: str, since: datetime.date | None = None) -> DataFrame:
@@ -107,8 +114,13 @@ class TableStore:
         """Replace this token's rows; other tokens stay."""
         _, date = TABLES[name]
         self._drop_batch(name, token)
-        tagged = rows.withColumn("batch_token", F.lit(token)).withColumn("batch_part", F.lit(token))
-        tagged.write.mode("append").partitionBy(date, "batch_part").parquet(self.path(name))
+        tagged = rows.withColumn("batch_token", F.lit(token))
+        days = [r[0] for r in rows.select(date).distinct().limit(FEW_DAYS + 1).collect()]
+        if len(days) > FEW_DAYS or None in days:
+            tagged.withColumn("batch_part", F.lit(token)).write.mode("append").partitionBy(date, "batch_part").parquet(self.path(name))
+            return
+        for day in days:  # no task sorts its rows by day
+            tagged.where(F.col(date) == F.lit(day)).drop(date).write.mode("overwrite").parquet(f"{self.path(name)}/{date}={day}/batch_part={token}")
 
     def stage(self, rows: DataFrame, name: str) -> DataFrame:
         """Rows written aside and read back: later writes to the tables that they came from don't touch them."""
@@ -129,7 +141,7 @@ class TableStore:
     # Ledger: written last, so that a batch without its marker is done again.
     def committed(self) -> DataFrame:
         path = self.path("ledger")
-        return self.spark.read.schema(schemas.LEDGER).parquet(path) if path_exists(self.spark, path) else self.spark.createDataFrame([], schemas.LEDGER)
+        return self.spark.read.schema(schemas.LEDGER).parquet(path) if path_exists(self.spark, path) else empty(self.spark, schemas.LEDGER)
 
     def is_committed(self, token: str) -> bool:
         return not self.committed().where(F.col("batch_token") == token).isEmpty()
@@ -163,7 +175,7 @@ class TableStore:
         counted = own.groupBy("bucket").agg(F.count("*").alias("n")).collect()  # a row for each bucket
         paths = [p for r in counted if path_exists(self.spark, p := f"{self.path('ids')}/bucket={r['bucket']}")]
         if not paths:
-            return self.spark.createDataFrame([], IDS).select("transaction_id", "batch_token")
+            return empty(self.spark, T.StructType.fromDDL(IDS)).select("transaction_id", "batch_token")
         found = self.spark.read.schema(IDS).option("basePath", self.path("ids")).parquet(*paths).select("transaction_id", "batch_token")
         if sum(r["n"] for r in counted) <= FEW_IDS:
             found = found.where(F.col("transaction_id").isin([r["transaction_id"] for r in own.collect()]))

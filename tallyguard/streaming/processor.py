@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
@@ -30,6 +33,12 @@ def deduplicated(stream: DataFrame) -> DataFrame:
     return stream.withWatermark("kafka_timestamp", WATERMARK).dropDuplicatesWithinWatermark(["Trans_id"])
 
 
+def together(*writes: Callable) -> list:
+    """Results of writes that don't depend on each other, made at the same time. All have ended when an error is raised."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        return [made.result() for made in [pool.submit(inheritable_thread_target(w)) for w in writes]]
+
+
 @dataclass
 class BatchProcessor:
     store: TableStore
@@ -43,19 +52,23 @@ class BatchProcessor:
     def __call__(self, batch: DataFrame, batch_id: int) -> str | None:
         """Process one batch; the token, or None if there was nothing to do."""
         began, store = time.time(), self.store
-        batch = batch.persist()
-        judged = silver.add_dq_errors(silver.deduplicate(batch)).persist()
+        batch, judged = batch.persist(), None
         try:
-            if batch.isEmpty():
+            rows, most = batch.groupBy("Trans_id").agg(F.count("*").alias("n")).agg(F.sum("n"), F.max("n")).first()
+            if not rows:
                 return None
             token = history.batch_token(batch, batch_id)
             if store.is_committed(token):
                 return token
             store.clear(token)
-            store.write_batch("bronze", batch.withColumn("ingest_date", F.to_date("kafka_timestamp")), token)
-            store.write_batch("quarantine", silver.rejected(judged).withColumn("quarantine_date", F.to_date("quarantined_at")), token)
+            # The stream has dropped repeats already; a batch without any isn't shuffled.
+            judged = silver.add_dq_errors(silver.deduplicate(batch) if most > 1 else batch).persist()
+            _, _, fresh = together(
+                lambda: store.write_batch("bronze", batch.withColumn("ingest_date", F.to_date("kafka_timestamp")), token),
+                lambda: store.write_batch("quarantine", silver.rejected(judged).withColumn("quarantine_date", F.to_date("quarantined_at")), token),
+                lambda: store.stage(self._fresh(silver.to_silver(silver.accepted(judged)), token), f"fresh-{token}"),
+            )
             counts = {"quarantined": store.read_batch("quarantine", token).count()}
-            fresh = store.stage(self._fresh(silver.to_silver(silver.accepted(judged)), token), f"fresh-{token}")
             if not fresh.isEmpty():
                 counts |= self._decide(fresh, token)
             store.unstage(f"fresh-{token}")
@@ -65,7 +78,8 @@ class BatchProcessor:
             store.unstage(f"state-{token}")
             return token
         finally:
-            judged.unpersist()
+            if judged is not None:
+                judged.unpersist()
             batch.unpersist()
 
     def _fresh(self, batch: DataFrame, token: str) -> DataFrame:
@@ -74,18 +88,20 @@ class BatchProcessor:
 
     def _decide(self, fresh: DataFrame, token: str) -> dict:
         store = self.store
-        past = history.touched_history(fresh, store.read("silver", since=history.first_day(fresh))).drop("batch_token")
+        past = history.touched_history(fresh, store.read("silver", since=history.first_day(fresh))).select(*history.COLUMNS)
         scored = history.only_batch(slices.decide(history.with_history(fresh, past), self.rules))
         scored = models.score(scored, self.models, self.ensemble) if self.models else rules.without_model(scored)
         by = {f"{d.lower()}_count": count_where(F.col("decision") == d) for d in ("PASS", "FLAG", "BLOCK")}
         scored = store.stage(scored, f"scored-{token}")
-        store.write_batch("decisions", scored, token)
-        store.write_batch("silver", scored.select(*SILVER.fieldNames()), token)
-        store.write_batch("features", scored.select(*FEATURES.fieldNames()), token)
-        store.write_ids(scored, token)
-        store.write_state(serving.client_state(scored), token)
-        # One aggregate over the staged rows' few columns. (An Observation in a session breaks MLlib's evaluators there.)
-        counts = scored.agg(*(c.alias(n) for n, c in by.items()), F.avg("ml_probability").alias("avg_ml_probability"), F.count(F.lit(1)).alias("feature_rows")).first().asDict()
+        *_, counts = together(
+            lambda: store.write_batch("decisions", scored, token),
+            lambda: store.write_batch("silver", scored.select(*SILVER.fieldNames()), token),
+            lambda: store.write_batch("features", scored.select(*FEATURES.fieldNames()), token),
+            lambda: store.write_ids(scored, token),
+            lambda: store.write_state(serving.client_state(scored), token),
+            # One aggregate over the staged rows' few columns. (An Observation in a session breaks MLlib's evaluators there.)
+            lambda: scored.agg(*(c.alias(n) for n, c in by.items()), F.avg("ml_probability").alias("avg_ml_probability"), F.count(F.lit(1)).alias("feature_rows")).first().asDict(),
+        )
         counts["alerts"] = counts["flag_count"] + counts["block_count"]
         if counts["alerts"]:
             self._alert(serving.build_alerts(scored, token), token)

@@ -16,7 +16,8 @@ that decoding is exact for every text (the public library makes it a space).
 
 Pieces hold U+2581 only at their start and no line break, so a segmentation can't cross the beginning of a run of spaces
 or a line break: the segmentation of a text is that of its segments, each worked out once and remembered
-(up to CACHE segments in a task). A model for which this is not so is rejected, and so is a merge-trained one with unused pieces.
+(up to CACHE segments in a Python worker, over its tasks). A segment is cut once more between two characters that no piece holds side by side, since no merge
+can cross there: a word is worked out once, whatever marks follow it. A model for which this is not so is rejected, and so is a merge-trained one with unused pieces.
 
 The model is a parameter and is never trained.
 A null or empty text has no ids. Rows are encoded one by one; further columns are ignored.
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.common import map_texts, received, send
+from tallyguard.llm.common import kept, map_texts, received, send
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -48,6 +49,8 @@ class Pieces:
     #: Score by piece, and the histories of the pieces that merging can give; only of a model trained by merges.
     ranks: dict[str, float] | None = None
     histories: dict[int, tuple[list, list]] = {}
+    #: The encoder of a Python worker.
+    encoder: Encoder | None = None
 
     def __init__(self, path: str = MODEL):
         import sentencepiece
@@ -114,7 +117,10 @@ class Encoder:
         self.cuts = re.compile(r" +[^ \n]*|[^ \n]+|\n")
         self.seen: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.best = self.viterbi if self.ranks is None else self.merged
+        #: Characters that stand side by side in a piece, and the ids of what is cut between others.
+        self.joined = frozenset(p[k : k + 2] for p in pieces.text.values() for k in range(len(p) - 1))
+        self.parts: dict[str, tuple[int, ...]] = {}
+        self.best = self.viterbi if self.ranks is None else self.apart
 
     def fits(self, left: int, right: int) -> bool:
         """Whether two neighbours stay apart when their text is merged in the model's order. Up to a merge across the border
@@ -140,20 +146,45 @@ class Encoder:
             self.pairs[left, right] = known
         return known
 
+    def apart(self, segment: str) -> tuple[int, ...]:
+        """merged() of a segment, part by part."""
+        joined, parts, at = self.joined, self.parts, 0
+        ids: tuple[int, ...] = ()
+        for end in [*[k for k in range(1, len(segment)) if segment[k - 1 : k + 1] not in joined], len(segment)]:
+            part = segment[at:end]
+            known = parts.get(part)
+            if known is None:
+                known = self.merged(part)
+                if len(part) <= 64:
+                    if len(parts) >= CACHE:
+                        parts.clear()
+                    parts[part] = known
+            ids += known
+            at = end
+        return ids
+
     def merged(self, segment: str) -> tuple[int, ...]:
         """Ids that merging a segment, whose spaces are U+2581, in the model's order gives. Other characters than pieces have
         negative numbers until they are written as bytes."""
         n = len(segment)
         last: list[int | None] = [None] * (n + 1)
-        start, fits = [0] * (n + 1), self.fits
+        start, fits, pairs = [0] * (n + 1), self.fits, self.pairs
         links = self.automaton.iter(segment)
         if not self.single.issuperset(segment):
             alone = [(end, (1, 0.0, -1 - ord(c))) for end, c in enumerate(segment) if c not in self.single]
             links = sorted([*links, *alone], key=lambda link: link[0])
         for end, (length, _, i) in links:
-            at = end + 1 - length
-            if last[end + 1] is None and (not at or fits(last[at], i)):
-                last[end + 1], start[end + 1] = i, at
+            end += 1
+            if last[end] is None:
+                at = end - length
+                if at:
+                    left = last[at]
+                    known = pairs.get((left, i))
+                    if known is None:
+                        known = fits(left, i)
+                    if not known:
+                        continue
+                last[end], start[end] = i, at
         ids: list[int] = []
         at = n
         while at:
@@ -226,8 +257,9 @@ def decode(ids: list[int], table: list[bytes]) -> str:
 
 def _encoder(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = received(held)
-        encoder, table = Encoder(pieces), pieces.decoded()
+        pieces = kept(held)
+        pieces.encoder = encoder = pieces.encoder or Encoder(pieces)
+        table = pieces.decoded()
         for batch in batches:
             ids, sizes, flat, same, held_bytes = [], [], [], [], 0
             for i in range(batch.num_rows):

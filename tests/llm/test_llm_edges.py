@@ -563,3 +563,14 @@ def test_an_anchor_with_very_many_contexts(spark, share):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
     got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rindex.remove_repeats(df, 60, share).collect()}
     assert [got[i] for i in range(len(texts))] == brute.removed(texts, 60)
+
+
+def test_a_word_is_merged_once_whatever_marks_follow_it(monkeypatch):
+    """op7: a segment is cut where no piece holds two characters side by side; ids are those of merging it whole."""
+    encoder, calls = sentencepiece.Encoder(sentencepiece.Pieces()), []
+    whole = encoder.merged
+    monkeypatch.setattr(encoder, "merged", lambda part: (calls.append(part), whole(part))[1])
+    text = "zyrtha zyrtha&&& zyrtha%%% zyrtha, zyr\u5e9ctha\U0001f600$$$ zyrtha.%%%"
+    ids = encoder.encode(text)
+    assert calls.count("\u2581zyrtha") == 1 and len(calls) == len(set(calls))
+    assert ids == [i for x in encoder.cuts.findall(" " + text) for i in whole(x.replace(" ", sentencepiece.SPACE))]

@@ -26,7 +26,7 @@ from tallyguard.operators.history import BROADCAST_ROWS
 #: A client with more rows is sliced, in slices of about so many.
 HOT_ROWS, SLICE_ROWS = 1_000_000, 100_000
 #: A window task sorts its rows several times, about a kilobyte a row: so many rows at most on average, however large the table.
-WINDOW_ROWS = 250_000
+WINDOW_ROWS = 100_000
 DAY = 86400
 
 

@@ -168,6 +168,50 @@ def test_near_copies_just_under_the_threshold_move_few_sets(spark, monkeypatch,
     assert asked[-1] == len(texts)  # the group of large buckets, once; small buckets come before
 
 
+def test_near_duplicates_of_a_large_table_move_sets_once(spark, monkeypatch):
+    """Without any broadcast, as in large tables: texts aren't shuffled, sets are once by id, few keys meet those of shared buckets."""
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    inputs, joined, keyed = [], [], []
+    mapped, by, cut = minhash.map_texts, minhash._by, minhash.checkpoint
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    monkeypatch.setattr(minhash, "map_texts", lambda df, *more: inputs.append(plan(df)) or mapped(df, *more))
+    monkeypatch.setattr(minhash, "_by", lambda rows, *keys: joined.append(plan(rows)) or by(rows, *keys))
+
+    def watched(df):
+        if set(df.columns) == {"key", "rep", "n", "c", "pivot", "pivot_n"}:
+            keyed.append(plan(df))
+        return cut(df)
+
+    monkeypatch.setattr(minhash, "checkpoint", watched)
+    rng = random.Random(18)
+    base = [f"w{i}" for i in range(90)]
+    texts = {}
+    for i in range(120):
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 3, 3, 4])):
+            w[rng.randrange(90)] = f"x{rng.randrange(10**6)}"
+        texts[i] = " ".join(w)
+    texts |= {1000 + i: " ".join(f"y{rng.randrange(10**6)}" for _ in range(60)) for i in range(100)}
+    df = spark.createDataFrame([*texts.items(), (None, texts[0])], "doc_id long, text string").repartition(5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, k=3, threshold=85).collect() if r["doc_id"] is not None}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == brute.components(texts, 3, 85)
+    assert len(inputs) == 2 and not any("Join" in x for x in inputs)
+    assert len(joined) > 1 and all(x.count("Exchange hashpartitioning(doc#") <= 1 for x in joined)
+    assert len(keyed) == 1 and "Generate explode" not in keyed[0]
+
+
+def test_bit_filters_of_keys_and_ids(spark):
+    values = np.arange(-4000, 4000, 2)
+    table = minhash.filter_of(spark.createDataFrame([(int(x),) for x in values], "v long"))
+    assert minhash.passing(table, values).all()
+    assert minhash.passing(table, np.arange(10**6, 10**6 + 50_000)).mean() < 0.01
+
+
 def test_one_id_on_two_texts(spark):
     rows = [(1, "a b c d e f g"), (1, "h i j k l m n"), (2, "h i j k l m n"), (3, "a b c d e f g"), (4, "a b c d e f g h")]
     df = spark.createDataFrame(rows * 2, "doc_id long, text string")
